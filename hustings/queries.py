@@ -1,0 +1,9 @@
+"""The catalogue of queries over the driver's tables and their DuckDB equivalents."""
+
+
+def queries():
+    return {}
+
+
+def oracle_sql():
+    return {}
