@@ -7,10 +7,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import packing, token_files
+from hustings.llm import decontamination, packing, simhash, substring_dedup, token_files
 from hustings.llm.common import table
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontamination.report(decontamination.occurrences(docs, table(spark, sf_dir, "benchmark"), columns=["doc_id"]))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.cut(docs, columns=["doc_id"]).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -25,5 +40,34 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
 
+OP5_SQL = """
+WITH words AS (
+  SELECT 0 AS side, doc_id AS id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents
+  UNION ALL
+  SELECT 1, item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') FROM benchmark),
+windows AS (
+  SELECT DISTINCT id AS item_id, least(10, len(w)) AS size, array_to_string(w[i : i + least(10, len(w)) - 1], ' ') AS win
+  FROM words, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(i) WHERE side = 1 AND len(w) > 0),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT id AS doc_id, size, i, array_to_string(w[i : i + size - 1], ' ') AS win
+  FROM words, sizes, unnest(range(1, len(w) - size + 2)) AS t(i) WHERE side = 0),
+hits AS (SELECT p.doc_id, p.size, p.i, x.item_id FROM places p JOIN windows x ON p.win = x.win AND p.size = x.size),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n_hit FROM hits, unnest(range(0, size)) AS t(k) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS joined FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.id AS doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(c.n_hit, 0) AS n_hit, coalesce(m.n_items, 0) AS n_items, sha256(coalesce(m.joined, '')) AS items_sha256, coalesce(c.n_hit, 0) > 0 AS contaminated
+FROM words d LEFT JOIN covered c ON c.doc_id = d.id LEFT JOIN items m ON m.doc_id = d.id WHERE d.side = 0
+"""
+
+OP7_SQL = """
+WITH words AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+windows AS (SELECT doc_id, i, md5(array_to_string(w[i : i + 49], ' ')) AS win FROM words, unnest(range(1, len(w) - 48)) AS t(i)),
+firsts AS (SELECT win, min(doc_id) AS earliest FROM windows GROUP BY win HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, list(DISTINCT i + k) AS cut_at FROM windows JOIN firsts USING (win), unnest(range(0, 50)) AS t(k) WHERE doc_id > earliest GROUP BY doc_id),
+kept AS (SELECT doc_id, w, coalesce(len(cut_at), 0) AS n_removed, list_filter(list_transform(range(1, len(w) + 1), lambda i: CASE WHEN list_contains(cut_at, i) THEN NULL ELSE w[i] END), lambda x: x IS NOT NULL) AS left_words FROM words LEFT JOIN gone USING (doc_id))
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed, sha256(array_to_string(CASE WHEN n_removed = 0 THEN w ELSE left_words END, ' ')) AS kept_sha256 FROM kept
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_decontamination": OP5_SQL, "op7_substring_dedup": OP7_SQL}
