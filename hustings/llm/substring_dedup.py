@@ -34,7 +34,9 @@ _hashes = WordHashes()
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[1], np.full(n, base, np.uint64)]).astype(np.uint64), dtype=np.uint64)
+    factors = np.full(n + 1, base, np.uint64)
+    factors[0] = 1
+    return np.cumprod(factors, dtype=np.uint64)
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
