@@ -107,7 +107,9 @@ def read_token_files(manifest: DataFrame, derive: Callable[[np.ndarray], dict] |
                         )
                     del tokens
 
-    spread = manifest.select("shard", "folder", "width", "base").repartition(F.col("shard"))
+    # A count of its own keeps small manifest rows from being gathered into one task that reads all files.
+    tasks = min(max(1, manifest.count()), 20_000)
+    spread = manifest.select("shard", "folder", "width", "base").repartition(tasks, "shard")
     return spread.mapInArrow(read, READ + (f", {schema}" if schema else ""))
 
 
