@@ -61,8 +61,3 @@ def utf8(column: pa.Array) -> list[bytes]:
 def alnum_words(data: bytes) -> list[bytes]:
     """Words of the pattern [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z."""
     return data.translate(ALNUM).split()
-
-
-def words_sql(column: str) -> str:
-    """Spark SQL for the words that are parted by the characters \\x20 and \\x09-\\x0D; null and blank texts have none."""
-    return rf"filter(split({column}, '[ \\x09-\\x0D]+'), w -> w != '')"

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontamination, packing, simhash, substring_dedup, token_files
+from hustings.llm import decontamination, fingerprint, license_scan, packing, simhash, substring_dedup, token_files, url_filter
 from hustings.llm.common import table
 
 
@@ -16,16 +16,51 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages, fetched on a day that their page_id tells, against a list whose entries come from the pages' hosts.
+
+    An entry's kind, dates and fate follow from the MD5 of its value, so the list grows with the pages' hosts and URLs.
+    """
+    pages = table(spark, sf_dir, "pages")
+    shots = pages.select("page_id", "url", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("page_id") % 366).cast("int")).alias("fetched"))
+    hosts = pages.select(url_filter.host_of(F.col("url")).alias("host")).distinct().filter("host <> ''")
+    site = F.regexp_extract("host", r"([^.]+\.[^.]+\.[^.]+)$", 1)
+    values = hosts.select(F.lit("domain").alias("kind"), site.alias("value")).filter("value <> ''").distinct()
+    values = values.union(hosts.select(F.lit("host"), "host")).union(hosts.select(F.lit("prefix"), F.concat("host", F.lit("/en/"))))
+    urls = pages.filter("url is not null").select(F.concat(url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))).alias("value")).distinct()
+    values = values.union(urls.filter("substring(md5(value), 1, 1) = '0'").select(F.lit("url"), "value"))
+    marked = values.withColumn("m", F.md5("value")).withColumn("list", F.when(F.col("m").substr(2, 1).isin(list("0123")), "allow").otherwise("block"))
+    marked = marked.withColumn("category", F.when(F.col("m").substr(3, 1) < "8", "ads").otherwise("adult"))
+    dates = [("add", "2024-02-01", "m < 'c'"), ("remove", "2024-06-01", "m < '8'"), ("add", "2024-09-01", "m < '4'")]
+    entries = [marked.filter(w).select("kind", "value", "list", F.lit(a).alias("action"), F.lit(d).cast("date").alias("dated"), "category") for a, d, w in dates]
+    return url_filter.evaluate(shots, entries[0].union(entries[1]).union(entries[2]))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return decontamination.report(decontamination.occurrences(docs, table(spark, sf_dir, "benchmark"), columns=["doc_id"]))
 
 
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_scan.scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"])
+    joined = {n: F.array_join(n, ",") for n in ("base_labels", "labels")}
+    return found.withColumns(joined).select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring_dedup.cut(docs, columns=["doc_id"]).select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprint.as_text(F.col("sketch")).alias("fingerprint"), fingerprint.as_text(F.col("edited_sketch")).alias("edited_fingerprint"),
+        fingerprint.resemblance(F.col("sketch"), F.col("edited_sketch")).alias("near_edited"), fingerprint.resemblance(F.col("sketch"), F.col("next_sketch")).alias("near_next"),
+    )
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -40,6 +75,37 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
 
+OP4_SQL = """
+WITH shots AS (
+  SELECT DISTINCT page_id, url, DATE '2024-01-01' + CAST(page_id % 366 AS INTEGER) AS fetched,
+    rtrim(lower(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '.') AS host,
+    coalesce(nullif(regexp_extract(trim(url), '^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*)', 1), ''), '/') AS path FROM pages),
+hosts AS (SELECT DISTINCT host FROM shots WHERE host <> ''),
+vals AS (
+  SELECT DISTINCT 'domain' AS kind, regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) AS value FROM hosts WHERE regexp_extract(host, '([^.]+[.][^.]+[.][^.]+)$', 1) <> ''
+  UNION ALL SELECT 'host', host FROM hosts
+  UNION ALL SELECT 'prefix', host || '/en/' FROM hosts
+  UNION ALL SELECT DISTINCT 'url', host || path FROM shots WHERE url IS NOT NULL AND md5(host || path)[1] = '0'),
+marked AS (
+  SELECT kind, value, md5(value) AS m, CASE WHEN md5(value)[2] IN ('0', '1', '2', '3') THEN 'allow' ELSE 'block' END AS list,
+    CASE WHEN md5(value)[3] < '8' THEN 'ads' ELSE 'adult' END AS category FROM vals),
+spans AS (
+  SELECT *, DATE '2024-02-01' AS since, CASE WHEN m < '8' THEN DATE '2024-06-01' END AS until FROM marked WHERE m < 'c'
+  UNION ALL SELECT *, DATE '2024-09-01', NULL FROM marked WHERE m < '4'),
+met AS (
+  SELECT s.page_id, s.url, s.fetched, e.kind, e.value, e.list, e.category,
+    CASE e.kind WHEN 'url' THEN 4 WHEN 'prefix' THEN 3 WHEN 'host' THEN 2 ELSE 1 END AS exact,
+    CASE e.kind WHEN 'prefix' THEN len(e.value) - len(replace(e.value, '/', '')) WHEN 'domain' THEN 1 + len(e.value) - len(replace(e.value, '.', '')) ELSE 0 END AS depth
+  FROM shots s JOIN spans e ON s.fetched >= e.since AND (e.until IS NULL OR s.fetched < e.until) AND s.host <> '' AND CASE e.kind
+    WHEN 'domain' THEN s.host = e.value OR ends_with(s.host, '.' || e.value) WHEN 'host' THEN s.host = e.value
+    WHEN 'prefix' THEN starts_with(s.host || s.path, e.value) ELSE s.host || s.path = e.value END),
+ranked AS (
+  SELECT *, count(*) OVER (PARTITION BY page_id, url, fetched) AS n_active,
+    row_number() OVER (PARTITION BY page_id, url, fetched ORDER BY exact DESC, depth DESC, CASE list WHEN 'block' THEN 0 ELSE 1 END, category) AS place FROM met)
+SELECT s.page_id, s.url, s.fetched, coalesce(r.n_active, 0) AS n_active, r.kind, r.value, r.list, r.category, coalesce(r.list = 'block', FALSE) AS blocked
+FROM shots s LEFT JOIN ranked r ON r.place = 1 AND r.page_id IS NOT DISTINCT FROM s.page_id AND r.url IS NOT DISTINCT FROM s.url AND r.fetched IS NOT DISTINCT FROM s.fetched
+"""
+
 OP5_SQL = """
 WITH words AS (
   SELECT 0 AS side, doc_id AS id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '') AS w FROM documents
@@ -70,4 +136,4 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_decontamination": OP5_SQL, "op7_substring_dedup": OP7_SQL}
+    return {"op4_url_filter": OP4_SQL, "op5_decontamination": OP5_SQL, "op7_substring_dedup": OP7_SQL}
