@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontamination, fingerprint, license_scan, packing, simhash, substring_dedup, token_files, url_filter
+from hustings.llm import decontamination, fingerprint, language_id, license_scan, packing, simhash, substring_dedup, token_files, toxicity, url_filter
 from hustings.llm.common import table
 
 
@@ -16,6 +16,16 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), columns=["doc_id"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("offending").alias("n_offending"))
+
+
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), columns=["doc_id"])
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages, fetched on a day that their page_id tells, against a list whose entries come from the pages' hosts.
 
