@@ -43,7 +43,7 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     marked = marked.withColumn("category", F.when(F.col("m").substr(3, 1) < "8", "ads").otherwise("adult"))
     dates = [("add", "2024-02-01", "m < 'c'"), ("remove", "2024-06-01", "m < '8'"), ("add", "2024-09-01", "m < '4'")]
     entries = [marked.filter(w).select("kind", "value", "list", F.lit(a).alias("action"), F.lit(d).cast("date").alias("dated"), "category") for a, d, w in dates]
-    return url_filter.evaluate(shots, entries[0].union(entries[1]).union(entries[2]))
+    return url_filter.evaluate(shots, entries[0].union(entries[1]).union(entries[2])).withColumn("fetched", F.col("fetched").cast("string"))
 
 
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -112,7 +112,7 @@ met AS (
 ranked AS (
   SELECT *, count(*) OVER (PARTITION BY page_id, url, fetched) AS n_active,
     row_number() OVER (PARTITION BY page_id, url, fetched ORDER BY exact DESC, depth DESC, CASE list WHEN 'block' THEN 0 ELSE 1 END, category) AS place FROM met)
-SELECT s.page_id, s.url, s.fetched, coalesce(r.n_active, 0) AS n_active, r.kind, r.value, r.list, r.category, coalesce(r.list = 'block', FALSE) AS blocked
+SELECT s.page_id, s.url, CAST(s.fetched AS VARCHAR) AS fetched, coalesce(r.n_active, 0) AS n_active, r.kind, r.value, r.list, r.category, coalesce(r.list = 'block', FALSE) AS blocked
 FROM shots s LEFT JOIN ranked r ON r.place = 1 AND r.page_id IS NOT DISTINCT FROM s.page_id AND r.url IS NOT DISTINCT FROM s.url AND r.fetched IS NOT DISTINCT FROM s.fetched
 """
 
