@@ -112,18 +112,16 @@ def contiguous(df: DataFrame, keys: list[str], start: str, end: str) -> DataFram
 
 
 def as_of(left: DataFrame, right: DataFrame, keys: list[str], at: str, order: list[str], value: str, skip: int = 0) -> DataFrame:
-    """left with the latest earlier value of right by keys: of all rows before it in order but the last skip ones.
+    """left with the latest earlier value of right by keys; skip passes over that many of right's latest rows.
 
     Both sides are laid in one sequence, so a key is sorted once and no pair of rows is formed.
     """
+    if skip:
+        right = right.withColumn(value, F.lag(value, skip).over(Window.partitionBy(*keys).orderBy(at, *order)))
     marked = left.withColumn("_left", F.lit(True)).withColumn("_v", F.lit(None).cast(right.schema[value].dataType))
     sides = marked.unionByName(right.select(*keys, *dict.fromkeys([at, *order]), F.col(value).alias("_v")).withColumn("_left", F.lit(False)), allowMissingColumns=True)
-    by = Window.partitionBy(*keys).orderBy(at, *order)
-    if not skip:
-        found = F.last("_v", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    else:
-        found = F.element_at(F.filter(F.collect_list("_v").over(by.rowsBetween(-skip - 64, -1)), lambda x: x.isNotNull()), -1 - skip)
-    return sides.withColumn(f"latest_{value}", found).filter("_left").drop("_left", "_v")
+    before = Window.partitionBy(*keys).orderBy(at, *order).rowsBetween(Window.unboundedPreceding, -1)
+    return sides.withColumn(f"latest_{value}", F.last("_v", ignorenulls=True).over(before)).filter("_left").drop("_left", "_v")
 
 
 def date_spine(start: str, end: str, spark, name: str = "day", step: str = "1 day") -> DataFrame:
