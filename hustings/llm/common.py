@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hustings.sources.shared import shared_folder
 
 #: Bytes of text that an operator handles in one go inside a task.
 CHUNK_BYTES = 4 << 20
@@ -21,20 +23,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder, as a URI, below the one that the cluster names in spark.checkpoint.dir.
-
-    Only where that is unset (a local session, as in tests) it is a temporary folder of this machine.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        held = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = held.get() if held.isDefined() else tempfile.mkdtemp(prefix="checkpoints-")
-    if "://" not in base:
-        base = f"file://{base.removeprefix('file:')}"
-    return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
-
-
 def written(df: DataFrame, name: str = "table") -> DataFrame:
     """df, computed once and kept as Parquet in the shared folder, so that a lost executor loses none of it."""
     path = f"{shared_folder(df.sparkSession)}/{name}"
@@ -61,3 +49,29 @@ def utf8(column: pa.Array) -> list[bytes]:
 def alnum_words(data: bytes) -> list[bytes]:
     """Words of the pattern [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+ after lower-casing A-Z."""
     return data.translate(ALNUM).split()
+
+
+#: Bits of a sieve; 8 MB whatever it was made from.
+SIEVE_BITS = 1 << 26
+
+
+def sieve(keys: DataFrame, column: str):
+    """A test of a long column that is true for every value of keys.column, and false for most others.
+
+    It is a bitmap of SIEVE_BITS hashed values, so what is sent around has one size however many keys there are; the
+    more there are, the more other rows pass. It thins out rows before a shuffle; the join after it decides.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(SIEVE_BITS))
+    spots = keys.filter(F.col(column).isNotNull()).select(place.alias("p")).groupBy(F.bitmap_bucket_number("p").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"))
+    bits = np.zeros(SIEVE_BITS // 8 + 8192, np.uint8)
+    for row in spots.toLocalIterator():
+        at = (row["bucket"] - 1) * 4096 if row["bucket"] > 0 else len(bits) - 4096
+        bits[at : at + len(row["bits"])] |= np.frombuffer(row["bits"], np.uint8)
+    held = keys.sparkSession.sparkContext.broadcast(bits)
+
+    @F.pandas_udf("boolean")
+    def test(bucket: pd.Series, position: pd.Series) -> pd.Series:
+        at = np.where(bucket > 0, (bucket - 1) * 4096, len(held.value) - 4096) + position // 8
+        return pd.Series((held.value[at] >> (position % 8).to_numpy().astype(np.uint8) & 1).astype(bool))
+
+    return lambda c: c.isNotNull() & test(F.bitmap_bucket_number(F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))), F.bitmap_bit_position(F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))))

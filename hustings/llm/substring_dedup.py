@@ -12,12 +12,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import slices, utf8, written
+from hustings.llm.common import sieve, slices, utf8, written
 
 #: Words of a phrase that stands for the windows around it.
 PHRASE = 8
+#: Bytes of text that one automaton serves.
+SHARD_BYTES = 1 << 20
 #: Distinct words whose hashes a worker keeps.
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 #: Odd multipliers of the two rolling hashes.
 PHRASE_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
@@ -133,7 +135,7 @@ def candidate_phrases(docs: DataFrame, window: int) -> DataFrame:
     """(phrase, doc_id, place) for the phrase of every block; place counts words in the document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SHARD_BYTES):
             s = Slice(utf8(batch.column("text")), window)
             place, _, _ = s.blocks()
             if len(place):
@@ -153,7 +155,7 @@ def recurring_blocks(docs: DataFrame, phrases: DataFrame, window: int) -> DataFr
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", SHARD_BYTES):
             s = Slice(utf8(batch.column("text")), window)
             if not len(s.chosen):
                 continue
@@ -187,16 +189,19 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
     found = written(candidate_phrases(texts, window))
     recurring = found.groupBy("phrase").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("phrase")
-    places = found.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
-    blocks = written(recurring_blocks(texts, places, window))
-    kinds = blocks.groupBy("phrase", "block").agg(F.min("doc_id").alias("owner"))
-    mixed_phrases = kinds.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase")
-    owned = kinds.join(mixed_phrases, "phrase")
-    rows = blocks.join(owned, ["phrase", "block"]).filter("doc_id = owner").dropDuplicates(["phrase", "block"])
+    recurring = written(recurring)
+    likely = found.filter(sieve(recurring, "phrase")(F.col("phrase")))
+    places = written(likely.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_list("place").alias("places")))
+    blocks = written(recurring_blocks(texts.filter(sieve(places, "doc_id")(F.col("doc_id"))), places, window))
+    kinds = written(blocks.groupBy("phrase", "block").agg(F.min("doc_id").alias("owner")))
+    mixed_phrases = written(kinds.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase"))
+    several = blocks.filter(sieve(mixed_phrases, "phrase")(F.col("phrase")))
+    rows = several.groupBy("phrase", "block").agg(F.min("doc_id").alias("owner"), F.min_by("windows", "doc_id").alias("windows")).join(mixed_phrases, "phrase", "left_semi")
     windows = rows.mapInArrow(_unpacked, "phrase long, block long, owner long, at int, hash long")
     seen = windows.groupBy("phrase", "hash").agg(F.min("owner").alias("earliest"), F.max("owner").alias("latest")).filter("earliest < latest").drop("latest")
-    partly = windows.join(seen, ["phrase", "hash"]).filter("earliest < owner").groupBy("phrase", "block").agg(F.collect_list("at").alias("at"))
-    judged = kinds.join(partly, ["phrase", "block"], "left")
+    partly = windows.join(written(seen), ["phrase", "hash"]).filter("earliest < owner").groupBy("phrase", "block").agg(F.collect_list("at").alias("at"))
+    # Written, so that the join with all blocks has a plain exchange on both sides and Spark can split hot ones.
+    judged = written(kinds.join(partly, ["phrase", "block"], "left"))
     whole = F.array(F.struct(F.col("first").alias("start"), (F.col("first") + F.col("count") + F.lit(window - 1)).alias("end")))
     some = F.transform("at", lambda i: F.struct((F.col("first") + i).alias("start"), (F.col("first") + i + F.lit(window)).alias("end")))
     spans = blocks.drop("windows").join(judged, ["phrase", "block"]).filter("doc_id > owner or at is not null")
@@ -227,12 +232,15 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "spans", "twin")]
     back = names if columns is None else columns
     rows = docs.select(*names, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("twin"))
-    spans = repeated_spans(docs, window)
-    joined = rows.join(spans, (rows.doc_id == spans.doc_id) & (rows.twin == spans.twin), "left").select(*(rows[n] for n in names), spans.spans)
+    spans = written(repeated_spans(docs, window))
+    touched = sieve(spans, "doc_id")(F.col("doc_id").cast("long"))
+    some = rows.filter(touched)
+    joined = some.join(spans, (some.doc_id == spans.doc_id) & (some.twin == spans.twin), "left").select(*(some[n] for n in names), spans.spans)
+    joined = joined.union(rows.filter(~touched).select(*names, F.lit(None).cast(spans.schema["spans"].dataType)))
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", 2 * SHARD_BYTES):
             n_words, n_removed, kept = [], [], []
             starts = pc.list_value_length(batch.column("spans")).fill_null(0).to_pylist()
             flat = batch.column("spans").flatten()
