@@ -45,3 +45,19 @@ def test_stages(spark):
         before = after
     assert "pipeline" in __spark_entry__.queries()
     assert corpus_pipeline.run(spark, SF).count() > len(before)
+
+
+def test_stages_on_awkward_rows(spark):
+    from test_llm import DOCS, corpus
+
+    rows = corpus()
+    docs = spark.createDataFrame([(i, t, "en" if (i or 0) % 2 else "fr", "extra", 1, "clash") for i, t in rows], DOCS)
+    empty = docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns and {r.score for r in out.collect()} == {"extra"} and {r.spans for r in out.collect()} == {"clash"}, name
+        assert stage(spark, empty, SF).count() == 0
+        docs = spark.createDataFrame(out.collect(), docs.schema)
+    texts = [r.text for r in docs.collect()]
+    assert None not in texts and "" not in texts
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() >= len(texts)
