@@ -26,8 +26,8 @@ def test_json_items_and_maps(spark, tmp_path):
 
 
 def test_xml_sidecars(spark, tmp_path):
-    (tmp_path / "a.xml").write_bytes('<?xml version="1.0" encoding="ISO-8859-1"?><publicwhip><personinfo id="p1" wiki="É"/><personinfo id="p2"/></publicwhip>'.encode("latin-1"))
-    (tmp_path / "b.xml").write_text('<publicwhip><personinfo id="p2" wiki="B" blog="C"/></publicwhip>')
+    (tmp_path / "a.xml").write_bytes('<?xml version="1.0" encoding="ISO-8859-1"?><people><personinfo id="p1" wiki="É"/><personinfo id="p2"/></people>'.encode("latin-1"))
+    (tmp_path / "b.xml").write_text('<people><personinfo id="p2" wiki="B" blog="C"/></people>')
     a, b = records.person_info(spark, str(tmp_path / "a.xml"), ["wiki"]), records.person_info(spark, str(tmp_path / "b.xml"), ["wiki", "blog"])
     people = spark.createDataFrame([("p1",), ("p2",), ("p3",)], "id string")
     assert sorted(map(tuple, records.sidecar(people, [a, b]).collect())) == [("p1", "É", None), ("p2", "B", "C"), ("p3", None, None)]
