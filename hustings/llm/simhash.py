@@ -193,5 +193,6 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataF
     roots = written(connected_components(links(distinct.select("fp"), radius)))
     member = roots.join(distinct, roots.node == distinct.fp).select("fp", "root", "least")
     joined = member.join(member.groupBy("root").agg(F.min("least").alias("joined")), "root").select("fp", "joined")
-    classes = distinct.join(joined, "fp", "left").select("fp", F.coalesce("joined", "least").alias("component_id"))
+    # Written, so that the join with all documents has a plain exchange on both sides and Spark can split hot ones.
+    classes = written(distinct.join(joined, "fp", "left").select("fp", F.coalesce("joined", "least").alias("component_id")))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")

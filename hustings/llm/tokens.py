@@ -9,7 +9,7 @@ from itertools import batched, pairwise
 import numpy as np
 
 #: Chunks kept in a worker's dictionary, and the longest chunk that is kept, in bytes.
-CACHE_CHUNKS, CACHE_LENGTH = 1_200_000, 48
+CACHE_CHUNKS, CACHE_LENGTH = 700_000, 48
 #: Closing marks that are looked up apart from the word before them.
 MARKS = b".,;:!?"
 _encoders: dict[str, WordEncoder] = {}

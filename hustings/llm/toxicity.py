@@ -51,18 +51,23 @@ class Weights(dict):
         return value
 
 
-def telling(docs: list[set[bytes]], y: np.ndarray, importance: np.ndarray) -> list[bytes]:
-    """Features that toxic documents have in excess, by the log-likelihood ratio of their counts."""
+def feature_set(text: str) -> set[bytes]:
+    return {f for s in sentences(text.encode()) for w in s for f in features(w)}
+
+
+def telling(sample: list[tuple[str, int, float]]) -> list[bytes]:
+    """Features that toxic documents have in excess, by the log-likelihood ratio of their weighted counts."""
     positive, weighted = Counter(), Counter()
-    for f, label in zip(docs, y, strict=True):
+    for text, label, _ in sample:
         if label:
-            positive.update(f)
-    for f, w in zip(docs, importance, strict=True):
-        for x in f:
-            if x in positive:
-                weighted[x] += w
-    rate = np.average(y, weights=importance)
-    scale = importance[y == 1][0]
+            positive.update(feature_set(text))
+    positive = Counter({f: n for f, n in positive.items() if n > 2})
+    for text, _, w in sample:
+        for f in feature_set(text):
+            if f in positive:
+                weighted[f] += w
+    toxic = [w for _, label, w in sample if label]
+    rate, scale = sum(toxic) / sum(w for *_, w in sample), toxic[0]
     kept = []
     for f, n in positive.items():
         got, total = n * scale, max(weighted[f], n * scale)
@@ -73,21 +78,19 @@ def telling(docs: list[set[bytes]], y: np.ndarray, importance: np.ndarray) -> li
     return sorted(kept)
 
 
-def train(sample: list[tuple[str, int, float]], rounds: int = 200, rate: float = 0.1, decay: float = 1e-4) -> tuple[dict[bytes, float], float]:
+def train(sample: list[tuple[str, int, float]], rounds: int = 300, rate: float = 0.1, decay: float = 2e-6) -> tuple[dict[bytes, float], float]:
     """Weights of features and a bias. A sentence's score is the logistic of the bias and its words' weights; a document's
     is 1 less the product of 1 less each sentence's (noisy-or). Adam lowers the weighted log-loss of document labels."""
-    docs = [[[f for w in s for f in features(w)] for s in sentences(t.encode())] for t, _, _ in sample]
     y = np.array([y for _, y, _ in sample], float)
     importance = np.array([w for *_, w in sample])
-    mixed = 0 < y.sum() < len(y)
-    index = {f: i for i, f in enumerate(telling([{f for s in d for f in s} for d in docs], y, importance))} if mixed else {}
+    index = {f: i for i, f in enumerate(telling(sample))} if 0 < y.sum() < len(y) else {}
     if not index:
         share = np.average(y, weights=importance) if len(y) else 0.0
         return {}, -12.0 if share < 0.5 else 12.0
     words, sentence_of, doc_of = [], [], []
-    for d, doc in enumerate(docs):
-        for s in doc:
-            known = [index[w] for w in s if w in index]
+    for d, (text, *_) in enumerate(sample):
+        for s in sentences(text.encode()):
+            known = [index[f] for w in s for f in features(w) if f in index]
             words += known
             sentence_of += [len(doc_of)] * len(known)
             doc_of.append(d)
