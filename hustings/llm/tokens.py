@@ -30,7 +30,8 @@ class WordEncoder:
 
     Such a tokenizer gives a text the ids of its white-space-parted chunks one after the other, so each distinct chunk
     is encoded once by the tokenizers library and looked up afterwards. Tokenizers that treat spaces as part of a
-    token get their texts whole; the constructor finds out which kind it has.
+    token get their texts whole; the constructor finds out which kind it has, and whether a closing mark is parted from
+    the word before it.
     """
 
     def __init__(self, vocabulary: str, end_id: int):
@@ -42,6 +43,8 @@ class WordEncoder:
         self.end = np.array([end_id], self.width).tobytes()
         probe = "One  two\n\tthree: 4, cinq."
         self.by_chunk = self._ids([probe])[0] == [i for ids in self._ids(probe.split()) for i in ids]
+        alone = {w: self._ids([w])[0] for w in ("three", *MARKS.decode())}
+        self.by_mark = all(self._ids([f"three{m}"])[0] == alone["three"] + alone[m] for m in MARKS.decode())
         self.known: dict[bytes, bytes] = {}
 
     def _ids(self, texts: list[str]) -> list[list[int]]:
@@ -64,8 +67,8 @@ class WordEncoder:
             return [x + self.end for x in self._packed([t.decode() for t in texts])]
         chunks = [t.split() for t in texts]
         known, missing = self.known, set().union(*chunks).difference(self.known)
-        # A closing mark after a letter is a token run of its own, so the word before it can be looked up without it.
-        marked = [c for c in missing if c[-1] in MARKS and c[-2:-1].isalpha()]
+        # Where a closing mark after a letter is a token run of its own, the word before it is looked up without it.
+        marked = [c for c in missing if c[-1] in MARKS and c[-2:-1].isalpha()] if self.by_mark else []
         parts = missing.difference(marked).union(c[:-1] for c in marked).union(c[-1:] for c in marked).difference(known)
         fresh = {}
         for some in batched(parts, 1_000):
