@@ -16,13 +16,16 @@ def held_out(doc_id="doc_id"):
 def sample_ids(labelled: DataFrame, label: str, per_label: int) -> DataFrame:
     """(doc_id, label, weight): at most per_label rows of each label, those whose doc_id hashes lowest.
 
-    weight tells how many rows of its label each stands for. The sample takes the same rows at any partitioning.
+    weight tells how many rows of its label each stands for. The sample takes the same rows at any partitioning; of a
+    doc_id with several labels the smallest counts. The sample has up to per_label rows for each label, so labels have to
+    be few anyway, and the table of their totals, one row for each, is broadcast: a frequent label's rows are thinned
+    where they are instead of meeting in one task.
     """
-    keyed = labelled.select("doc_id", label).filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).dropDuplicates(["doc_id"]).withColumn("_h", F.xxhash64("doc_id"))
+    keyed = labelled.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias(label)).withColumn("_h", F.xxhash64("doc_id"))
     totals = keyed.groupBy(label).agg(F.count("*").alias("_n"))
     # Hashes are even, so this share of them holds the lowest per_label; no task then ranks more than about twice those.
     share = (F.lit(2.0 * per_label) + 100) / F.col("_n")
-    near = keyed.join(totals, label).filter(F.col("_h") / F.lit(2.0**64) + F.lit(0.5) < share)
+    near = keyed.join(F.broadcast(totals), label).filter(F.col("_h") / F.lit(2.0**64) + F.lit(0.5) < share)
     ranked = near.withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy("_h", "doc_id"))).filter(F.col("_r") <= per_label)
     return ranked.select("doc_id", label, (F.col("_n") / F.least(F.col("_n"), F.lit(per_label))).alias("weight"))
 

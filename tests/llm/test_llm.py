@@ -215,6 +215,17 @@ def test_license_expressions():
     assert license_scan.permits(parse("(MIT OR X) AND Y"), {"x", "y"}) and not license_scan.permits(parse("MIT AND Y"), {"mit"})
 
 
+def test_encoder_keeps_marks_with_words_where_the_tokenizer_does():
+    from tokenizers import Tokenizer, models, pre_tokenizers
+
+    plain = Tokenizer(models.WordLevel({"[UNK]": 0, "a": 1, "end,": 2, "end": 3, ",": 4, "three": 5}, unk_token="[UNK]"))
+    plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+    encoder = tokens.WordEncoder(plain.to_str(), 9)
+    assert encoder.by_chunk and not encoder.by_mark
+    assert np.frombuffer(encoder.encode([b"a end, end , x!"])[0], encoder.width).tolist() == [1, 2, 3, 4, 0, 9]
+    assert tokens.WordEncoder(tokens.vocabulary(), 2).by_mark
+
+
 def test_tokens_are_the_whole_texts(rows):
     encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
     odd = ["Ａ ́x don't I'LL ſtrasse ΑΣ Σ b\x1cq\xa0z\u0085y 12３", "<|endoftext|> a<|endoftext|>b, İI.", "ﬁ. é́ 가각 가. it's,  ‘q’. ..., a.b. ﻿z", "x" * 5000]
@@ -333,6 +344,16 @@ def test_samples_are_bounded(spark):
     assert ids.groupby("toxic").size().tolist() == [15, 15] and np.allclose(ids.weight, 100 / 15)
 
 
+def test_samples_take_the_lowest_hashes_of_uneven_labels(spark):
+    rows = [(i, 0 if i % 100 else 1) for i in range(4000)] + [(7, 1), (8, 0), (None, 1), (9, None)]
+    labels = spark.createDataFrame(rows, "doc_id long, toxic int").repartition(5)
+    ids = sampling.sample_ids(labels, "toxic", 50).toPandas()
+    hashed = {r.id: r.h for r in spark.range(4000).selectExpr("id", "xxhash64(id) h").collect()}
+    zeros = sorted((i for i in range(4000) if i % 100), key=hashed.get)[:50]
+    assert sorted(ids[ids.toxic == 0].doc_id) == sorted(zeros) and sorted(ids[ids.toxic == 1].doc_id) == list(range(0, 4000, 100))
+    assert set(ids[ids.toxic == 1].weight) == {1.0} and np.allclose(ids[ids.toxic == 0].weight, 3960 / 50)
+
+
 def test_sieve_keeps_every_key(spark):
     keys = spark.range(0, 5000, 7).withColumnRenamed("id", "k")
     kept = {r.id for r in spark.range(0, 5000).filter(common.sieve(keys, "k")(common.F.col("id"))).collect()}
