@@ -17,9 +17,9 @@ from hustings.llm.common import sieve, slices, utf8, written
 #: Words of a phrase that stands for the windows around it.
 PHRASE = 8
 #: Bytes of text that one automaton serves.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 1 << 19
 #: Distinct words whose hashes a worker keeps.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 100_000
 #: Odd multipliers of the two rolling hashes.
 PHRASE_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
