@@ -18,27 +18,35 @@ BUCKET, TILE = 4096, 512
 ONES = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def simhash(text: bytes, shingle: int = 3) -> int:
-    """The 64-bit fingerprint of a text's word shingles, repeats included; 0 if it has no word.
+def shingle_hashes(text: bytes, shingle: int = 3) -> np.ndarray:
+    """XXH64 (seed 42) of a text's word shingles, repeats included; none if it has no word.
 
-    Words are parted by white space after lower-casing A-Z; a text of fewer words is one shingle. A bit is set if it is
-    set in over half the shingles' XXH64 (seed 42).
+    Words are parted by white space after lower-casing A-Z; a text of fewer words is one shingle.
     """
     words = text.lower().split()
     if not words:
-        return 0
+        return np.empty(0, np.uint64)
     line = b" ".join(words)
     ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
     last = ends[shingle - 1 :].tolist() or [len(line)]
     first = [0, *(ends[: len(last) - 1] + 1).tolist()]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(line[a:b], 42) for a, b in zip(first, last, strict=True)], np.uint64)
+    return np.array([digest(line[a:b], 42) for a, b in zip(first, last, strict=True)], np.uint64)
+
+
+def folded(hashes: np.ndarray) -> int:
+    """The fingerprint of shingle hashes: a bit is set if it is set in over half of them; 0 for none."""
     counts = np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
         counts += np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def simhash(text: bytes, shingle: int = 3) -> int:
+    """The 64-bit fingerprint of a text's word shingles, repeats included; 0 if it has no word."""
+    return folded(shingle_hashes(text, shingle))
+
+
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """(doc_id, fp) for every row of docs; fp is the fingerprint as a signed long. Missing text counts as empty."""
 
