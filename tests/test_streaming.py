@@ -37,3 +37,18 @@ def test_repeats_within_the_watermark_go(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, ts timestamp").coalesce(1).write.parquet(str(tmp_path / "in"))
     got = ingest.drain(ingest.without_repeats(ingest.file_stream(spark, str(tmp_path / "in")), ["event_id"]))
     assert sorted(r.event_id for r in got.collect()) == [1, 2]
+
+
+def test_sessions_keep_events_of_later_batches(spark, tmp_path):
+    import datetime
+    import os
+
+    days = [[datetime.datetime(2024, 6, 1), datetime.datetime(2024, 6, 1, 1)], [datetime.datetime(2024, 1, 1), datetime.datetime(2024, 5, 20)], [datetime.datetime(2023, 1, 1)]]
+    os.mkdir(tmp_path / "in")
+    for n, ts in enumerate(days):
+        spark.createDataFrame([(7, t) for t in ts], "user_id long, ts timestamp").coalesce(1).write.parquet(str(tmp_path / f"part{n}"))
+        name = next((tmp_path / f"part{n}").glob("*.parquet"))
+        os.rename(name, tmp_path / f"in/{n}.parquet")
+        os.utime(tmp_path / f"in/{n}.parquet", (1_700_000_000 + 100 * n,) * 2)
+    got = ingest.drain(ingest.sessions(ingest.file_stream(spark, str(tmp_path / "in"), per_batch=1)), "complete")
+    assert sorted((r.started[:10], r.n) for r in got.collect()) == [("2023-01-01", 1), ("2024-01-01", 1), ("2024-05-20", 1), ("2024-06-01", 2)]
