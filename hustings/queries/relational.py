@@ -81,6 +81,52 @@ def match_status(t):
     return tables.match_status(probes(t), by_rules(t), "id", "found")
 
 
+CLASSES = f"""WITH {PROBES}, f AS (SELECT p_name, p_brand, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1, 2), n AS (SELECT p_name, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1),
+k AS (SELECT p_type, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1),
+c AS (SELECT id, 1 AS priority, class_id, n FROM probes JOIN f ON called = p_name AND brand = p_brand UNION ALL SELECT id, 2, class_id, n FROM probes JOIN n ON called = p_name UNION ALL SELECT id, 3, class_id, n FROM probes JOIN k ON kind = p_type),
+best AS (SELECT * FROM c WHERE (id, priority) IN (SELECT id, min(priority) FROM c GROUP BY id))"""
+
+
+def alias_classes(t):
+    """For each rule of the cascade its columns and (those, class_id, n): all parts that bear an alias are one class, named
+    by its smallest key."""
+    every = [["p_name", "p_brand"], ["p_name"], ["p_type"]]
+    return [(c, t("part").groupBy(*c).agg(F.min("p_partkey").alias("class_id"), F.count("*").alias("n"))) for c in every]
+
+
+def classes_by_rules(t):
+    (_, full), (_, name), (_, kind) = alias_classes(t)
+    c = F.col
+    held = lambda df: df.select("*", F.struct("class_id", "n").alias("found")).drop("class_id", "n")
+    rules = [(held(full), (c("called") == c("p_name")) & (c("brand") == c("p_brand"))), (held(name), c("called") == c("p_name")), (held(kind), c("kind") == c("p_type"))]
+    return tables.cascade(probes(t), "id", rules, "found").select("id", "priority", "found.*")
+
+
+@query(CLASSES + " SELECT id, priority, class_id FROM best")
+def cascade_classes(t):
+    """cascade_join without its bound: the class of all parts that a probe finds; alias_members has who is in it."""
+    return classes_by_rules(t).select("id", "priority", "class_id")
+
+
+@query("""SELECT 1 AS priority, min(p_partkey) OVER (PARTITION BY p_name, p_brand) AS class_id, p_partkey AS found FROM part UNION ALL SELECT 2, min(p_partkey) OVER (PARTITION BY p_name), p_partkey FROM part
+UNION ALL SELECT 3, min(p_partkey) OVER (PARTITION BY p_type), p_partkey FROM part""")
+def alias_members(t):
+    """The parts of each class of cascade_classes, three rows a part."""
+    every = None
+    for i, (columns, classes) in enumerate(alias_classes(t)):
+        part = t("part").join(classes, columns).select(F.lit(i + 1).alias("priority"), "class_id", F.col("p_partkey").alias("found"))
+        every = part if every is None else every.union(part)
+    return every
+
+
+@query(CLASSES + """ SELECT p.id, coalesce(n, 0) AS n_candidates, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'match' ELSE 'multiple' END AS status, CASE WHEN n = 1 THEN class_id END AS match FROM probes p LEFT JOIN best ON best.id = p.id""")
+def match_status_classes(t):
+    """match_status without its bound: how many parts match comes from the classes' sizes, no pairs are made."""
+    joined = probes(t).select("id").join(classes_by_rules(t), "id", "left")
+    status = F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "match").otherwise("multiple")
+    return joined.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_candidates"), status.alias("status"), F.when(F.col("n") == 1, F.col("class_id")).alias("match"))
+
+
 @query("""WITH c AS (SELECT l_orderkey AS id, l_partkey AS part, l_suppkey AS found FROM lineitem WHERE l_linenumber = 1), p AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS found FROM lineitem), s AS (SELECT DISTINCT l_orderkey AS id, l_suppkey AS found FROM lineitem)
 SELECT DISTINCT c.id, s.found FROM c JOIN p ON p.part = c.part JOIN s ON s.id = c.id AND s.found = p.found""")
 def candidate_intersect(t):

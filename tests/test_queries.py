@@ -57,3 +57,17 @@ def test_time_filter_reaches_the_scan(spark):
 def test_interval_join_has_no_nested_loop(spark):
     plan = queries.queries()["interval_join"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_cascade_classes_hold_every_candidate(spark, tmp_path):
+    parts = [(i, "hot", "Brand#1", "T") for i in range(1, 8)] + [(8, "own", "Brand#2", "T")]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    run = lambda name: queries.queries()[name](spark, str(tmp_path)).collect()
+    members = {}
+    for r in run("alias_members"):
+        members.setdefault((r.priority, r.class_id), set()).add(r.found)
+    found = {r.id - 1000000: (r.priority, members[r.priority, r.class_id]) for r in run("cascade_classes")}
+    every = set(range(1, 9))
+    assert found == {i: (3, every) if i == 5 else (2, {8}) if i == 8 else (1 if i % 3 == 0 else 2, set(range(1, 8))) for i in every}
+    counts = {r.id - 1000000: (r.n_candidates, r.status, r.match) for r in run("match_status_classes")}
+    assert counts == {i: (8, "multiple", None) if i == 5 else (1, "match", 8) if i == 8 else (7, "multiple", None) for i in every}
