@@ -18,6 +18,12 @@ def slugify_ascii(t):
     return t("documents").filter(head.rlike(r"^[\x00-\x7F]*$")).select("doc_id", text.slugify(head).alias("slug"))
 
 
+@query()
+def slugify_texts(t):
+    """Slugs of whole texts of all documents, letters folded to ASCII."""
+    return t("documents").select("doc_id", text.slugify(F.col("text")).alias("slug"))
+
+
 @query("""WITH n AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Mr. ' WHEN 1 THEN 'Rt. Hon. Sir ' WHEN 2 THEN '' ELSE 'Dr ' END || c_name || CASE WHEN c_custkey % 3 = 0 THEN ', MP' ELSE '' END AS s FROM customer)
 SELECT c_custkey, replace(c_name_plain, '#', '#') AS name, CASE c_custkey % 4 WHEN 0 THEN 1 WHEN 1 THEN 3 WHEN 2 THEN 0 ELSE 1 END AS n_titles FROM (SELECT c_custkey, regexp_replace(regexp_replace(trim(regexp_replace(regexp_replace(s, '[.,]', ' ', 'g'), '\\s+', ' ', 'g')), '^((Mr|Rt|Hon|Sir|Dr) )*', ''), ' MP$', '') AS c_name_plain FROM n)""")
 def strip_titles(t):

@@ -71,3 +71,20 @@ def test_cascade_classes_hold_every_candidate(spark, tmp_path):
     assert found == {i: (3, every) if i == 5 else (2, {8}) if i == 8 else (1 if i % 3 == 0 else 2, set(range(1, 8))) for i in every}
     counts = {r.id - 1000000: (r.n_candidates, r.status, r.match) for r in run("match_status_classes")}
     assert counts == {i: (8, "multiple", None) if i == 5 else (1, "match", 8) if i == 8 else (7, "multiple", None) for i in every}
+
+
+def test_range_join_counts_windows_of_all_customers(spark, tmp_path):
+    import datetime
+
+    day = datetime.datetime(1995, 1, 8)
+    spark.createDataFrame([(1, 39, day), (2, 40, day), (3, 5000, day), (4, 5000, day + datetime.timedelta(days=1))], "o_orderkey long, o_custkey long, o_orderdate timestamp").write.parquet(str(tmp_path / "orders.parquet"))
+    spark.createDataFrame([(1,), (2,), (9,)], "event_id long").write.parquet(str(tmp_path / "events.parquet"))
+    got = queries.queries()["range_join_all"](spark, str(tmp_path)).collect()
+    assert sorted((r.event_id, r.n) for r in got) == [(1, 3), (2, 4)]
+
+
+def test_slugs_of_whole_texts_in_any_letters(spark, tmp_path):
+    long = "word " * 40
+    spark.createDataFrame([(1, long + "End!"), (2, "Élan vital"), (3, "a  b")], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r.slug for r in queries.queries()["slugify_texts"](spark, str(tmp_path)).collect()}
+    assert got == {1: "word-" * 40 + "end", 2: "elan-vital", 3: "a-b"}
