@@ -17,9 +17,9 @@ def redirects(docs: DataFrame, work: str, version: str, text: str, least: float
     """(version, seq, kind, target): each paragraph of a later version and the paragraph of the work's first version
     that it comes from.
 
-    kind is perfectmatch where the n-th paragraph of these words meets the n-th, changes where an unmatched paragraph at
-    most reach places off is at least so similar, missing otherwise. Matching is a join by hash; only what is left is
-    compared, and only with what stands near, so no work's paragraphs all meet.
+    kind is perfectmatch where the n-th paragraph of these words meets the n-th, changes where an unmatched paragraph in
+    the same gap between perfect matches, or at most reach places off, is at least so similar, missing otherwise.
+    Matching is a join by hash; only what is left is compared, with what was left in its gap or stands near.
     """
     first = docs.groupBy(work).agg(F.min(version).alias("_first"))
     rows = paragraphs(docs, work, version, text).join(first, work)
@@ -27,7 +27,13 @@ def redirects(docs: DataFrame, work: str, version: str, text: str, least: float
     new = rows.filter(F.col(version) > F.col("_first")).select(work, version, "seq", "para", "digest", "nth")
     met = new.join(old.drop("old_para"), [work, "digest", "nth"], "left")
     perfect = met.filter("target is not null").select(version, "seq", F.lit("perfectmatch").alias("kind"), "target")
-    rest = met.filter("target is null").select(work, version, "seq", "para", F.explode(F.sequence(F.col("seq") - reach, F.col("seq") + reach)).alias("target"))
+    own = Window.partitionBy(work, version).orderBy("seq")
+    ends = rows.groupBy(work).agg(F.max(F.when(F.col(version) == F.col("_first"), F.col("seq"))).alias("_end"))
+    before = F.coalesce(F.last("target", True).over(own), F.lit(-1))
+    gaps = met.withColumn("_a", before).withColumn("_b", F.first("target", True).over(own.rowsBetween(0, Window.unboundedFollowing))).filter("target is null").join(ends, work)
+    after = F.coalesce("_b", F.greatest(F.col("_end"), F.col("_a")) + 1)
+    inside = F.sequence(F.least("_a", after), F.greatest("_a", after))
+    rest = gaps.select(work, version, "seq", "para", F.explode(F.array_union(inside, F.sequence(F.col("seq") - reach, F.col("seq") + reach))).alias("target"))
     used = perfect.select(version, "target")
     near = rest.join(old.select(work, "target", "old_para"), [work, "target"], "left").join(used.withColumn("_used", F.lit(True)), [version, "target"], "left")
     alike = F.when(F.col("old_para").isNotNull() & F.col("_used").isNull(), similarity_to()(F.col("para"), F.col("old_para")))

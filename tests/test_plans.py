@@ -108,6 +108,13 @@ def test_alignment(spark):
     assert got == [(0, "perfectmatch", 1), (1, "changes", 0), (2, "missing", None)]
 
 
+def test_alignment_across_put_in_paragraphs(spark):
+    old = "opening words that stay\nalpha beta gamma delta epsilon\nmiddle words that stay\none two three four five\nclosing words"
+    new = "opening words that stay\nput in a\nput in b\nput in c\nput in d\nalpha beta gamma delta zeta\nmiddle words that stay\none two three four six\nclosing words"
+    got = {r.seq: (r.kind, r.target) for r in alignment.redirects(spark.createDataFrame([("w", 1, old), ("w", 2, new)], "work string, version int, text string"), "work", "version", "text").collect()}
+    assert got[5] == ("changes", 1) and got[7] == ("changes", 3) and {got[i][0] for i in (1, 2, 3, 4)} == {"missing"}
+
+
 def test_links(spark):
     found = spark.createDataFrame([(1, 0, "Housing Act", d("2024-01-01")), (1, 1, "Ann Other", d("2024-01-01")), (1, 2, "Housing Act", d("2024-01-01")), (1, 3, "Abc", d("2024-01-01")), (1, 4, "Mercury Rising", d("2024-01-01"))], "doc int, place int, phrase string, day date")
     titles = spark.createDataFrame([("Housing_Act", "Housing_Act_1980", False), ("Ann_Other", "Ann_Other", False), ("Mercury_Rising", "Mercury", True)], "requested string, final string, ambiguous boolean")
