@@ -3,8 +3,8 @@ sequence matching, pandas functions take whole Arrow batches."""
 
 from __future__ import annotations
 
-import difflib
 import unicodedata
+from collections import defaultdict
 from functools import reduce
 from operator import or_
 
@@ -81,9 +81,11 @@ def slugify(s: Column, fold: bool = True, gap: str = "-") -> Column:
 
 
 def title_words(s: Column) -> Column:
-    """Camel or Pascal case as words with a capital first: 'fooBarHTML' gives 'Foo Bar HTML'."""
-    spaced = F.regexp_replace(s, "([a-z](?=[A-Z])|[A-Z](?=[A-Z][a-z]))", "$1 ")
-    return F.concat(F.upper(F.substring(spaced, 1, 1)), F.substring(spaced, 2, 1 << 30))
+    """Camel or Pascal case as words with a capital first: 'fooBarHTML' gives 'Foo Bar HTML'. A word is a capital with the
+    small letters after it, or a run of capitals up to the next such word; other characters stay with what is before."""
+    words = F.regexp_extract_all(s, F.lit(r"(\p{Lu}?[^\p{Lu}]+|\p{Lu}+(?!\P{Lu})|\p{Lu})"), F.lit(1))
+    joined = F.array_join(words, " ")
+    return F.concat(F.upper(F.substring(joined, 1, 1)), F.substring(joined, 2, 1 << 30))
 
 
 def snake_case(name: str) -> str:
@@ -126,17 +128,31 @@ def next_alpha(s: Column) -> Column:
     return F.when(F.coalesce(s, F.lit("")) == "", F.lit("a")).when(stem == "", F.concat(F.lit("a"), turned)).otherwise(more)
 
 
-def similarity_to(limit_chars: int = 20_000):
-    """A pandas function of two texts: how alike their sequences of words are, from 0 to 1. Only texts of up to
-    limit_chars are aligned word by word; longer ones are compared by their words' counts, which bounds it from above."""
+def common_words(a: list[str], b: list[str]) -> int:
+    """Length of the longest sequence of words that both hold in order. Rows of the usual table are bits of one number,
+    so a word of b costs one addition as long as a."""
+    places: dict[str, int] = defaultdict(int)
+    for i, word in enumerate(a):
+        places[word] |= 1 << i
+    whole = (1 << len(a)) - 1
+    row = whole
+    for word in b:
+        met = row & places.get(word, 0)
+        row = ((row + met) | (row - met)) & whole
+    return len(a) - row.bit_count()
+
+
+def similarity_to():
+    """A pandas function of two texts: twice the length of the longest common sequence of their words, over the number of
+    their words; from 0 to 1, and 1 for two texts without words. One measure at all lengths."""
 
     @F.pandas_udf(T.DoubleType())
     def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
         def one(x, y):
             if x is None or y is None:
                 return None
-            m = difflib.SequenceMatcher(None, x.split(), y.split(), autojunk=False)
-            return m.ratio() if max(len(x), len(y)) <= limit_chars else m.quick_ratio()
+            x, y = x.split(), y.split()
+            return 2 * common_words(x, y) / (len(x) + len(y)) if x or y else 1.0
 
         return pd.Series([one(x, y) for x, y in zip(a, b, strict=True)], dtype="float64")
 

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hustings.sources.shared import with_checkpoints
+
 
 def collapse_runs(df: DataFrame, keys: list[str], order: list[str], value: str) -> DataFrame:
     """Neighbouring rows of equal value made one: keys, run (from 1), value, n, and the first and last of order[0]."""
@@ -54,7 +56,16 @@ def running_count(df: DataFrame, keys: list[str], order: list[str], mark: Column
 def hierarchical_ids(df: DataFrame, keys: list[str], order: list[str], major: Column, chunk: Column | None = None) -> DataFrame:
     """df with major, a counter of headings, and minor, a counter of the rows since the heading (which has 0)."""
     counted = running_count(df, keys, order, major, "major", chunk)
-    return counted.withColumn("minor", F.row_number().over(Window.partitionBy(*keys, "major").orderBy(*order)) - F.when(F.col("major") > 0, 1).otherwise(0))
+    if chunk is None:
+        place = F.row_number().over(Window.partitionBy(*keys, "major").orderBy(*order))
+        return counted.withColumn("minor", place - F.when(F.col("major") > 0, 1).otherwise(0))
+    # Rows since the heading: those of this chunk by a window, those of the chunks before it by their counts.
+    parts = counted.withColumn("_c", chunk)
+    sizes = parts.groupBy(*keys, "major", "_c").agg(F.count("*").alias("_n"))
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_n").over(Window.partitionBy(*keys, "major").orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_n")
+    own = parts.withColumn("_own", F.row_number().over(Window.partitionBy(*keys, "major", "_c").orderBy(*order)))
+    placed = own.join(before, [*keys, "major", "_c"]).withColumn("minor", (F.col("_own") + F.col("_before") - F.when(F.col("major") > 0, 1).otherwise(0)).cast("int"))
+    return placed.drop("_c", "_own", "_before")
 
 
 def merge_adjacent(df: DataFrame, keys: list[str], order: list[str], kind: str, text: str) -> DataFrame:
@@ -92,6 +103,7 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "place") -> Data
     Rows are dealt out by ranges of the order; each partition counts its rows, a running sum over partitions gives where
     each begins. Equal rows of the order get places in any order, so it should name a row.
     """
+    with_checkpoints(df.sparkSession)
     dealt = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id())
     held = dealt.checkpoint()
     sizes = held.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_row").alias("_first"))

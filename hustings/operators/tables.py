@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hustings.sources.shared import with_checkpoints
+
 
 def latest_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The row of each key that is greatest by order. An aggregate, so each task passes on one row for each key."""
@@ -103,15 +105,18 @@ def parent_children(df: DataFrame, row_id: str, parent: str) -> DataFrame:
 def cascade(probes: DataFrame, probe_id: str, rules: list[tuple[DataFrame, Column]], found: str) -> DataFrame:
     """Candidates by the first rule that gives any: (probe_id, priority, found).
 
-    rules: (table with a column found, join condition) in order of priority, from 1.
+    rules: (table with a column found, join condition) in order of priority, from 1. A rule sees only the probes that
+    none before it has settled; what those found is written once each, as the rules after them ask for it too.
     """
-    parts = [probes.join(t, on).select(probe_id, F.lit(i + 1).alias("priority"), F.col(found)) for i, (t, on) in enumerate(rules)]
-    every = parts[0]
-    for p in parts[1:]:
-        every = every.union(p)
-    every = every.distinct()
-    best = every.groupBy(probe_id).agg(F.min("priority").alias("priority"))
-    return every.join(best, [probe_id, "priority"]).select(probe_id, "priority", found)
+    with_checkpoints(probes.sparkSession)
+    open_probes, every = probes, None
+    for i, (t, on) in enumerate(rules):
+        part = open_probes.join(t, on).select(probe_id, F.lit(i + 1).alias("priority"), F.col(found)).distinct()
+        if i < len(rules) - 1:
+            part = part.checkpoint()
+            open_probes = open_probes.join(part.select(F.col(probe_id).alias("_settled")).distinct(), F.col(probe_id) == F.col("_settled"), "left_anti")
+        every = part if every is None else every.union(part)
+    return every
 
 
 def match_status(probes: DataFrame, candidates: DataFrame, probe_id: str, found: str) -> DataFrame:
@@ -145,12 +150,14 @@ def positional(left: DataFrame, right: DataFrame, keys: list[str], order: str) -
 
 
 def redirected(df: DataFrame, redirects: DataFrame, column: str) -> DataFrame:
-    """df with column led on by redirects (source, target) until none applies; in a loop it ends on some member.
+    """df with column led on by redirects (source, target) until none applies; in a loop it ends on some member. Of a
+    source's targets the least counts.
 
     Chains are followed by pointing each at its target's target, so a chain of n needs about log n joins of the
     redirects; each round is checkpointed.
     """
-    now = redirects.select("source", "target").filter("source <> target").dropDuplicates(["source"])
+    with_checkpoints(df.sparkSession)
+    now = redirects.filter("source <> target").groupBy("source").agg(F.min("target").alias("target"))
     for _ in range(now.count().bit_length() + 1):
         a, b = now.alias("a"), now.alias("b")
         step = a.join(b, F.col("a.target") == F.col("b.source"), "left").select("a.source", F.when(F.col("b.target").isNull() | (F.col("b.target") == F.col("a.source")), F.col("a.target")).otherwise(F.col("b.target")).alias("target"), (F.col("b.target").isNotNull() & (F.col("b.target") != F.col("a.source"))).alias("moved")).checkpoint()

@@ -68,11 +68,13 @@ def overlap_conflicts(df: DataFrame, keys: list[str], start: str, end: str, row_
     return a.join(b, on).select(*(F.col(f"a.{k}") for k in keys), F.col(f"a.{row_id}").alias("first_id"), F.col(f"b.{row_id}").alias("second_id"))
 
 
-def containment(inner: DataFrame, outer: DataFrame, key: str, start: str, end: str, outer_start: str, outer_end: str) -> DataFrame:
-    """inner with n_containers: how many ranges of outer with its key hold its range whole; 1 is in order."""
-    i, o = inner.withColumn("_row", F.struct(*inner.columns)), outer.select(F.col(key).alias("_k"), F.col(outer_start).alias("_s"), F.col(outer_end).alias("_e"))
+def containment(inner: DataFrame, outer: DataFrame, key: str, start: str, end: str, outer_start: str, outer_end: str, outer_key: str | None = None) -> DataFrame:
+    """inner with n_containers: how many ranges of outer with its key hold its range whole; 1 is in order. Rows of inner
+    that are alike in all columns are looked up once and come back as often."""
+    i, o = inner.groupBy(*inner.columns).agg(F.count("*").alias("_times")).withColumn("_row", F.struct(*inner.columns, "_times")), outer.select(F.col(outer_key or key).alias("_k"), F.col(outer_start).alias("_s"), F.col(outer_end).alias("_e"))
     on = (F.col(key) == F.col("_k")) & (F.col("_s") <= F.col(start)) & (F.col(end) <= F.col("_e"))
-    return i.join(o, on, "left").groupBy("_row").agg(F.count("_k").alias("n_containers")).select("_row.*", "n_containers")
+    met = i.join(o, on, "left").groupBy("_row").agg(F.count("_k").alias("n_containers"))
+    return met.select("_row.*", "n_containers").withColumn("_times", F.explode(F.sequence(F.lit(1), F.col("_times")))).drop("_times")
 
 
 def intersection(left: DataFrame, right: DataFrame, on: Column, left_range: tuple[str, str], right_range: tuple[str, str]) -> DataFrame:
@@ -93,13 +95,18 @@ def carve(positions: DataFrame, inner: DataFrame, key: str) -> DataFrame:
 
     Gives key, start_date, end_date, inside: the stretches of each position, and whether an inner range holds them.
     """
-    edges = inner.select(key, F.col("start_date").alias("_s"), F.col("end_date").alias("_e"))
-    cuts = positions.join(edges, key, "left").groupBy(key, "start_date", "end_date").agg(F.flatten(F.collect_set(F.array("_s", F.date_add("_e", 1)))).alias("_c"), F.collect_set(F.struct("_s", "_e")).alias("_in"))
-    inside = F.filter("_c", lambda d: d.isNotNull() & (d > F.col("start_date")) & (d <= F.col("end_date")))
-    points = F.array_sort(F.array_distinct(F.concat(F.array("start_date"), inside)))
-    pieces = cuts.select(key, "end_date", "_in", points.alias("_p")).select(key, "end_date", "_in", "_p", F.posexplode("_p").alias("_i", "_from"))
-    ended = pieces.select(key, F.col("_from").alias("start_date"), F.coalesce(F.date_sub(F.get("_p", F.col("_i") + 1), 1), F.col("end_date")).alias("end_date"), "_in")
-    return ended.select(key, "start_date", "end_date", F.exists("_in", lambda x: x["_s"].isNotNull() & (x["_s"] <= F.col("start_date")) & (x["_e"] >= F.col("end_date"))).alias("inside"))
+    # How many inner ranges are open from each day on that one begins or ends: a row for a key and day, however many do.
+    marks = F.array(F.struct(F.col("start_date").alias("day"), F.lit(1).alias("d")), F.struct(F.date_add("end_date", 1).alias("day"), F.lit(-1).alias("d")))
+    daily = inner.filter("start_date <= end_date").select(key, F.inline(marks)).groupBy(key, "day").agg(F.sum("d").alias("d"))
+    level = daily.withColumn("_open", F.sum("d").over(Window.partitionBy(key).orderBy("day"))).select(F.col(key).alias("_k"), "day", "_open")
+    own = positions.select(key, "start_date", "end_date").distinct()
+    inside = own.join(level, (F.col(key) == F.col("_k")) & F.col("day").between(F.col("start_date"), F.col("end_date"))).select(key, "start_date", "end_date", "day", "_open")
+    # What is open when a position starts: the last mark before it, or on its first day.
+    before = own.join(level, (F.col(key) == F.col("_k")) & (F.col("day") <= F.col("start_date")), "left").groupBy(key, "start_date", "end_date").agg(F.coalesce(F.max_by("_open", "day"), F.lit(0)).alias("_open"))
+    points = before.withColumn("day", F.col("start_date")).unionByName(inside.filter("day > start_date"))
+    following = F.lead("day").over(Window.partitionBy(key, "start_date", "end_date").orderBy("day"))
+    pieces = points.withColumn("_to", F.coalesce(F.date_sub(following, 1), F.col("end_date")))
+    return pieces.select(key, F.col("day").alias("start_date"), F.col("_to").alias("end_date"), (F.col("_open") > 0).alias("inside"))
 
 
 def contiguous(df: DataFrame, keys: list[str], start: str, end: str) -> DataFrame:

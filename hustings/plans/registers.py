@@ -46,11 +46,16 @@ def flattened(documents: DataFrame) -> DataFrame:
 def snapshots(entries: DataFrame, days: DataFrame) -> DataFrame:
     """The register as of each of days (published): entries registered by then, not ended before, with is_latest.
 
-    days are few and broadcast by Spark's own check; an entry meets only days after its start.
+    Days fall into years; an entry goes to each year from its start to a year after its end (or the last day there is),
+    and year is the key of the join, so no entry is compared with days far from it.
     """
-    met = entries.join(days, (F.col("registered") <= F.col("published")) & (F.col("ended").isNull() | (F.col("ended") >= F.date_sub("published", 365))))
-    last = days.agg(F.max("published").alias("_last"))
-    return met.crossJoin(F.broadcast(last)).withColumn("is_latest", F.col("published") == F.col("_last")).drop("_last")
+    last = days.agg(F.max("published").alias("_last"))  # one row
+    dated = days.withColumn("_year", F.year("published")).crossJoin(F.broadcast(last))
+    until = F.least(F.coalesce(F.date_add("ended", 365), F.col("_last")), F.col("_last"))
+    spread = entries.crossJoin(F.broadcast(last)).withColumn("_until", until).filter(F.col("registered") <= F.col("_until"))
+    spread = spread.withColumn("_year", F.explode(F.sequence(F.year("registered"), F.year("_until")))).drop("_last")
+    met = spread.join(dated, "_year").filter(F.col("published").between(F.col("registered"), F.col("_until")))
+    return met.withColumn("is_latest", F.col("published") == F.col("_last")).drop("_last", "_until", "_year")
 
 
 def to_html(documents: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hustings.functions import names
@@ -72,15 +72,20 @@ def office_holders(probes: DataFrame, offices: DataFrame, probe_id: str) -> Data
 
 
 def by_history(speeches: DataFrame, found: DataFrame, order: str = "seq") -> DataFrame:
-    """Ambiguous speakers settled by who spoke before: the latest earlier speaker in the same sitting, the one just
-    before left out, who is among the candidates.
+    """Ambiguous speakers settled by who spoke before: the latest earlier speaker in the same sitting who is among the
+    candidates, the last one to speak before them left out, whatever rows (headings, say) stand between.
 
     speeches: (sitting, seq, person) with null where ambiguous; found: (sitting, seq, person), their candidates.
     Returns (sitting, seq, person, source): source is given, history or unknown.
     """
     asked = found.alias("c").join(speeches.filter("person is null").select("sitting", order).alias("s"), ["sitting", order])
-    known = speeches.filter("person is not null").select(F.col("sitting").alias("_s"), F.col(order).alias("_at"), F.col("person").alias("_p"))
-    best = asked.join(known, (F.col("sitting") == F.col("_s")) & (F.col("person") == F.col("_p")) & (F.col("_at") < F.col(order) - 1)).groupBy("sitting", order).agg(F.max_by("_p", "_at").alias("_found"))
+    by = Window.partitionBy("sitting").orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    last = speeches.withColumn("_last", F.last("person", ignorenulls=True).over(by)).select("sitting", order, "_last")
+    spoken = speeches.filter("person is not null").select("sitting", order, "person", F.col(order).alias("_at"))
+    # Candidates and known speakers in one sequence for each sitting and person, so no pairs are formed.
+    latest = temporal.as_of(asked.select("sitting", order, "person"), spoken, ["sitting", "person"], order, [], "_at")
+    usable = latest.join(last, ["sitting", order]).filter(F.col("latest__at").isNotNull() & ~F.col("person").eqNullSafe(F.col("_last")))
+    best = usable.groupBy("sitting", order).agg(F.max_by("person", "latest__at").alias("_found"))
     joined = speeches.join(best, ["sitting", order], "left")
     source = F.when(F.col("person").isNotNull(), "given").when(F.col("_found").isNotNull(), "history").otherwise("unknown")
     return joined.select("sitting", order, F.coalesce("person", "_found").alias("person"), source.alias("source"))

@@ -23,10 +23,10 @@ def anti_join(t):
     return t("customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
 
 
-@query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'right' ELSE 'left' END AS only_in FROM (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'R') a
-FULL JOIN (SELECT DISTINCT l_partkey AS k FROM lineitem WHERE l_returnflag = 'A') b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
+@query("""SELECT coalesce(a.k, b.k) AS k, CASE WHEN a.k IS NULL THEN 'right' ELSE 'left' END AS only_in FROM (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'R') a
+FULL JOIN (SELECT DISTINCT l_orderkey AS k FROM lineitem WHERE l_returnflag = 'A') b ON a.k = b.k WHERE a.k IS NULL OR b.k IS NULL""")
 def symmetric_difference(t):
-    side = lambda flag: t("lineitem").filter(F.col("l_returnflag") == flag).select(F.col("l_partkey").alias("k"))
+    side = lambda flag: t("lineitem").filter(F.col("l_returnflag") == flag).select(F.col("l_orderkey").alias("k"))
     return tables.symmetric_difference(side("R"), side("A"), "k")
 
 
@@ -52,35 +52,6 @@ def probes(t):
     return t("part").select((c("p_partkey") + 1000000).alias("id"), c("p_name").alias("name"), F.when(c("p_partkey") % 3 == 0, c("p_brand")).otherwise("Brand#99").alias("brand"), c("p_type").alias("kind"), F.when(c("p_partkey") % 5 == 0, "none such").otherwise(c("p_name")).alias("called"))
 
 
-def aliases(t, *columns):
-    """Parts by an alias: the smallest and greatest key that bear it, so that a hot alias stays two candidates at most."""
-    return t("part").groupBy(*columns).agg(F.array_distinct(F.array(F.min("p_partkey"), F.max("p_partkey"))).alias("k")).select(*columns, F.explode("k").alias("found"))
-
-
-def by_rules(t):
-    full, name, kind = aliases(t, "p_name", "p_brand"), aliases(t, "p_name"), aliases(t, "p_type")
-    c = F.col
-    return tables.cascade(probes(t), "id", [(full, (c("called") == c("p_name")) & (c("brand") == c("p_brand"))), (name, c("called") == c("p_name")), (kind, c("kind") == c("p_type"))], "found")
-
-
-CASCADE = f"""WITH {PROBES}, f AS (SELECT p_name, p_brand, unnest(list_distinct([min(p_partkey), max(p_partkey)])) AS found FROM part GROUP BY 1, 2), n AS (SELECT p_name, unnest(list_distinct([min(p_partkey), max(p_partkey)])) AS found FROM part GROUP BY 1),
-k AS (SELECT p_type, unnest(list_distinct([min(p_partkey), max(p_partkey)])) AS found FROM part GROUP BY 1),
-c AS (SELECT id, 1 AS priority, found FROM probes JOIN f ON called = p_name AND brand = p_brand UNION SELECT id, 2, found FROM probes JOIN n ON called = p_name UNION SELECT id, 3, found FROM probes JOIN k ON kind = p_type),
-best AS (SELECT * FROM c WHERE (id, priority) IN (SELECT id, min(priority) FROM c GROUP BY id))"""
-
-
-@query(CASCADE + " SELECT id, priority, found FROM best")
-def cascade_join(t):
-    """Parts found by name and brand, else by name, else by type."""
-    return by_rules(t)
-
-
-@query(CASCADE + """, s AS (SELECT id, count(DISTINCT found) AS n, min(found) AS m FROM best GROUP BY id)
-SELECT p.id, coalesce(n, 0) AS n_candidates, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'match' ELSE 'multiple' END AS status, CASE WHEN n = 1 THEN m END AS match FROM probes p LEFT JOIN s ON s.id = p.id""")
-def match_status(t):
-    return tables.match_status(probes(t), by_rules(t), "id", "found")
-
-
 CLASSES = f"""WITH {PROBES}, f AS (SELECT p_name, p_brand, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1, 2), n AS (SELECT p_name, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1),
 k AS (SELECT p_type, min(p_partkey) AS class_id, count(*) AS n FROM part GROUP BY 1),
 c AS (SELECT id, 1 AS priority, class_id, n FROM probes JOIN f ON called = p_name AND brand = p_brand UNION ALL SELECT id, 2, class_id, n FROM probes JOIN n ON called = p_name UNION ALL SELECT id, 3, class_id, n FROM probes JOIN k ON kind = p_type),
@@ -103,15 +74,16 @@ def classes_by_rules(t):
 
 
 @query(CLASSES + " SELECT id, priority, class_id FROM best")
-def cascade_classes(t):
-    """cascade_join without its bound: the class of all parts that a probe finds; alias_members has who is in it."""
+def cascade_join(t):
+    """Parts found by name and brand, else by name, else by type: the class of all that a probe finds; alias_members has who
+    is in it, so no candidate is left out and no pairs are made."""
     return classes_by_rules(t).select("id", "priority", "class_id")
 
 
 @query("""SELECT 1 AS priority, min(p_partkey) OVER (PARTITION BY p_name, p_brand) AS class_id, p_partkey AS found FROM part UNION ALL SELECT 2, min(p_partkey) OVER (PARTITION BY p_name), p_partkey FROM part
 UNION ALL SELECT 3, min(p_partkey) OVER (PARTITION BY p_type), p_partkey FROM part""")
 def alias_members(t):
-    """The parts of each class of cascade_classes, three rows a part."""
+    """The parts of each class of cascade_join, three rows a part."""
     every = None
     for i, (columns, classes) in enumerate(alias_classes(t)):
         part = t("part").join(classes, columns).select(F.lit(i + 1).alias("priority"), "class_id", F.col("p_partkey").alias("found"))
@@ -120,8 +92,8 @@ def alias_members(t):
 
 
 @query(CLASSES + """ SELECT p.id, coalesce(n, 0) AS n_candidates, CASE WHEN n IS NULL THEN 'none' WHEN n = 1 THEN 'match' ELSE 'multiple' END AS status, CASE WHEN n = 1 THEN class_id END AS match FROM probes p LEFT JOIN best ON best.id = p.id""")
-def match_status_classes(t):
-    """match_status without its bound: how many parts match comes from the classes' sizes, no pairs are made."""
+def match_status(t):
+    """How many parts match, from the classes' sizes; no pairs are made."""
     joined = probes(t).select("id").join(classes_by_rules(t), "id", "left")
     status = F.when(F.col("n").isNull(), "none").when(F.col("n") == 1, "match").otherwise("multiple")
     return joined.select("id", F.coalesce("n", F.lit(0)).cast("long").alias("n_candidates"), status.alias("status"), F.when(F.col("n") == 1, F.col("class_id")).alias("match"))
@@ -359,8 +331,9 @@ FULL JOIN (SELECT o_custkey, o_orderkey, row_number() OVER (PARTITION BY o_custk
 def positional_join(t):
     side = lambda p, name: t("orders").filter(F.col("o_orderpriority") == p).select("o_custkey", F.col("o_orderkey").alias(name))
     a, b = side("1-URGENT", "urgent"), side("5-LOW", "low")
-    number = lambda df, c: df.withColumn("place", F.row_number().over(Window.partitionBy("o_custkey").orderBy(c)).cast("long"))
-    return number(a, "urgent").join(number(b, "low"), ["o_custkey", "place"], "full_outer")
+    ordered = lambda df, c: df.withColumn("_by", F.col(c))
+    both = tables.positional(ordered(a, "urgent"), ordered(b, "low"), ["o_custkey"], "_by")
+    return both.select("o_custkey", F.col("place").cast("long"), "urgent", "low")
 
 
 @query("""SELECT 'doc_id is unique' AS rule, count(*) AS n_faulty, count(*) = 0 AS passed FROM (SELECT doc_id FROM documents GROUP BY 1 HAVING count(*) > 1)

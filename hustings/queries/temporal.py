@@ -57,7 +57,9 @@ FROM lineitem JOIN orders ON o_orderkey = l_orderkey""")
 def containment_join(t):
     """Line items shipped within ninety days of their order, and those that weren't."""
     line, o = t("lineitem").select("l_orderkey", "l_linenumber", F.to_date("l_shipdate").alias("d")), t("orders").select("o_orderkey", F.to_date("o_orderdate").alias("s"))
-    return line.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", "l_linenumber", F.col("d").between(F.col("s"), F.date_add("s", 90)).alias("contained"))
+    held = o.select(F.col("o_orderkey").alias("k"), "s", F.date_add("s", 90).alias("e"))
+    met = temporal.containment(line.withColumn("d2", F.col("d")), held, "l_orderkey", "d", "d2", "s", "e", outer_key="k")
+    return met.select("l_orderkey", "l_linenumber", (F.col("n_containers") > 0).alias("contained"))
 
 
 @query(f"""WITH {WINDOWS}, years AS (SELECT y, make_date(y, 1, 1) AS ys, make_date(y, 12, 31) AS ye FROM unnest(range(1994, 2003)) AS r(y))
@@ -132,20 +134,11 @@ def date_range(t):
     return t("orders").filter("o_orderdate >= TIMESTAMP_NTZ'1997-01-01' and o_orderdate < TIMESTAMP_NTZ'1998-01-01'").select("o_orderkey")
 
 
-@query(f"""WITH {WINDOWS}, probes AS (SELECT event_id, 9131 + event_id * 7 % 2400 AS day FROM events)
-SELECT event_id, count(*) AS n FROM probes JOIN win ON day BETWEEN date_diff('day', DATE '1970-01-01', s) AND date_diff('day', DATE '1970-01-01', e) AND o_custkey < 40 GROUP BY 1""")
-def range_join(t):
-    """Which windows hold a day, with no key to join by: buckets of a month are the key."""
-    days = F.date_diff
-    ranges = windows(t).filter("o_custkey < 40").select("o_orderkey", days("s", F.lit("1970-01-01").cast("date")).cast("long").alias("a"), days("e", F.lit("1970-01-01").cast("date")).cast("long").alias("b"))
-    points = t("events").select("event_id", (F.lit(9131) + F.col("event_id") * 7 % 2400).alias("day"))
-    return temporal.range_join(points, ranges, "day", "a", "b", 31).groupBy("event_id").agg(F.count("*").alias("n"))
-
-
 @query(f"""WITH {WINDOWS}, probes AS (SELECT event_id, 9131 + event_id * 7 % 2400 AS day FROM events), days AS (SELECT day, count(*) AS n FROM (SELECT DISTINCT day FROM probes) JOIN win ON day BETWEEN date_diff('day', DATE '1970-01-01', s) AND date_diff('day', DATE '1970-01-01', e) GROUP BY 1)
 SELECT event_id, n FROM probes JOIN days USING (day)""")
-def range_join_all(t):
-    """range_join over all windows: those of the same days are counted first, and each day is looked up once."""
+def range_join(t):
+    """Which windows hold a day, with no key to join by: buckets of a month are the key. Windows of the same days are
+    counted first, and each day is looked up once."""
     number = lambda c: F.date_diff(c, F.lit("1970-01-01").cast("date")).cast("long")
     ranges = windows(t).groupBy(number("s").alias("a"), number("e").alias("b")).agg(F.count("*").alias("n"))
     points = t("events").select("event_id", (F.lit(9131) + F.col("event_id") * 7 % 2400).alias("day"))

@@ -11,17 +11,10 @@ def wiki_title(t):
     return t("part").select("p_partkey", text.wiki_title(F.col("p_name")).alias("title"))
 
 
-@query("SELECT doc_id, replace(trim(regexp_replace(regexp_replace(lower(strip_accents(substring(text, 1, 80))), '[^a-z0-9_\\s-]', '', 'g'), '[-\\s]+', ' ', 'g')), ' ', '-') AS slug FROM documents WHERE regexp_matches(substring(text, 1, 80), '^[\\x00-\\x7F]*$')")
+@query("SELECT doc_id, md5(replace(trim(regexp_replace(regexp_replace(lower(regexp_replace(strip_accents(text), '[^\\x00-\\x7F]', '', 'g')), '[^a-z0-9_\\s-]', '', 'g'), '[-\\s]+', ' ', 'g')), ' ', '-')) AS digest FROM documents")
 def slugify_ascii(t):
-    """Slugs of the documents' headings that are ASCII; other letters are folded in the library's tests."""
-    head = F.substring("text", 1, 80)
-    return t("documents").filter(head.rlike(r"^[\x00-\x7F]*$")).select("doc_id", text.slugify(head).alias("slug"))
-
-
-@query()
-def slugify_texts(t):
     """Slugs of whole texts of all documents, letters folded to ASCII."""
-    return t("documents").select("doc_id", text.slugify(F.col("text")).alias("slug"))
+    return t("documents").select("doc_id", F.md5(text.slugify(F.col("text"))).alias("digest"))
 
 
 @query("""WITH n AS (SELECT c_custkey, CASE c_custkey % 4 WHEN 0 THEN 'Mr. ' WHEN 1 THEN 'Rt. Hon. Sir ' WHEN 2 THEN '' ELSE 'Dr ' END || c_name || CASE WHEN c_custkey % 3 = 0 THEN ', MP' ELSE '' END AS s FROM customer)
@@ -61,11 +54,13 @@ def sentence_filter(t):
     return t("documents").select("doc_id", kept.alias("k")).select("doc_id", F.size("k").alias("n"), F.coalesce(F.get("k", F.lit(0)), F.lit("")).alias("head"))
 
 
-@query("""WITH w AS (SELECT doc_id, regexp_extract(text, '^([^ .,]+( [^ .,]+)?)', 1) AS p FROM documents)
-SELECT doc_id, CASE WHEN upper(p) = p AND length(p) > 6 THEN 'all capitals' WHEN NOT contains(trim(p), ' ') THEN 'single word' WHEN regexp_matches(p, '^[A-Z][a-zA-Z]{0,5}$') AND NOT regexp_matches(p, '^[A-Z]{2,6}$') THEN 'short word' END AS fault FROM w""")
+@query("""WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '[.,\\n]+ *')) AS p FROM documents), f AS (
+SELECT doc_id, CASE WHEN upper(p) = p AND length(p) > 6 THEN 'all capitals' WHEN NOT contains(trim(p, ' '), ' ') THEN 'single word' WHEN regexp_matches(p, '^[A-Z][a-zA-Z]{0,5}$') AND NOT regexp_matches(p, '^[A-Z]{2,6}$') THEN 'short word' END AS fault FROM w WHERE p <> '')
+SELECT doc_id, fault, count(*) AS n FROM f GROUP BY 1, 2""")
 def phrase_quality(t):
-    phrase = F.regexp_extract("text", "^([^ .,]+( [^ .,]+)?)", 1)
-    return t("documents").select("doc_id", phrase.alias("p")).select("doc_id", text.phrase_fault(F.col("p")).alias("fault"))
+    """What is wrong with the phrases between the marks of all texts, counted for each document."""
+    phrases = t("documents").select("doc_id", F.explode(F.split("text", r"[.,\n]+ *")).alias("p")).filter("p <> ''")
+    return phrases.select("doc_id", text.phrase_fault(F.col("p")).alias("fault")).groupBy("doc_id", "fault").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""")
@@ -84,9 +79,12 @@ def parse_dates(t):
     return t("orders").select("o_orderkey", dates.parse_date(written).cast("string").alias("day"))
 
 
-@query("SELECT n_nationkey, list_reduce(list_prepend(CAST(0 AS BIGINT), list_transform(string_split(w, ''), lambda c: CAST(ord(c) - 96 AS BIGINT))), lambda a, b: a * 30 + b) AS ordinal FROM (SELECT n_nationkey, lower(n_name[1:3]) AS w FROM nation)")
+@query("SELECT p_partkey, (p_partkey % 26 + 1) * 30 + p_partkey // 26 % 26 + 1 AS ordinal FROM part")
 def alpha_order(t):
-    return t("nation").select("n_nationkey", text.alpha_order(F.lower(F.substring("n_name", 1, 3))).alias("ordinal"))
+    """Two revision letters made from a part's key, as a number."""
+    letter = lambda k: F.char(k % 26 + 97)
+    k = F.col("p_partkey")
+    return t("part").select("p_partkey", text.alpha_order(F.concat(letter(k), letter(F.expr("p_partkey div 26")))).alias("ordinal"))
 
 
 @query("""SELECT event_id, CAST(hour(ts) * 60 + minute(ts) AS INTEGER) AS minutes FROM events""")

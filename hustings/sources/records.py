@@ -87,10 +87,12 @@ def dump_rows(spark: SparkSession, path: str, table: str, columns: list[str]) ->
 
 
 def sidecar(df: DataFrame, others: list[DataFrame], key: str = "id") -> DataFrame:
-    """df with what sidecar tables know of each key; where several name a column the first that knows it counts."""
+    """df with what sidecar tables know of each key; where several name a column the first that knows it counts. Of rows of
+    one sidecar that share a key the least counts."""
     for other in others:
         fresh = [c for c in other.columns if c != key]
-        renamed = other.dropDuplicates([key]).select(key, *(F.col(c).alias(f"_new_{c}") for c in fresh))
+        one = other.groupBy(key).agg(F.min(F.struct(*fresh)).alias("_one")).select(key, "_one.*") if fresh else other.select(key).distinct()
+        renamed = one.select(key, *(F.col(c).alias(f"_new_{c}") for c in fresh))
         df = df.join(renamed, key, "left")
         for c in fresh:
             df = df.withColumn(c, F.coalesce(F.col(c), F.col(f"_new_{c}")) if c in df.columns else F.col(f"_new_{c}")).drop(f"_new_{c}")
