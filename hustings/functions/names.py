@@ -52,6 +52,27 @@ def peer(s: Column) -> Column:
     return F.struct(g(1).isNotNull().alias("the"), F.initcap(g(2)).alias("prefix"), g(3).alias("name"), g(4).alias("lordof"))
 
 
+# How division lists shorten the ranks of peers.
+RANKS = {"L.": "Lord", "B.": "Baroness", "Abp.": "Archbishop", "Bp.": "Bishop", "V.": "Viscount", "E.": "Earl", "D.": "Duke", "M.": "Marquess", "C.": "Countess", "Ly.": "Lady"}
+
+
+def reversed_peer(s: Column) -> Column:
+    """A peer's full style from a division list's 'Name, L.' or 'Name of Place, Bp.'; null where no rank is known."""
+    rank = F.regexp_replace(F.regexp_extract(F.trim(s), r",\s{0,3}([A-Z][a-z]{0,2})\.?$", 1), "$", ".")
+    known = F.create_map(*(F.lit(x) for pair in RANKS.items() for x in pair))
+    style = F.translate(F.regexp_replace(F.trim(s), r",[^,]*$", ""), ".\u2019", "\u0000'")
+    style = F.regexp_replace(F.replace(style, F.lit("\u0000")), "^De ", "de ")
+    title = F.try_element_at(known, rank)
+    return F.when(title.isNotNull(), F.concat_ws(" ", title, style))
+
+
+def canonical_peer(s: Column) -> Column:
+    """A peer's style for comparing: without 'The', dots, apostrophes of any kind and doubled blanks, in lower case; 'Lord
+    Bishop of' and 'Bishop of' are one."""
+    plain = F.lower(F.regexp_replace(F.translate(F.trim(s), ".'\u2019", ""), r"\s+", " "))
+    return F.regexp_replace(F.regexp_replace(plain, "^the ", ""), "^(?:right reverend the )?(?:lord )?(arch)?bishop of ", "$1bishop of ")
+
+
 def vote_line(s: Column) -> Column:
     """struct<family, given, seat, party> of a line of a division list, by the first of three forms that fits:
     'Family, Given (Seat) (Party)', 'Given Family (Party)', 'Family, Given'."""
