@@ -142,8 +142,8 @@ def name_ranges(t):
     return resolution.name_ranges(c, terms(t).withColumn("seat", F.lit("x"))).select("person", "name", F.col("start_date").cast("string"), F.col("end_date").cast("string"))
 
 
-@query("""WITH r AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag AS category, CAST(l_quantity AS INTEGER) AS q FROM lineitem)
-SELECT l_orderkey AS person_id, category, CAST(l_linenumber AS VARCHAR) AS interest_id, 'amount' AS slug, CAST(q AS VARCHAR) AS value FROM r WHERE q % 5 <> 0
+@query("""WITH r AS (SELECT DISTINCT l_orderkey, l_linenumber, l_returnflag AS category, CASE WHEN CAST(l_quantity AS INTEGER) % 5 <> 0 THEN CAST(l_quantity AS INTEGER) END AS q FROM lineitem)
+SELECT l_orderkey AS person_id, category, CAST(l_linenumber AS VARCHAR) AS interest_id, 'amount' AS slug, CAST(q AS VARCHAR) AS value FROM r WHERE q IS NOT NULL
 UNION ALL SELECT l_orderkey, category, CAST(l_linenumber AS VARCHAR), 'flag', category FROM r""")
 def register_round_trip(t):
     """Register entries with typed details, nested to a document for each person and flattened again."""
