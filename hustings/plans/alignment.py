@@ -18,7 +18,8 @@ def redirects(docs: DataFrame, work: str, version: str, text: str, least: float
     that it comes from.
 
     kind is perfectmatch where the n-th paragraph of these words meets the n-th, changes where an unmatched paragraph in
-    the same gap between perfect matches, or at most reach places off, is at least so similar, missing otherwise.
+    the same gap between perfect matches, or at most reach places off, is at least so similar, missing otherwise. An old
+    paragraph is the change of one new one only, the most similar; others that come from it too are multiplecover.
     Matching is a join by hash; only what is left is compared, with what was left in its gap or stands near.
     """
     first = docs.groupBy(work).agg(F.min(version).alias("_first"))
@@ -39,4 +40,7 @@ def redirects(docs: DataFrame, work: str, version: str, text: str, least: float
     alike = F.when(F.col("old_para").isNotNull() & F.col("_used").isNull(), similarity_to()(F.col("para"), F.col("old_para")))
     best = near.withColumn("alike", alike).groupBy(version, "seq").agg(F.max(F.struct(F.coalesce("alike", F.lit(0.0)).alias("alike"), (-F.col("target")).alias("at"))).alias("b"))
     fine = F.col("b.alike") >= least
-    return perfect.union(best.select(version, "seq", F.when(fine, "changes").otherwise("missing").alias("kind"), F.when(fine, -F.col("b.at")).alias("target")))
+    told = best.select(version, "seq", F.when(fine, -F.col("b.at")).alias("target"), F.col("b.alike").alias("alike"))
+    first_of = F.row_number().over(Window.partitionBy(version, "target").orderBy(F.desc("alike"), "seq"))
+    kind = F.when(F.col("target").isNull(), "missing").when(F.col("_claim") == 1, "changes").otherwise("multiplecover")
+    return perfect.union(told.withColumn("_claim", first_of).select(version, "seq", kind.alias("kind"), "target"))

@@ -10,7 +10,7 @@ CUT = ""
 #: Recognisers in order: what an earlier one has taken, a later one does not see.
 RECOGNISERS = (
     ("date", r"\b\d{1,2} (?:January|February|March|April|May|June|July|August|September|October|November|December)(?: \d{4})?\b"),
-    ("time", r"\b\d{1,2}[.:]\d{2}(?: ?[ap]\.?m\.?)?(?!\d)"),
+    ("time", r"\b\d{1,2}[.:]\d{2}(?: ?[ap]\.?m\b\.?|\b)"),
     ("money", r"£\d[\d,]*(?:\.\d+)?(?: (?:million|billion))?"),
     ("reference", r"\b(?:Cm|HC|HL|Official Report)[,.]? ?\d[\d/.-]*"),
     ("email", r"[\w.+-]+@[\w-]+(?:\.[\w-]+)+"),

@@ -2,24 +2,30 @@
 
 from pyspark.sql import functions as F
 
-from hustings.plans import alignment, linking, phrases, resolution
+from hustings.plans import linking, phrases, resolution
 from hustings.queries import query
 from hustings.streaming import ingest
 
 
-@query()
+def _cut(pieces: str, kind: str, pattern: str) -> str:
+    """The DuckDB expression that cuts the unclaimed ones of pieces at a pattern's matches."""
+    pattern = pattern.replace("'", "''")
+    parts = f"string_split(regexp_replace(s.token, '({pattern})', chr(57344) || '\\1' || chr(57344), 'g'), chr(57344))"
+    return f"flatten(list_transform({pieces}, lambda s: CASE WHEN s.kind = 'text' THEN list_transform({parts}, lambda x, i: {{'kind': CASE WHEN i % 2 = 0 THEN '{kind}' ELSE 'text' END, 'token': x}}) ELSE [s] END))"
+
+
+_steps = ["p0 AS (SELECT doc_id, [{'kind': 'text', 'token': replace(text, chr(57344), '')}] AS k FROM documents WHERE text IS NOT NULL)"]
+for _n, (_kind, _pattern) in enumerate(phrases.RECOGNISERS):
+    _steps.append(f"p{_n + 1} AS (SELECT doc_id, {_cut('k', _kind, _pattern)} AS k FROM p{_n})")
+PHRASES = f"WITH {', '.join(_steps)}, c AS (SELECT doc_id, list_filter(k, lambda s: s.token <> '') AS k FROM p{len(phrases.RECOGNISERS)}) SELECT doc_id, CAST(i - 1 AS INTEGER) AS seq, k[i].kind AS kind, k[i].token AS token FROM c, unnest(range(1, len(k) + 1)) AS r(i)"
+
+
+@query(PHRASES)
 def phrase_tokens(t):
     """All documents cut into typed tokens; joined again they are the text."""
     return phrases.tokenize(t("documents").select("doc_id", "text"), "doc_id", "text")
 
 
-@query()
-def gid_redirects(t):
-    """Paragraphs of near copies led to the paragraphs of the first document of their source that begins alike."""
-    docs = t("documents").select("doc_id", F.concat_ws("|", "source", "lang", F.substring("text", 1, 12)).alias("work"), "text")
-    return alignment.redirects(docs, "work", "doc_id", "text")
-
-
 @query("""WITH t AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS start_date, coalesce(lead(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE), o_orderkey) - INTERVAL 1 DAY, DATE '9999-12-31')::DATE AS end_date FROM orders),
 alias AS (SELECT t.o_custkey AS person, c.c_name AS name, n.n_name AS seat, start_date, end_date FROM t JOIN customer c ON c.c_custkey = t.o_custkey JOIN nation n ON n.n_nationkey = c.c_nationkey),
 probe AS (SELECT e.event_id, c.c_name AS name, CASE WHEN e.event_id % 2 = 0 THEN n.n_name END AS seat, DATE '1996-01-01' + CAST(e.event_id % 1500 AS INTEGER) AS day FROM events e JOIN customer c ON c.c_custkey = e.user_id JOIN nation n ON n.n_nationkey = c.c_nationkey),

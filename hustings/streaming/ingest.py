@@ -3,16 +3,11 @@ since the last one and ends, as a scheduled job would."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hustings.sources.shared import shared_folder
 
-STATE = "n long, n_errors long, last_event long"
-
 
 def file_stream(spark: SparkSession, path: str, per_batch: int = 64) -> DataFrame:
     """A stream over the Parquet files at path; its checkpoint remembers which were taken in."""
@@ -28,20 +23,29 @@ def run(stream: DataFrame, sink, checkpoint: str, mode: str = "append") -> None:
     query.awaitTermination()
 
 
-def drain(stream: DataFrame, mode: str = "append") -> DataFrame:
-    """The result of a stream after all files: of every batch, or of the last one in complete mode."""
-    folder = shared_folder(stream.sparkSession)
-    last = []
+def finished(spark: SparkSession, folder: str, name: str) -> list[int]:
+    """Numbers of the batches whose tables, named and numbered so, were written whole in folder."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}*/_SUCCESS")
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path)
+    return sorted(int(f.getPath().getParent().getName().removeprefix(name)) for f in found or [])
+
+
+def drain(stream: DataFrame, mode: str = "append", folder: str | None = None) -> DataFrame:
+    """The result of a stream after all files: of every batch, or of the last one in complete mode.
+
+    With a folder (below the shared one) what was taken in and what came of it outlive the run: a later run with the same
+    folder takes in only new files and returns the result of all. Without, each call begins anew.
+    """
+    spark, folder = stream.sparkSession, folder or shared_folder(stream.sparkSession)
 
     def sink(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{folder}/out/batch={number}")
-        last.append(number)
 
     run(stream, sink, f"{folder}/checkpoint", mode)
-    spark = stream.sparkSession
-    if not last:
+    done = finished(spark, f"{folder}/out", "batch=")
+    if not done:
         return spark.createDataFrame([], stream.schema)
-    return spark.read.parquet(f"{folder}/out/batch={max(last)}") if mode == "complete" else spark.read.parquet(f"{folder}/out").drop("batch")
+    return spark.read.parquet(f"{folder}/out/batch={done[-1]}") if mode == "complete" else spark.read.parquet(f"{folder}/out").drop("batch")
 
 
 def timed(events: DataFrame) -> DataFrame:
@@ -66,41 +70,29 @@ def without_repeats(events: DataFrame, keys: list[str], late: str = "28 days") -
     return timed(events).withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def first_seen(stream: DataFrame, keys: list[str], row_id: str) -> DataFrame:
+def first_seen(stream: DataFrame, keys: list[str], row_id: str, folder: str | None = None) -> DataFrame:
     """The least row_id of each key, merged batch by batch into a table that the next batch reads.
 
-    Versions are folders by batch number, so a batch that comes again reads what came before it and writes the same.
+    Versions are folders by batch number, so a batch that comes again reads what came before it and writes the same. With
+    a folder the table outlives the run, as drain() has it.
     """
-    folder, spark = shared_folder(stream.sparkSession), stream.sparkSession
-    done: list[int] = []
+    spark, folder = stream.sparkSession, folder or shared_folder(stream.sparkSession)
 
     def sink(batch: DataFrame, number: int) -> None:
         new = batch.select(*keys, row_id)
-        before = [n for n in done if n < number]
-        held = spark.read.parquet(f"{folder}/held-{max(before)}").unionByName(new) if before else new
+        before = [n for n in finished(spark, folder, "held-") if n < number]
+        held = spark.read.parquet(f"{folder}/held-{before[-1]}").unionByName(new) if before else new
         held.groupBy(*keys).agg(F.min(row_id).alias(row_id)).write.mode("overwrite").parquet(f"{folder}/held-{number}")
-        done.append(number)
 
     run(stream, sink, f"{folder}/checkpoint")
-    return spark.read.parquet(f"{folder}/held-{max(done)}") if done else spark.createDataFrame([], stream.select(*keys, row_id).schema)
-
-
-def _advance(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-    n, errors, last = state.get if state.exists else (0, 0, -1)
-    for rows in batches:
-        n, errors, last = n + len(rows), errors + int((rows.event_type == "error").sum()), max(last, int(rows.event_id.max()))
-    state.update((n, errors, last))
-    yield pd.DataFrame({"user_id": [key[0]], "n": [n], "n_errors": [errors], "last_event": [last]})
+    done = finished(spark, folder, "held-")
+    return spark.read.parquet(f"{folder}/held-{done[-1]}") if done else spark.createDataFrame([], stream.select(*keys, row_id).schema)
 
 
-def user_states(events: DataFrame) -> DataFrame:
-    """How far each user is: events, errors and the last event, as the stream's state after all files.
-
-    A key's rows reach the function in Arrow batches of bounded size, and its state is three numbers.
-    """
-    stream = events.select("user_id", "event_id", "event_type").groupBy("user_id").applyInPandasWithState(_advance, f"user_id long, {STATE}", STATE, "update", "NoTimeout")
-    changes = drain(stream, "update")
-    return changes.groupBy("user_id").agg(F.max_by(F.struct("n", "n_errors", "last_event"), F.col("n")).alias("s")).select("user_id", "s.*")
+def user_states(events: DataFrame, folder: str | None = None) -> DataFrame:
+    """How far each user is: events, errors and the last event, kept as the stream's state from batch to batch."""
+    states = events.groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(F.col("event_type") == "error").alias("n_errors"), F.max("event_id").alias("last_event"))
+    return drain(states, "complete", folder)
 
 
 def new_files(spark: SparkSession, path: str, seen: str, read) -> DataFrame | None:

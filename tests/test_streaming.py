@@ -52,3 +52,14 @@ def test_sessions_keep_events_of_later_batches(spark, tmp_path):
         os.utime(tmp_path / f"in/{n}.parquet", (1_700_000_000 + 100 * n,) * 2)
     got = ingest.drain(ingest.sessions(ingest.file_stream(spark, str(tmp_path / "in"), per_batch=1)), "complete")
     assert sorted((r.started[:10], r.n) for r in got.collect()) == [("2023-01-01", 1), ("2024-01-01", 1), ("2024-05-20", 1), ("2024-06-01", 2)]
+
+
+def test_states_outlive_a_run(spark, tmp_path):
+    events = lambda ids: spark.createDataFrame([(i, i % 2, "error" if i % 3 == 0 else "view") for i in ids], "event_id long, user_id long, event_type string")
+    path, state, seen = (str(tmp_path / n) for n in ("events", "state", "seen"))
+    for ids, want in ((range(6), {0: (3, 1, 4), 1: (3, 1, 5)}), (range(6, 8), {0: (4, 2, 6), 1: (4, 1, 7)})):
+        events(ids).write.mode("append").parquet(path)
+        got = ingest.user_states(ingest.file_stream(spark, path, 1), f"file://{state}")
+        assert {r.user_id: (r.n, r.n_errors, r.last_event) for r in got.collect()} == want
+        first = ingest.first_seen(ingest.file_stream(spark, path, 1), ["user_id"], "event_id", f"file://{seen}")
+        assert sorted(map(tuple, first.collect())) == [(0, 0), (1, 1)]
