@@ -288,16 +288,6 @@ def counted_contributions(t):
     return d.select("doc_id", "source", F.upper("lang").alias("language")).join(d.groupBy("source").agg(F.count("*").alias("n_votes")), "source").select("doc_id", "language", "n_votes")
 
 
-@query("""WITH o AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 3 = 0 THEN p_name END AS v FROM part), n AS (SELECT p_partkey AS k, CASE WHEN p_partkey % 2 = 0 THEN p_name WHEN p_partkey % 9 = 0 THEN 'other' END AS v FROM part)
-SELECT o.k AS p_partkey, n.v AS value, CASE WHEN n.v IS NULL THEN 'clear' WHEN o.v IS NULL THEN 'set' WHEN o.v = n.v THEN 'keep' ELSE 'change' END AS action FROM o JOIN n ON n.k = o.k WHERE o.v IS NOT NULL OR n.v IS NOT NULL""")
-def attribute_sync(t):
-    """Sparse attributes brought in line with what they should be."""
-    k = F.col("p_partkey")
-    held = t("part").select("p_partkey", F.when(k % 3 == 0, F.col("p_name")).alias("value"))
-    wanted = t("part").select("p_partkey", F.when(k % 2 == 0, F.col("p_name")).when(k % 9 == 0, "other").alias("value"))
-    return tables.attribute_sync(held, wanted, "p_partkey", "value")
-
-
 @query("""SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'SAME' WHEN o_orderkey % 3 = 1 THEN 'EXTENSION' ELSE 'DIFFERENT' END AS class FROM orders""")
 def version_classes(t):
     """Whether a new version is the same, goes on from the old one or differs."""
