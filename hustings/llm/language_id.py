@@ -3,24 +3,27 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import slices, utf8
-from hustings.llm.sampling import held_out, sample_ids, sample_texts
+from hustings.llm.common import of_text
+from hustings.llm.sampling import held_out, sample_ids, sampled
 
-#: Bounds of the training sample: documents of each language, bytes of a text, windows of a text.
-SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_WINDOWS = 500, 65_536, 3
-#: Bytes of a window, widths of filters, filters of each width.
-WINDOW, WIDTHS, FILTERS = 256, (2, 3, 4), 8
+#: Documents of each language in the training sample; of each the first, the middle and the last window.
+SAMPLE_DOCS = 500
+#: Bytes of a window, widths of filters, filters of each width, letters that a window needs to be learned from.
+WINDOW, WIDTHS, FILTERS, LETTERS = 256, (2, 3, 4), 8, 20
 #: Letters keep their lower case, digits are one symbol, other ASCII is one, bytes from 128 on each have one.
 SYMBOL = np.array([b - 128 + 28 if b >= 128 else (b | 32) - 97 + 2 if 97 <= (b | 32) <= 122 and b >= 65 else 1 if 48 <= b <= 57 else 0 for b in range(256)], np.int32)
 SYMBOLS = 156
+#: Steps that training takes at least, however small the sample.
+LEAST_STEPS = 300
+#: Bytes of text whose windows are looked at together; a multiple of WINDOW.
+PART = 1 << 20
 ASCII_LETTER = re.compile(rb"[A-Za-z]")
 
 
@@ -39,27 +42,38 @@ def windows(text: bytes) -> np.ndarray:
     return SYMBOL[np.frombuffer(text.ljust(n * WINDOW), np.uint8)].reshape(n, WINDOW)
 
 
-def train(sample: list[tuple[str, str, float]], rounds: int = 12, rate: float = 0.02, seed: int = 7) -> Model:
-    """Adam on the log-loss of windows: convolution, maximum over the window, rectifier, dense layer, softmax."""
+def sample_windows(text: Column) -> Column:
+    """The bytes of a text's first, middle and last window, cut by Spark so that no whole text reaches the driver."""
+    raw = F.encode(text, "UTF-8")
+    last = F.greatest(F.ceil(F.octet_length(text) / WINDOW), F.lit(1)).cast("int") - 1
+    places = F.array_distinct(F.array(F.lit(0), F.floor(last / 2).cast("int"), last))
+    return F.when(text.isNotNull(), F.transform(places, lambda i: F.substring(raw, i * WINDOW + 1, F.lit(WINDOW))))
+
+
+def train(sample: list[tuple[list[bytes], str, float]], rounds: int = 12, rate: float = 0.02, seed: int = 7) -> Model:
+    """Adam on the log-loss of windows: convolution, maximum over the window, rectifier, dense layer, softmax.
+
+    Windows of fewer than LETTERS letters are left out, unless a language has no others. Where no window has a letter, or all
+    are of one language, the most frequent language is the answer to everything.
+    """
     languages = sorted({y for _, y, _ in sample})
     rng = np.random.default_rng(seed)
     model = Model(languages, [rng.normal(0, 0.3, (w, SYMBOLS, FILTERS)) for w in WIDTHS], np.zeros(len(WIDTHS) * FILTERS), rng.normal(0, 0.3, (len(WIDTHS) * FILTERS, len(languages))), np.zeros(len(languages)))
-    if len(languages) < 2:
+    if not languages:
         return model
-    x, y = [], []
-    for text, label, _ in sample:
-        some = windows(text.encode())
-        some = some[np.linspace(0, len(some) - 1, min(SAMPLE_WINDOWS, len(some))).astype(int)]
-        some = some[(some > 1).sum(axis=1) >= 20]
-        x.append(some)
-        y += [languages.index(label)] * len(some)
-    x, y = np.concatenate(x), np.array(y)
-    if not len(x):
+    x = np.concatenate([windows(bytes(piece)) for pieces, *_ in sample for piece in pieces])
+    y = np.array([languages.index(label) for pieces, label, _ in sample for _ in pieces])
+    letters = (x > 1).sum(axis=1)
+    if letters.max() == 0 or len(languages) < 2:
+        model.dense[:], model.bias[:] = 0, np.log([np.mean(y == k) for k in range(len(languages))])
         return model
+    enough = np.array([(letters[y == k] >= LETTERS).any() for k in range(len(languages))])
+    told = letters >= np.where(enough[y], LETTERS, 1)
+    x, y = x[told], y[told]
     parts = [*model.filters, model.shift, model.dense, model.bias]
     m, v = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
     step = 0
-    for _ in range(rounds):
+    for _ in range(max(rounds, -(-LEAST_STEPS * 128 // len(x)))):
         order = rng.permutation(len(x))
         for at in range(0, len(x), 128):
             step += 1
@@ -123,39 +137,57 @@ def has_letter(text: bytes) -> bool:
     return bool(ASCII_LETTER.search(text)) or (not text.isascii() and any(map(str.isalpha, text.decode())))
 
 
+def learned_from(docs: DataFrame) -> DataFrame:
+    """The rows of docs that identify() may learn from."""
+    return docs.filter(~held_out() & F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+
+
 def identify(docs: DataFrame, columns: list[str] | None = None, sample_docs: int = SAMPLE_DOCS) -> DataFrame:
     """Every row of docs with the named columns (all by default), held_out, lang_pred and score.
 
-    Learns from text and lang of at most sample_docs documents of each language, none of them held out and none over
-    SAMPLE_BYTES. A prediction averages the chances of all windows of the whole text, each by its number of letters.
-    Texts that are missing or have no letter are 'und' with score 0, and so is every text if nothing could be learned
-    from. Columns of docs named as the new ones give way to them; an empty table gives an empty result.
+    Learns from three windows of text, and lang, of at most sample_docs documents of each language, none of them held
+    out. A prediction averages the chances of all windows of the whole text, each by its number of letters. Texts that are
+    missing or have no letter are 'und' with score 0; so is every text if there is no labelled one to learn from. Only
+    the text goes to Python; a very long one is taken in windows. Rows that share a doc_id are predicted one by one and
+    learned from once. Columns of docs named as the new ones give way to them; an empty table gives an empty result.
     """
     new = ("held_out", "lang_pred", "score")
     names = [c for c in docs.columns if c not in new]
     back = names if columns is None else columns
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-    ids = sample_ids(docs.filter(~held_out() & F.col("text").isNotNull()), "lang", sample_docs)
-    model = train(sample_texts(docs, ids, "lang", SAMPLE_BYTES))
+    ids = sample_ids(learned_from(docs), "lang", sample_docs)
+    model = train(sampled(docs, ids, "lang", sample_windows(F.col("text").cast("string"))))
     held = docs.sparkSession.sparkContext.broadcast(model)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        predictor = None
-        for batch in slices(batches, "text", 1 << 20):
-            predictor = predictor or Predictor(held.value)
-            texts, languages = utf8(batch.column("text")), held.value.languages
-            pieces = [windows(t) for t in texts]
-            x = np.concatenate(pieces)
-            count = np.array([len(p) for p in pieces])
-            weight = (x > 1).sum(axis=1) + 1e-3
-            p = predictor.probabilities(x) * weight[:, None] if languages else np.zeros((len(x), 1))
-            start = np.cumsum(count) - count
-            mean = np.add.reduceat(p, start, axis=0) / np.add.reduceat(weight, start)[:, None]
+    def setup():
+        languages, predictor = held.value.languages, Predictor(held.value)
+
+        def predict(texts: list[bytes]) -> pa.Array:
+            total, weights = np.zeros((len(texts), max(1, len(languages)))), np.zeros(len(texts))
+            owner, parts = [], []
+
+            def settle() -> None:
+                x = np.concatenate(parts)
+                weight = (x > 1).sum(axis=1) + 1e-3
+                np.add.at(weights, owner, weight)
+                np.add.at(total, owner, predictor.probabilities(x) * weight[:, None])
+
+            for at, text in enumerate(texts if languages else ()):
+                for start in range(0, max(1, len(text)), PART):
+                    parts.append(windows(text[start : start + PART]))
+                    owner += [at] * len(parts[-1])
+                    if len(owner) * WINDOW >= PART:
+                        settle()
+                        owner, parts = [], []
+            if parts:
+                settle()
+            mean = total / np.maximum(weights, 1e-9)[:, None]
             best = mean.argmax(axis=1)
             known = [bool(languages) and has_letter(t) for t in texts]
             pred = [languages[b] if k else "und" for b, k in zip(best.tolist(), known, strict=True)]
-            score = np.where(known, mean[np.arange(len(best)), best], 0.0)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in [*back, "held_out"]), pa.array(pred, pa.string()), pa.array(np.clip(score, 0, 1), pa.float64())], [*back, *new])
+            score = np.where(known, np.clip(mean[np.arange(len(best)), best], 0, 1), 0.0)
+            return pa.StructArray.from_arrays([pa.array(pred, pa.string()), pa.array(score, pa.float64())], ["lang_pred", "score"])
+
+        return predict
 
-    schema = ", ".join([*(f"`{n}` {kinds[n]}" for n in back), "held_out boolean, lang_pred string, score double"])
-    return docs.select(*names).withColumn("held_out", held_out()).mapInArrow(run, schema)
+    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, F.col("text"), "lang_pred string, score double", setup).alias("_told"))
+    return told.select(*back, "held_out", "_told.lang_pred", "_told.score")

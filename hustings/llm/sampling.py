@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hustings.llm.common import written
 
+#: Different labels that a sample may have; more are refused, as a sample has rows of each.
+MAX_LABELS = 300
+
 
 def held_out(doc_id="doc_id"):
     """Whether a document is kept from training: the CRC-32 of its doc_id as text leaves 2 when divided by 4."""
@@ -17,21 +20,29 @@ def sample_ids(labelled: DataFrame, label: str, per_label: int) -> DataFrame:
     """(doc_id, label, weight): at most per_label rows of each label, those whose doc_id hashes lowest.
 
     weight tells how many rows of its label each stands for. The sample takes the same rows at any partitioning; of a
-    doc_id with several labels the smallest counts. The sample has up to per_label rows for each label, so labels have to
-    be few anyway, and the table of their totals, one row for each, is broadcast: a frequent label's rows are thinned
-    where they are instead of meeting in one task.
+    doc_id with several labels the smallest counts, repeated rows count once, rows without doc_id or label not at all.
+    Over MAX_LABELS labels are an error, so the totals, one row for each label, come to the driver and are sent around: a
+    frequent label's rows are thinned where they are instead of meeting in one task.
     """
     keyed = labelled.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias(label)).withColumn("_h", F.xxhash64("doc_id"))
     totals = keyed.groupBy(label).agg(F.count("*").alias("_n"))
+    held = totals.limit(MAX_LABELS + 1).collect()
+    if len(held) > MAX_LABELS:
+        raise ValueError(f"column {label} has over {MAX_LABELS} different labels, the most that a sample is made for")
+    few = labelled.sparkSession.createDataFrame(held, totals.schema)
     # Hashes are even, so this share of them holds the lowest per_label; no task then ranks more than about twice those.
     share = (F.lit(2.0 * per_label) + 100) / F.col("_n")
-    near = keyed.join(F.broadcast(totals), label).filter(F.col("_h") / F.lit(2.0**64) + F.lit(0.5) < share)
+    near = keyed.join(F.broadcast(few), label).filter(F.col("_h") / F.lit(2.0**64) + F.lit(0.5) < share)
     ranked = near.withColumn("_r", F.row_number().over(Window.partitionBy(label).orderBy("_h", "doc_id"))).filter(F.col("_r") <= per_label)
     return ranked.select("doc_id", label, (F.col("_n") / F.least(F.col("_n"), F.lit(per_label))).alias("weight"))
 
 
-def sample_texts(docs: DataFrame, ids: DataFrame, label: str, most_bytes: int) -> list[tuple[str, object, float]]:
-    """(text, label, weight) of the documents that ids names, in a fixed order. ids has a bounded number of rows, so it
-    is broadcast; texts over most_bytes are passed over, so what comes to the driver is bounded too."""
-    some = docs.select("doc_id", "text").filter(F.octet_length("text") <= most_bytes).join(F.broadcast(written(ids)), "doc_id")
-    return [(r["text"], r[label], r["weight"]) for r in some.orderBy(F.xxhash64("doc_id"), "text").collect()]
+def sampled(docs: DataFrame, ids: DataFrame, label: str, value: Column) -> list[tuple]:
+    """(value, label, weight) of the documents that ids names, in a fixed order; those whose value is null are left out.
+
+    ids has a bounded number of rows, so it is broadcast. Of rows that share a doc_id the least value counts, so what
+    comes to the driver is one value for each row of ids at most.
+    """
+    some = docs.select("doc_id", value.alias("_value")).filter(F.col("_value").isNotNull()).join(F.broadcast(written(ids)), "doc_id")
+    one = some.groupBy("doc_id", label, "weight").agg(F.min("_value").alias("_value"))
+    return [(r["_value"], r[label], r["weight"]) for r in one.orderBy(F.xxhash64("doc_id"), "doc_id").collect()]

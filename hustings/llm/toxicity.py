@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
@@ -11,11 +10,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import ALNUM, slices, utf8
-from hustings.llm.sampling import held_out, sample_ids, sample_texts
+from hustings.llm.common import ALNUM, of_text
+from hustings.llm.sampling import held_out, sample_ids, sampled
 
-#: Bounds of the training sample: documents of each label, and bytes of a text.
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 65_536
+#: Bounds of the training sample: documents of each label, and bytes of a text (longer ones aren't learned from).
+SAMPLE_DOCS, SAMPLE_BYTES = 3000, 16_384
 #: A feature counts if toxic sample documents have it in excess by this log-likelihood ratio; words of a sentence at
 #: most (longer ones are parted); bytes of a word's beginning; words whose weights a worker keeps.
 LEAST_RATIO, SENTENCE_WORDS, BEGINNING, KEPT_WORDS = 16.0, 40, 6, 500_000
@@ -116,23 +115,23 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: list[str] | None
     score is the chance that the document would be labelled toxic; offending lists (sentence, score, text) of its
     sentences that score at least threshold, counted from 0. Learns from at most sample_docs documents of each label of
     labels (doc_id, toxic), none of them held out and none over SAMPLE_BYTES. Text is the only input of a score; missing
-    and empty texts have no sentences and score 0. Without labels of both kinds every sentence scores as the one kind
+    and empty texts have no sentences and score 0; long ones are scored whole. Rows that share a doc_id are scored one by
+    one and learned from once, labels that do count as the smallest. Without labels of both kinds every sentence scores as the one kind
     does. Columns of docs named as the new ones give way to them; an empty table gives an empty result.
     """
     new = ("held_out", "score", "offending")
-    names = [c for c in docs.columns if c not in new]
-    back = names if columns is None else columns
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
+    back = [c for c in docs.columns if c not in new] if columns is None else columns
+    text = F.col("text").cast("string")
     ids = sample_ids(labels.filter(~held_out()), "toxic", sample_docs)
-    model = train(sample_texts(docs, ids, "toxic", SAMPLE_BYTES))
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(train(sampled(docs, ids, "toxic", F.when(F.octet_length(text) <= SAMPLE_BYTES, text))))
     offending = pa.list_(pa.struct([("sentence", pa.int32()), ("score", pa.float64()), ("text", pa.string())]))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def setup():
         by_feature, bias = held.value
         weights = Weights(by_feature)
-        for batch in slices(batches, "text"):
-            parted = [sentences(t) for t in utf8(batch.column("text"))]
+
+        def score(texts: list[bytes]) -> pa.Array:
+            parted = [sentences(t) for t in texts]
             flat = [s for d in parted for s in d]
             size = np.fromiter(map(len, flat), np.int64, len(flat))
             known = np.fromiter(map(weights.__getitem__, chain.from_iterable(flat)), np.float64, int(size.sum()))
@@ -144,7 +143,10 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: list[str] | None
             high = np.flatnonzero(p >= threshold)
             for i, d in zip(high.tolist(), (np.searchsorted(first, high, side="right") - 1).tolist(), strict=True):
                 found[d].append({"sentence": i - int(first[d]), "score": float(p[i]), "text": b" ".join(flat[i]).decode()})
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in [*back, "held_out"]), pa.array(1 - np.exp(quiet)), pa.array(found, offending)], [*back, *new])
+            return pa.StructArray.from_arrays([pa.array(1 - np.exp(quiet)), pa.array(found, offending)], ["score", "offending"])
+
+        return score
 
-    schema = ", ".join([*(f"`{n}` {kinds[n]}" for n in back), "held_out boolean, score double, offending array<struct<sentence: int, score: double, text: string>>"])
-    return docs.select(*names).withColumn("held_out", held_out()).mapInArrow(run, schema)
+    schema = "score double, offending array<struct<sentence: int, score: double, text: string>>"
+    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, text, schema, setup).alias("_told"))
+    return told.select(*back, "held_out", "_told.score", "_told.offending")
