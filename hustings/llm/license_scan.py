@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import ahocorasick
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from hustings.llm.common import alnum_words, slices, utf8
+from hustings.llm.common import alnum_words, of_text
 
 # Phrases that count as base places, and their labels.
 BASE_PHRASES = {
@@ -39,22 +39,23 @@ STRENGTH = {"or": 1, "and": 2, "with": 3}
 TOKEN = re.compile(r"[ \t]*([A-Za-z0-9][A-Za-z0-9.+-]*|[()])")
 
 
-def parse_expression(text: str) -> list[str]:
-    """The longest licence expression that text begins with, in postfix order; [] if there is none.
+def parse_expression(text: str, at: int = 0) -> list[str]:
+    """The longest licence expression that begins at a place of text, in postfix order; [] if there is none.
 
     Operators are and, or, with (any case); with binds closest, or least, each from left to right; brackets group.
     Identifiers come back in lower case. Reading stops at the first token that can't follow; an operator without a
     second operand, or a bracket that isn't closed, is left out.
     """
-    at, best = 0, []
     output: list[str] = []
     stack: list[str] = []
-    operand_next = True
+    best: tuple[int, list[str]] = (0, [])  # how much of output an expression has, and the operators that are open then
+    brackets, operand_next = 0, True
     while m := TOKEN.match(text, at):
         token, low = m[1], m[1].lower()
         if operand_next:
             if token == "(":
                 stack.append(token)
+                brackets += 1
             elif token == ")" or low in STRENGTH:
                 break
             else:
@@ -66,6 +67,7 @@ def parse_expression(text: str) -> list[str]:
             if not stack:
                 break
             stack.pop()
+            brackets -= 1
         elif low in STRENGTH:
             while stack and STRENGTH.get(stack[-1], 0) >= STRENGTH[low]:
                 output.append(stack.pop())
@@ -74,9 +76,9 @@ def parse_expression(text: str) -> list[str]:
         else:
             break
         at = m.end()
-        if not operand_next and "(" not in stack:
-            best = output + stack[::-1]
-    return best
+        if not operand_next and not brackets:
+            best = (len(output), stack[::-1])  # three operators at most, each stronger than the one below
+    return output[: best[0]] + best[1]
 
 
 def identifiers(postfix: list[str]) -> list[str]:
@@ -85,7 +87,9 @@ def identifiers(postfix: list[str]) -> list[str]:
     for token in postfix:
         if token in STRENGTH:
             right, left = stack.pop(), stack.pop()
-            stack.append(left if token == "with" else left + right)
+            if token != "with":
+                left += right
+            stack.append(left)
         else:
             stack.append([token])
     return stack[0] if stack else []
@@ -118,15 +122,17 @@ class Scanner:
         words = alnum_words(text)
         line = f" {b' '.join(words).decode('latin-1')} "
         starts, base, labels = [], set(), set()
+        spaces, counted = 0, 0  # blanks of the line up to a place that only moves on
         for end, (size, label, counts) in self.phrases.iter(line):
             labels.add(label)
             if counts:
-                starts.append(line.count(" ", 0, end) - size)
+                spaces, counted = spaces + line.count(" ", counted, end), end
+                starts.append(spaces - size)
                 base.add(label)
         expressions = []
-        for end, _ in self.tags.iter(text.lower().decode("latin-1")) if b":" in text else ():
-            rest = text[end + 1 : text.find(b"\n", end + 1) if b"\n" in text[end + 1 :] else len(text)].decode("latin-1")
-            if postfix := parse_expression(rest):
+        plain = text.decode("latin-1") if b":" in text else ""
+        for end, _ in self.tags.iter(text.lower().decode("latin-1")) if plain else ():
+            if postfix := parse_expression(plain, end + 1):  # tokens don't cross the end of a line
                 expressions.append(" ".join(postfix))
                 labels.update(identifiers(postfix))
         # Each place halves the doubt that is left, each parsed tag quarters it.
@@ -146,18 +152,18 @@ def scan_licenses(docs: DataFrame, columns: list[str] | None = None) -> DataFram
     labels; labels: those, the labels of further phrases and the licences that SPDX tags name; expressions: the tags'
     expressions in postfix order; score: 0 where nothing was found, nearer to 1 the more was.
 
-    Missing and empty texts hold nothing. Columns of docs named as the new ones give way to them. Repeated rows come
-    back as often; an empty table gives an empty result.
+    Missing and empty texts hold nothing; time is in proportion to a text's length, however many places it has. Columns
+    of docs named as the new ones give way to them. Repeated rows come back as often; an empty table gives an empty result.
     """
-    names = [c for c in docs.columns if c not in FOUND.names]
-    back = names if columns is None else columns
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = None
-        for batch in slices(batches, "text"):
-            scanner = scanner or Scanner()
-            found = pa.RecordBatch.from_pylist([scanner.scan(t) for t in utf8(batch.column("text"))], FOUND)
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in back), *found.columns], [*back, *FOUND.names])
-
-    return docs.select(*names).mapInArrow(run, ", ".join([*(f"`{n}` {kinds[n]}" for n in back), FOUND_SQL]))
+    back = [c for c in docs.columns if c not in FOUND.names] if columns is None else columns
+
+    def setup():
+        scanner = Scanner()
+
+        def look(texts: list[bytes]) -> pa.Array:
+            return pa.array([scanner.scan(t) for t in texts], pa.struct(list(FOUND)))
+
+        return look
+
+    found = docs.select(*back, of_text(docs.sparkSession, F.col("text"), FOUND_SQL, setup).alias("_found"))
+    return found.select(*back, *(f"_found.{n}" for n in FOUND.names))
