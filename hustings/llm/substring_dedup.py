@@ -3,48 +3,39 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import sieve, slices, utf8, written
+from hustings.llm.common import bounded_batches, mixed, sieve, slices, utf8, word_hashes, written
 
 #: Words of a phrase that stands for the windows around it.
 PHRASE = 8
 #: Bytes of text that one automaton serves.
 SHARD_BYTES = 1 << 19
-#: Distinct words whose hashes a worker keeps.
-KEPT_WORDS = 100_000
 #: Odd multipliers of the two rolling hashes.
 PHRASE_BASE, WINDOW_BASE = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= KEPT_WORDS:
-            self.clear()
-        self[word] = value = xxhash.xxh64_intdigest(word)
-        return value
-
-
-_hashes = WordHashes()
-
-
 def powers(base: int, n: int) -> np.ndarray:
     factors = np.full(n + 1, base, np.uint64)
     factors[0] = 1
     return np.cumprod(factors, dtype=np.uint64)
 
 
-def mixed(x: np.ndarray) -> np.ndarray:
-    """x with its high bits mixed into the low ones and back, so that order by value is as good as random."""
-    x = (x ^ (x >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(29))
+def compiled(passages: list[str]) -> ahocorasick.Automaton:
+    """An automaton that finds the passages as whole words."""
+    automaton = ahocorasick.Automaton()
+    for passage in passages:
+        automaton.add_word(f" {passage} ", 0)
+    if len(automaton):
+        automaton.make_automaton()
+    return automaton
 
 
 class Slice:
@@ -61,7 +52,7 @@ class Slice:
         counts = np.array([len(w) for w in self.words], np.int64)
         self.starts = np.concatenate([[0], np.cumsum(counts)])
         n = int(self.starts[-1])
-        self.hash = np.fromiter((h for w in self.words for h in map(_hashes.__getitem__, w)), np.uint64, n)
+        self.hash = word_hashes(chain.from_iterable(self.words))
         room = n - window + 1
         self.chosen = np.empty(0, np.int64)
         if room <= 0:
@@ -97,21 +88,21 @@ class Slice:
     def docs_of(self, place: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.starts, place, side="right") - 1
 
-    def occurrences(self, places: np.ndarray) -> np.ndarray:
-        """Marks every place where a phrase stands that stands at one of places: an automaton of the phrases there are
-        streams all words of the slice."""
+    def passages(self, hashes: np.ndarray) -> list[str]:
+        """The words of the phrases that have these hashes, each once, from wherever in the slice one stands."""
+        if not len(self.chosen):
+            return []
+        every, first = np.unique(self.value[np.unique(self.chosen)], return_index=True)
+        place = np.unique(self.chosen)[first[np.isin(every, hashes.view(np.uint64), assume_unique=True)]]
+        owner = self.docs_of(place)
+        at = (place - self.starts[owner]).tolist()
+        return [b" ".join(self.words[d][p : p + self.phrase]).decode("latin-1") for d, p in zip(owner.tolist(), at, strict=True)]
+
+    def occurrences(self, passages: list[str]) -> np.ndarray:
+        """Marks every place of the slice where one of the passages stands: an automaton of them streams all its words."""
         marks = np.zeros(len(self.hash), bool)
-        automaton = ahocorasick.Automaton()
-        owner = self.docs_of(places)
-        for d, p in zip(owner.tolist(), (places - self.starts[owner]).tolist(), strict=True):
-            words = self.words[d][p : p + self.phrase]
-            if len(words) == self.phrase:
-                automaton.add_word(f" {b' '.join(words).decode('latin-1')} ", self.phrase)
-        if not len(automaton):
-            return marks
-        automaton.make_automaton()
-        for d in np.unique(owner).tolist():
-            words = self.words[d]
+        automaton = compiled(passages)
+        for d, words in enumerate(self.words if len(automaton) else ()):
             ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
             found = np.fromiter((e for e, _ in automaton.iter(f" {b' '.join(words).decode('latin-1')} ")), np.int64)
             marks[self.starts[d] + np.searchsorted(ends, found) - self.phrase + 1] = True
@@ -132,26 +123,26 @@ def hash_of(sums: tuple[np.ndarray, np.ndarray], start: np.ndarray, end: np.ndar
 
 
 def candidate_phrases(docs: DataFrame, window: int) -> DataFrame:
-    """(phrase, doc_id, place) for the phrase of every block; place counts words in the document."""
+    """(phrase, doc_id): the hashes of the phrases that each document's windows chose."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", 2 * SHARD_BYTES):
             s = Slice(utf8(batch.column("text")), window)
             place, _, _ = s.blocks()
             if len(place):
-                doc = s.docs_of(place)
-                yield pa.RecordBatch.from_pydict({"phrase": s.value[place].view(np.int64), "doc_id": batch.column("doc_id").take(pa.array(doc)), "place": (place - s.starts[doc]).astype(np.int32)})
+                yield pa.RecordBatch.from_pydict({"phrase": s.value[place].view(np.int64), "doc_id": batch.column("doc_id").take(pa.array(s.docs_of(place)))})
 
-    return docs.filter("doc_id is not null").mapInArrow(run, "phrase long, doc_id long, place int")
+    return docs.filter("doc_id is not null").mapInArrow(run, "phrase long, doc_id long")
 
 
 def recurring_blocks(docs: DataFrame, phrases: DataFrame, window: int) -> DataFrame:
     """Blocks of all documents whose phrases recur.
 
-    phrases: (doc_id, places) of those. Tasks compile the phrases that their documents hold into automata, each of a
-    slice of bounded size, stream the documents' words through them and hash what stands around every occurrence:
-    (phrase, block, doc_id, twin, first, count, windows); twin tells rows of one doc_id apart, block is the hash of the
-    block's words and windows holds the 64-bit hashes of its windows.
+    phrases: (doc_id, hashes) of those, which says what may occur in a document, not where. A shard is a slice of
+    documents of bounded size: the recurring phrases that may occur in it are compiled into its automaton, all its
+    documents' words are streamed through that, and what stands around every occurrence is hashed: (phrase, block, doc_id,
+    twin, first, count, windows). twin tells rows of one doc_id apart, block is the hash of the block's words and windows
+    holds the 64-bit hashes of its windows. What an automaton doesn't find is in no block.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,9 +150,8 @@ def recurring_blocks(docs: DataFrame, phrases: DataFrame, window: int) -> DataFr
             s = Slice(utf8(batch.column("text")), window)
             if not len(s.chosen):
                 continue
-            given = batch.column("places").to_pylist()
-            places = np.array([p for at, size, g in zip(s.starts[:-1].tolist(), np.diff(s.starts).tolist(), given, strict=True) for p in (at + x for x in g if x + s.phrase <= size)], np.int64)
-            place, first, count = s.blocks(s.occurrences(places))
+            likely = np.unique(batch.column("hashes").flatten().to_numpy())
+            place, first, count = s.blocks(s.occurrences(s.passages(likely)))
             if not len(place):
                 continue
             sums, doc = s.window_hashes(), s.docs_of(place)
@@ -191,8 +181,8 @@ def repeated_spans(docs: DataFrame, window: int = 50) -> DataFrame:
     recurring = found.groupBy("phrase").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).filter("lo < hi").select("phrase")
     recurring = written(recurring)
     likely = found.filter(sieve(recurring, "phrase")(F.col("phrase")))
-    places = written(likely.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_list("place").alias("places")))
-    blocks = written(recurring_blocks(texts.filter(sieve(places, "doc_id")(F.col("doc_id"))), places, window))
+    held = written(likely.join(recurring, "phrase").groupBy("doc_id").agg(F.collect_set("phrase").alias("hashes")))
+    blocks = written(recurring_blocks(texts.filter(sieve(held, "doc_id")(F.col("doc_id"))), held, window))
     kinds = written(blocks.groupBy("phrase", "block").agg(F.min("doc_id").alias("owner")))
     mixed_phrases = written(kinds.groupBy("phrase").agg(F.count("*").alias("n")).filter("n > 1").select("phrase"))
     several = blocks.filter(sieve(mixed_phrases, "phrase")(F.col("phrase")))
@@ -221,41 +211,49 @@ def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) -> DataFrame:
-    """Every row of docs with the named columns (all by default), and n_words, n_removed, kept_text: its words (parted by white space) that
-    no repeated window covers, joined by single spaces.
+    """Every row of docs with the named columns (all by default), and n_words, n_removed, kept_text: its words (parted by
+    white space) that no repeated window covers, joined by single spaces.
 
     A window is `window` consecutive words of one document; each word covered by a window whose words also start in a
     document with a smaller doc_id goes. All windows are judged on the input. Missing texts have no words. Rows without
     doc_id are neither earlier nor later than any other, so they stay whole and mark nothing; rows that share a doc_id
-    do not mark each other. Columns named as the new ones give way to them. An empty table gives an empty result.
+    do not mark each other. Long texts are taken whole. Columns named as the new ones give way to them. An empty table
+    gives an empty result. Only rows that may have spans are shuffled, with their other columns; only texts go to Python.
     """
+    spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "spans", "twin")]
     back = names if columns is None else columns
+    bounded_batches(spark)
     rows = docs.select(*names, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("twin"))
     spans = written(repeated_spans(docs, window))
     touched = sieve(spans, "doc_id")(F.col("doc_id").cast("long"))
     some = rows.filter(touched)
     joined = some.join(spans, (some.doc_id == spans.doc_id) & (some.twin == spans.twin), "left").select(*(some[n] for n in names), spans.spans)
     joined = joined.union(rows.filter(~touched).select(*names, F.lit(None).cast(spans.schema["spans"].dataType)))
-    kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 2 * SHARD_BYTES):
-            n_words, n_removed, kept = [], [], []
-            starts = pc.list_value_length(batch.column("spans")).fill_null(0).to_pylist()
-            flat = batch.column("spans").flatten()
-            begin, end = (x.to_numpy(zero_copy_only=False) for x in flat.flatten())
-            at = 0
-            for text, n in zip(utf8(batch.column("text")), starts, strict=True):
-                words = text.split()
-                mark = np.zeros(len(words) + 1, np.int64)
-                np.add.at(mark, begin[at : at + n], 1)
-                np.add.at(mark, end[at : at + n], -1)
-                gone = np.cumsum(mark)[:-1] > 0
-                at += n
-                n_words.append(len(words))
-                n_removed.append(int(gone.sum()))
-                kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if n else words))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in back), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], [*back, "n_words", "n_removed", "kept_text"])
-
-    return joined.mapInArrow(run, ", ".join([*(f"`{n}` {kinds[n]}" for n in back), "n_words bigint, n_removed bigint, kept_text string"]))
+    @F.arrow_udf("n_words bigint, n_removed bigint, kept_text string")
+    def keep(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for text, stretches in texts:
+            parts = [_kept(utf8(part.column(0)), part.column(1)) for part in slices([pa.RecordBatch.from_arrays([text, stretches], ["text", "spans"])], "text", 2 * SHARD_BYTES)]
+            yield pa.concat_arrays(parts)
+
+    told = joined.withColumn("_told", keep.asNondeterministic()(F.col("text").cast("string"), F.col("spans")))
+    return told.select(*back, "_told.n_words", "_told.n_removed", "_told.kept_text")
+
+
+def _kept(texts: list[bytes], spans: pa.Array) -> pa.Array:
+    n_words, n_removed, kept = [], [], []
+    sizes = pc.fill_null(pc.list_value_length(spans), 0).to_pylist()
+    begin, end = (x.to_numpy(zero_copy_only=False) for x in spans.flatten().flatten())
+    at = 0
+    for text, n in zip(texts, sizes, strict=True):
+        words = text.split()
+        mark = np.zeros(len(words) + 1, np.int64)
+        np.add.at(mark, begin[at : at + n], 1)
+        np.add.at(mark, end[at : at + n], -1)
+        gone = np.cumsum(mark)[:-1] > 0
+        at += n
+        n_words.append(len(words))
+        n_removed.append(int(gone.sum()))
+        kept.append(b" ".join([w for w, g in zip(words, gone.tolist(), strict=True) if not g] if n else words))
+    return pa.StructArray.from_arrays([pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())], ["n_words", "n_removed", "kept_text"])
