@@ -10,9 +10,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import slices, utf8
+from hustings.llm.common import bounded_batches, slices, utf8
 from hustings.llm.tokens import encoder, vocabulary
 
+#: Sequence ids: the bucket, then the partition (up to 2 ** 24 of them), then a count below 2 ** 32.
+BUCKET_SHIFT, PARTITION_SHIFT = 56, 32
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"
 
 
@@ -28,18 +30,22 @@ def pack(docs: DataFrame, max_tokens: int = 4096, vocab: str | None = None, end_
     A document is its text's ids and end_id; missing text counts as empty, so it gives the one piece [end_id]. Pieces
     are max_tokens (a power of two) long as often as they fit, then one for each set bit of what is left, so each is a
     sequence of its own without padding: sequence_id is unique, offset is 0, bucket is the length's logarithm to base
-    two. ids holds little-endian unsigned 32-bit integers. Documents with equal or missing doc_id are cut one by one.
+    two. ids holds little-endian unsigned 32-bit integers. Documents with equal or missing doc_id are cut one by one,
+    long ones whole; an empty table gives an empty result.
 
-    Nothing is shuffled: a task numbers its own sequences below a range that its partition owns. write_buckets() lays
-    pieces of equal length together.
+    Sequences are numbered bucket by bucket: all of one length have the ids from bucket << BUCKET_SHIFT on, in which each
+    partition owns a range. So nothing is shuffled, and a range of sequence_id is a bucket of equal lengths; by_bucket()
+    and write_buckets() lay it together.
     """
     if max_tokens & (max_tokens - 1):
         raise ValueError("max_tokens must be a power of two")
+    bounded_batches(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(vocabulary(vocab))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = TaskContext.get().partitionId() << 40
-        for batch in slices(batches, "text", 2 << 20):
+        base = TaskContext.get().partitionId() << PARTITION_SHIFT
+        made = np.zeros(64, np.int64)  # sequences so far, for each bucket
+        for batch in slices(batches, "text", 2 << 20, keep="tokens"):
             enc = encoder(held.value, end_id)
             rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens")}
             for doc_id, packed in zip(batch.column("doc_id").to_pylist(), enc.encode(utf8(batch.column("text"))), strict=True):
@@ -51,12 +57,23 @@ def pack(docs: DataFrame, max_tokens: int = 4096, vocab: str | None = None, end_
                     start += length
             length = np.array(rows["length"], np.int64)
             arrays = {n: pa.array(v, pa.binary() if n == "ids" else pa.int64()) for n, v in rows.items()}
-            yield pa.RecordBatch.from_pydict(arrays | {"sequence_id": np.arange(at, at + len(length)), "offset": np.zeros(len(length), np.int64), "bucket": np.log2(length).astype(np.int32)})
-            at += len(length)
+            bucket = np.log2(length).astype(np.int64)
+            order = np.argsort(bucket, kind="stable")
+            counts = np.bincount(bucket, minlength=64)
+            rank = np.empty(len(length), np.int64)
+            rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
+            sequence = (bucket << BUCKET_SHIFT) + base + made[bucket] + rank
+            made += counts
+            yield pa.RecordBatch.from_pydict(arrays | {"sequence_id": sequence, "offset": np.zeros(len(length), np.int64), "bucket": bucket.astype(np.int32)})
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
 
 
+def by_bucket(pieces: DataFrame) -> DataFrame:
+    """Pieces with equal lengths side by side in every partition, without a shuffle."""
+    return pieces.sortWithinPartitions("bucket", "sequence_id")
+
+
 def write_buckets(pieces: DataFrame, path: str) -> None:
     """Write pieces as Parquet with a folder for each length, so that a batch of one bucket needs no padding."""
-    pieces.write.partitionBy("bucket").parquet(path)
+    by_bucket(pieces).write.partitionBy("bucket").parquet(path)

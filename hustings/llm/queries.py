@@ -73,7 +73,7 @@ def op8_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(table(spark, sf_dir, "documents"))
-    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return packing.by_bucket(pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset", "bucket"))
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:

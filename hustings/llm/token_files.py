@@ -13,11 +13,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hustings.llm.common import shared_folder, slices, utf8
+from hustings.llm.common import bounded_batches, shared_folder, slices, utf8
 from hustings.llm.tokens import encoder, vocabulary
 
-#: How a missing doc_id is kept in the files of ids.
-NO_ID = np.iinfo(np.int64).min
 READ = "shard long, doc_id long, start long, n_tokens long"
 
 
@@ -35,20 +33,21 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocab: str | N
     32, shard.off the 64-bit offset of each document and the total, shard.ids the doc_ids. A retried task writes the
     same files anew under a name of its own and then renames them, so none is ever half written.
 
-    Returns the manifest, one row per shard that has documents: shard, folder, width, n_docs, n_tokens, base (ids in
-    all shards before it). Missing text counts as empty; each document ends in end_id. Equal doc_ids keep the order of
+    Returns the manifest, one row per shard that has documents: shard, folder, width, n_docs, n_null (its first documents,
+    which have no doc_id), n_tokens, base (ids in all shards before it). Long texts are written whole. Missing text counts as empty; each document ends in end_id. Equal doc_ids keep the order of
     their texts; missing doc_ids come first. An empty table gives an empty manifest.
     """
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark)}/tokens"
+    bounded_batches(spark)
     held = spark.sparkContext.broadcast(vocabulary(vocab))
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get()
         shard, enc, store, at = task.partitionId(), None, None, ""
-        lengths, ids = [], []
+        lengths, ids, n_null = [], [], 0
         out = None
-        for batch in slices(batches, "text"):
+        for batch in slices(batches, "text", keep="tokens"):
             if out is None:
                 enc = encoder(held.value, end_id)
                 store, path = _folder(folder)
@@ -58,7 +57,8 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocab: str | N
             for packed in enc.encode(utf8(batch.column("text"))):
                 out.write(packed)
                 lengths.append(len(packed))
-            ids.append(batch.column("doc_id").fill_null(int(NO_ID)).to_numpy(zero_copy_only=False).astype("<i8"))
+            ids.append(batch.column("doc_id").fill_null(0).to_numpy(zero_copy_only=False).astype("<i8"))
+            n_null += batch.column("doc_id").null_count
         if out is None:
             return
         out.close()
@@ -69,11 +69,11 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocab: str | N
                 file.write(data.tobytes())
             store.move(f"{temporary}.{name}", f"{at}.{name}")
         store.move(temporary, f"{at}.bin")
-        yield pa.RecordBatch.from_pydict({"shard": [shard], "folder": [folder], "width": [width], "n_docs": [len(lengths)], "n_tokens": [int(offsets[-1])]}, pa.schema([("shard", pa.int64()), ("folder", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_tokens", pa.int64())]))
+        yield pa.RecordBatch.from_pydict({"shard": [shard], "folder": [folder], "width": [width], "n_docs": [len(lengths)], "n_null": [n_null], "n_tokens": [int(offsets[-1])]}, pa.schema([("shard", pa.int64()), ("folder", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_null", pa.int64()), ("n_tokens", pa.int64())]))
 
     shards = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).repartitionByRange(F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     manifest = f"{folder}-manifest"
-    shards.mapInArrow(write, "shard long, folder string, width int, n_docs long, n_tokens long").write.parquet(manifest)
+    shards.mapInArrow(write, "shard long, folder string, width int, n_docs long, n_null long, n_tokens long").write.parquet(manifest)
     before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     return spark.read.parquet(manifest).withColumn("base", F.coalesce(F.sum("n_tokens").over(before), F.lit(0)))
 
@@ -102,14 +102,14 @@ def read_token_files(manifest: DataFrame, derive: Callable[[np.ndarray], dict] |
                         starts, ends = offsets[:-1][some], offsets[1:][some]
                         more = [derive(tokens[a:b]) for a, b in zip(starts, ends, strict=True)] if derive else []
                         yield pa.RecordBatch.from_pydict(
-                            {"shard": pa.array([row["shard"]] * len(starts), pa.int64()), "doc_id": pa.array(ids[some], pa.int64(), mask=ids[some] == NO_ID), "start": pa.array(starts + row["base"]), "n_tokens": pa.array(ends - starts)}
+                            {"shard": pa.array([row["shard"]] * len(starts), pa.int64()), "doc_id": pa.array(ids[some], pa.int64(), mask=np.arange(some.start, some.stop) < row["n_null"]), "start": pa.array(starts + row["base"]), "n_tokens": pa.array(ends - starts)}
                             | {n: pa.array([m[n] for m in more]) for n in names}
                         )
                     del tokens
 
     # A count of its own keeps small manifest rows from being gathered into one task that reads all files.
     tasks = min(max(1, manifest.count()), 20_000)
-    spread = manifest.select("shard", "folder", "width", "base").repartition(tasks, "shard")
+    spread = manifest.select("shard", "folder", "width", "n_null", "base").repartition(tasks, "shard")
     return spread.mapInArrow(read, READ + (f", {schema}" if schema else ""))
 
 

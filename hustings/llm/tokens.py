@@ -3,13 +3,17 @@
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from itertools import batched, pairwise
 
 import numpy as np
+import regex
+
+from hustings.llm.common import kept
 
 #: Chunks kept in a worker's dictionary, and the longest chunk that is kept, in bytes.
-CACHE_CHUNKS, CACHE_LENGTH = 700_000, 48
+CACHE_CHUNKS, CACHE_LENGTH = 200_000, 48
 #: Closing marks that are looked up apart from the word before them.
 MARKS = b".,;:!?"
 _encoders: dict[str, WordEncoder] = {}
@@ -25,13 +29,43 @@ def vocabulary(path: str | None = None) -> str:
         return file.read()
 
 
+# Normalizers that handle a text's characters one by one or in groups without white space, and
+# pre-tokenizers that part texts at all white space.
+LOCAL = {"NFC", "NFD", "NFKC", "NFKD", "Lowercase", "StripAccents", "BertNormalizer", "Nmt"}
+PARTING = {"Whitespace", "WhitespaceSplit", "BertPreTokenizer"}
+BLANKS = "a b\tc\nd\x0be\x0cf\rg  h, 1 2.\n\n3 'x y' é ö"
+
+
+def _steps(part: dict | None, name: str) -> list[dict]:
+    if part is None:
+        return []
+    return [s for p in part[name] for s in _steps(p, name)] if part["type"] == "Sequence" else [part]
+
+
+def parts_at_blanks(config: dict) -> bool:
+    """Whether a tokenizer's normalizer and pre-tokenizer treat white-space-parted chunks each by itself: only local
+    normalizers, or one that makes single blanks of white space, and first a pre-tokenizer that parts at white space, be it
+    by a pattern of whose matches none has white space in it. In doubt no."""
+    for n in _steps(config.get("normalizer"), "normalizers"):
+        squeezed = n["type"] == "Replace" and n.get("pattern") == {"Regex": r"\s+"} and n.get("content") == " "
+        if n["type"] not in LOCAL and not squeezed:
+            return False
+    steps = _steps(config.get("pre_tokenizer"), "pretokenizers")
+    if not steps or any(s["type"] in ("Metaspace", "ByteLevel") and s.get("add_prefix_space") for s in steps) or any(t.get("lstrip") or t.get("rstrip") or set(" \t\n") & set(t["content"]) for t in config.get("added_tokens", [])):
+        return False
+    first = steps[0]
+    if first["type"] == "Split":
+        pattern = first["pattern"].get("Regex")
+        return bool(pattern and first["behavior"] == "Removed" and first["invert"]) and not any(regex.search(r"\s", m[0]) for m in regex.finditer(pattern, BLANKS))
+    return first["type"] in PARTING
+
+
 class WordEncoder:
     """Ids of texts for tokenizers that never join characters across ASCII white space.
 
     Such a tokenizer gives a text the ids of its white-space-parted chunks one after the other, so each distinct chunk
-    is encoded once by the tokenizers library and looked up afterwards. Tokenizers that treat spaces as part of a
-    token get their texts whole; the constructor finds out which kind it has, and whether a closing mark is parted from
-    the word before it.
+    is encoded once by the tokenizers library and looked up afterwards. All others get their texts whole; the tokenizer's
+    own description tells which kind it is. Whether a closing mark is parted from the word before it is tried out.
     """
 
     def __init__(self, vocabulary: str, end_id: int):
@@ -41,8 +75,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.width = "<u2" if max(self.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else "<u4"
         self.end = np.array([end_id], self.width).tobytes()
-        probe = "One  two\n\tthree: 4, cinq."
-        self.by_chunk = self._ids([probe])[0] == [i for ids in self._ids(probe.split()) for i in ids]
+        self.by_chunk = parts_at_blanks(json.loads(vocabulary))
         alone = {w: self._ids([w])[0] for w in ("three", *MARKS.decode())}
         self.by_mark = all(self._ids([f"three{m}"])[0] == alone["three"] + alone[m] for m in MARKS.decode())
         self.known: dict[bytes, bytes] = {}
@@ -90,4 +123,5 @@ def encoder(vocabulary: str, end_id: int) -> WordEncoder:
     key = f"{hashlib.sha256(vocabulary.encode()).hexdigest()} {end_id}"
     if key not in _encoders:
         _encoders[key] = WordEncoder(vocabulary, end_id)
+    kept["tokens"] = _encoders.clear
     return _encoders[key]
