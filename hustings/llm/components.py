@@ -21,7 +21,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while before != (state := tuple(now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())):
         before = state
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        # Written, so that the join has a plain exchange on both sides and Spark can split the edges of a node with many.
+        least = written(both.groupBy("u").agg(F.least("u", F.min("v")).alias("m")))
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u != v")

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import slices, utf8, written
+from hustings.llm.common import bounded_batches, slices, utf8, written
 from hustings.llm.components import connected_components
 
 #: Rows that one comparison takes at most, and rows of small buckets that are compared together.
@@ -55,6 +55,7 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
             fp = np.array([simhash(t, shingle) for t in utf8(batch.column("text"))], np.uint64)
             yield pa.RecordBatch.from_pydict({"doc_id": batch.column("doc_id"), "fp": fp.view(np.int64)})
 
+    bounded_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(make, "doc_id long, fp long")
 
 
@@ -192,15 +193,18 @@ def near_duplicates(docs: DataFrame, radius: int = 3, shingle: int = 3) -> DataF
     """(doc_id, fp, component_id) for every row of docs (doc_id, text; others are left out).
 
     Documents are linked if their fingerprints differ in at most radius bits; component_id is the smallest doc_id that a
-    document reaches, itself included. Texts without words, or missing, have fingerprint 0 and link like any other.
+    document reaches, itself included. Texts without words, or missing, have fingerprint 0 and link like any other; long
+    ones are taken whole.
     Repeated rows come back as often; a missing doc_id never names a component unless all members lack one. An empty
     table gives an empty result.
     """
     prints = written(fingerprints(docs, shingle))
     distinct = written(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
     roots = written(connected_components(links(distinct.select("fp"), radius)))
-    member = roots.join(distinct, roots.node == distinct.fp).select("fp", "root", "least")
-    joined = member.join(member.groupBy("root").agg(F.min("least").alias("joined")), "root").select("fp", "joined")
+    member = written(roots.join(distinct, roots.node == distinct.fp).select("fp", "root", "least"))
+    # Both written, so that a giant component's root, one key, is joined by plain exchanges that Spark can split.
+    heads = written(member.groupBy("root").agg(F.min("least").alias("joined")))
+    joined = member.join(heads, "root").select("fp", "joined")
     # Written, so that the join with all documents has a plain exchange on both sides and Spark can split hot ones.
     classes = written(distinct.join(joined, "fp", "left").select("fp", F.coalesce("joined", "least").alias("component_id")))
     return prints.join(classes, "fp").select("doc_id", "fp", "component_id")
