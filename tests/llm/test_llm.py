@@ -158,6 +158,30 @@ def test_substring_dedup_against_all_windows(spark, rows, docs, empty):
     assert substring_dedup.cut(empty).count() == 0
 
 
+def test_substring_dedup_rests_on_its_automata(spark, docs, monkeypatch):
+    searched = substring_dedup.recurring_blocks
+    less = lambda texts, held, window: searched(texts, held.withColumn("hashes", common.F.slice("hashes", 1, 1)), window)
+    whole = sum(r.n_removed for r in substring_dedup.cut(docs).collect())
+    monkeypatch.setattr(substring_dedup, "recurring_blocks", less)
+    some = sum(r.n_removed for r in substring_dedup.cut(docs).collect())
+    none = lambda texts, held, window: searched(texts, held.withColumn("hashes", common.F.slice("hashes", 1, 0)), window)
+    monkeypatch.setattr(substring_dedup, "recurring_blocks", none)
+    assert whole > some and sum(r.n_removed for r in substring_dedup.cut(docs).collect()) == 0
+
+
+def test_automata_find_every_place_of_their_passages():
+    rng = random.Random(8)
+    texts = [" ".join(rng.choices(["a", "bb", "c", "a1"], k=300)).encode() for _ in range(4)]
+    s = substring_dedup.Slice(texts, 50)
+    passages = [" ".join(texts[0].decode().split()[i : i + 8]) for i in (0, 17, 292)]
+    marks = s.occurrences(passages)
+    for d, t in enumerate(texts):
+        w = t.decode().split()
+        want = [i for i in range(len(w)) if " ".join(w[i : i + 8]) in passages and i + 8 <= len(w)]
+        assert np.flatnonzero(marks[s.starts[d] : s.starts[d + 1]]).tolist() == want
+    assert not s.occurrences([]).any()
+
+
 def test_substring_dedup_cuts_only_shared_windows(spark):
     rng = random.Random(5)
     w = [f"w{i}" for i in range(400)]
@@ -194,6 +218,48 @@ def test_decontamination_against_every_position(spark, rows, docs, empty):
     assert {r.contaminated for r in decontamination.report(decontamination.occurrences(docs, bench.limit(0))).collect()} == {False}
 
 
+def test_decontamination_of_long_texts_and_benchmarks():
+    import time
+    import tracemalloc
+
+    rng = random.Random(1)
+    vocabulary = [f"w{i}x" for i in range(20_000)]
+    items = [(i, " ".join(rng.choices(vocabulary, k=150))) for i in range(1_500)]
+    assert sum(len(t) for _, t in items) < decontamination.SHARD_BYTES
+    tracemalloc.start()
+    tables = decontamination.Tables(items, 10)
+    assert tracemalloc.get_traced_memory()[1] < 250 << 20
+    tracemalloc.stop()
+    dense = " ".join(t for _, t in items) * 3
+    words = decontamination.alnum_words(dense.encode())
+    began = time.process_time()
+    spans, found = tables.search(words)
+    # Words of neighbouring copies run together where one ends and the next begins, all are covered all the same.
+    assert time.process_time() - began < 12 and spans[0][0] == 0 and spans[-1][1] == len(words) and len(found) == len(items)
+    same = decontamination.Tables([(i, "mit license " * 40) for i in range(300)], 10)
+    assert same.search([b"x", *[b"mit", b"license"] * 100_000, b"x"]) == ([(1, 200_001)], set(range(300)))
+
+
+def test_decontamination_of_random_sequences_against_every_position():
+    rng = random.Random(4)
+    for _ in range(60):
+        letters = "abc" if rng.random() < 0.5 else "abcdefgh"
+        items = [(i, " ".join(rng.choices(letters, k=rng.choice([1, 2, 5, 9, 10, 14, 30])))) for i in range(rng.choice([1, 4, 9]))]
+        words = rng.choices(letters, k=80)
+        window = rng.choice([1, 2, 3, 10])
+        hit, found = set(), set()
+        for i, t in items:
+            w = t.split()
+            size = min(window, len(w))
+            for a in range(len(w) - size + 1):
+                for b in range(len(words) - size + 1):
+                    if words[b : b + size] == w[a : a + size]:
+                        hit |= set(range(b, b + size))
+                        found.add(i)
+        spans, got = decontamination.Tables(items, window).search([w.encode() for w in words])
+        assert {p for a, b in spans for p in range(a, b)} == hit and got == found
+
+
 def test_license_scan_against_every_position(spark, rows, docs, empty):
     more = rows + [(500, "X the MIT License. MIT LICENSE, cc-by cc by 4.0"), (501, "// SPDX-License-Identifier: (MIT OR Apache-2.0) AND GPL-2.0 WITH Classpath-exception-2.0\nend")]
     got = {(r.doc_id, r.n_words): r for r in license_scan.scan_licenses(frame(spark, more)).collect()}
@@ -207,6 +273,29 @@ def test_license_scan_against_every_position(spark, rows, docs, empty):
     assert license_scan.scan_licenses(empty).count() == 0
 
 
+def test_license_scan_of_a_long_text_takes_no_more_than_its_share_of_time():
+    import time
+
+    scanner = license_scan.Scanner()
+    for first, piece, n in ((b"", b"mit license ", 2), (b"", b"SPDX-License-Identifier: MIT\t", 0), (b"SPDX-License-Identifier: ", b"MIT OR ", 0)):
+        seconds = []
+        for size in (500_000, 4_000_000):
+            text = first + piece * (size // len(piece))
+            began = time.process_time()
+            found = scanner.scan(text)
+            seconds.append(time.process_time() - began)
+            assert found["n_base"] == (size // len(piece) if n else 0) and found["labels"] == ["mit"]
+        assert seconds[1] < 8 * 3 * max(seconds[0], 0.02)
+
+
+def test_license_labels_and_scores(spark):
+    texts = ["MIT license, Apache license", "bsd license", "SPDX-License-Identifier: ISC", "none", None, "cc by sa 4.0", "redistribution and use in source and binary forms"]
+    got = {r.doc_id: r for r in license_scan.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+    assert [got[i].labels for i in range(7)] == [["apache", "mit"], ["bsd"], ["isc"], [], [], ["cc-by", "cc-by-sa"], ["bsd"]]
+    assert [got[i].base_labels for i in range(7)] == [["apache", "mit"], [], [], [], [], ["cc-by"], []]
+    assert [got[i].score for i in range(7)] == [0.75, 0.25, 0.75, 0.0, 0.0, 0.5, 0.25]
+
+
 def test_license_expressions():
     parse = license_scan.parse_expression
     assert parse("MIT or Apache-2.0 and BSD-3-Clause") == ["mit", "apache-2.0", "bsd-3-clause", "and", "or"]
@@ -226,6 +315,23 @@ def test_encoder_keeps_marks_with_words_where_the_tokenizer_does():
     assert tokens.WordEncoder(tokens.vocabulary(), 2).by_mark
 
 
+def test_which_tokenizers_part_at_blanks():
+    import json
+
+    own = json.loads(tokens.vocabulary())
+    assert tokens.parts_at_blanks(own)
+    assert not tokens.parts_at_blanks(own | {"pre_tokenizer": None}) and not tokens.parts_at_blanks(own | {"pre_tokenizer": {"type": "Metaspace", "add_prefix_space": True}})
+    spaced = {"type": "Split", "pattern": {"Regex": r" ?\p{L}+|\S+"}, "behavior": "Removed", "invert": True}
+    assert not tokens.parts_at_blanks(own | {"pre_tokenizer": spaced}) and tokens.parts_at_blanks(own | {"pre_tokenizer": {"type": "WhitespaceSplit"}})
+    assert not tokens.parts_at_blanks(own | {"normalizer": {"type": "Prepend", "prepend": "_"}})
+
+
+def test_token_files_keep_every_id(spark):
+    ids = [-(2**63), 2**63 - 1, 0, None, None]
+    docs = spark.createDataFrame([(i, "a b") for i in ids], "doc_id long, text string")
+    assert sorted((r.doc_id for r in token_files.read_token_files(token_files.write_token_files(docs)).collect()), key=str) == sorted(ids, key=str)
+
+
 def test_tokens_are_the_whole_texts(rows):
     encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
     odd = ["Ａ ́x don't I'LL ſtrasse ΑΣ Σ b\x1cq\xa0z\u0085y 12３", "<|endoftext|> a<|endoftext|>b, İI.", "ﬁ. é́ 가각 가. it's,  ‘q’. ..., a.b. ﻿z", "x" * 5000]
@@ -235,14 +341,28 @@ def test_tokens_are_the_whole_texts(rows):
             assert np.frombuffer(packed, encoder.width).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
-def test_packing_round_trip(spark, rows, docs, empty):
+def test_packing_round_trip(spark, rows, docs, empty, tmp_path):
     encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
-    want = sorted(((i, encoder.encode([(t or "").encode()])[0]) for i, t in rows), key=str)
+    want = sorted(((i, np.frombuffer(encoder.encode([(t or "").encode()])[0], "<u2").tolist()) for i, t in rows), key=str)
     pieces = packing.pack(docs, max_tokens=64).collect()
     assert len({p.sequence_id for p in pieces}) == len(pieces) and all(p.length & (p.length - 1) == 0 and p.length <= 64 and p.offset == 0 and 1 << p.bucket == p.length for p in pieces)
-    assert sum(p.length for p in pieces) == sum(len(x) // 2 for _, x in want)
-    one = sorted((p for p in pieces if p.doc_id == 14), key=lambda p: p.start)
-    assert np.concatenate([np.frombuffer(p.ids, "<u4") for p in one]).tolist() in [np.frombuffer(x, "<u2").tolist() for i, x in want if i == 14]
+    # Pieces of a row follow one another in what collect() returns; a row's pieces begin at 0.
+    got, current = [], None
+    for p in pieces:
+        ids = np.frombuffer(p.ids, "<u4").tolist()
+        assert len(ids) == p.length
+        if p.start == 0:
+            current = (p.doc_id, [])
+            got.append(current)
+        assert current[0] == p.doc_id and len(current[1]) == p.start
+        current[1].extend(ids)
+    assert sorted(got, key=str) == want
+    assert {p.sequence_id >> packing.BUCKET_SHIFT for p in pieces} == {p.bucket for p in pieces} and all(p.sequence_id >> packing.BUCKET_SHIFT == p.bucket for p in pieces)
+    side_by_side = packing.by_bucket(packing.pack(docs.coalesce(1), max_tokens=64)).select("bucket").collect()
+    assert [r.bucket for r in side_by_side] == sorted(p.bucket for p in pieces)
+    packing.write_buckets(packing.pack(docs, max_tokens=64), str(tmp_path / "packed"))
+    for r in spark.read.parquet(str(tmp_path / "packed")).groupBy("bucket").agg({"length": "min", "*": "count"}).join(packing.pack(docs, max_tokens=64).groupBy("bucket").agg({"length": "max"}), "bucket").collect():
+        assert r["min(length)"] == r["max(length)"] == 1 << r.bucket and r["count(1)"] == sum(p.bucket == r.bucket for p in pieces)
     assert packing.pack(empty).count() == 0
     assert packing.binary_lengths(4096 * 2 + 5, 4096) == [4096, 4096, 4, 1]
 
@@ -338,6 +458,83 @@ def test_language_id_learns(spark):
     assert language_id.identify(docs.limit(0)).count() == 0
 
 
+def slow_toxicity(text, by_feature, bias):
+    quiet = 1.0
+    for sentence in re.split(r"[.!?\n]", text or ""):
+        words = alnum_of(sentence)
+        for at in range(0, len(words), toxicity.SENTENCE_WORDS):
+            z = bias + sum(by_feature.get(f, 0.0) for w in words[at : at + toxicity.SENTENCE_WORDS] for f in toxicity.features(w.encode()))
+            quiet *= 1 - 1 / (1 + np.exp(-min(max(z, -30), 30)))
+    return 1 - quiet
+
+
+def test_toxicity_scores_against_a_plain_loop(spark, monkeypatch):
+    rows = [(i, t, y) for i, t, _, y in synthetic("toxic", 200)] + [(900, "grublin " * 5000, 0), (901, None, 0), (901, "Grublin! roka", 1), (901, "Grublin! roka", 1)]
+    docs, labels = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string"), spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    held = []
+    learn = toxicity.train
+    monkeypatch.setattr(toxicity, "train", lambda sample: held.append(learn(sample)) or held[-1])
+    got = sorted(((r.doc_id, r.score) for r in toxicity.score_toxicity(docs, labels).collect()))
+    by_feature, bias = held[0]
+    assert by_feature and np.allclose([s for _, s in got], [s for _, s in sorted((i, slow_toxicity(t, by_feature, bias)) for i, t, _ in rows)], atol=1e-9)
+
+
+def slow_language(text, model):
+    if not text or not any(map(str.isalpha, text)):
+        return "und", 0.0
+    data = text.encode()
+    total, weights = np.zeros(len(model.languages)), 0.0
+    for at in range(0, len(data), language_id.WINDOW):
+        x = language_id.SYMBOL[np.frombuffer(data[at : at + language_id.WINDOW].ljust(language_id.WINDOW), np.uint8)]
+        peak = [max(sum(f[k, x[p + k], n] for k in range(len(f))) for p in range(len(x) - len(f) + 1)) for f in model.filters for n in range(language_id.FILTERS)]
+        z = np.maximum(np.array(peak) + model.shift, 0) @ model.dense + model.bias
+        p = np.exp(z - z.max())
+        weight = (x > 1).sum() + 1e-3
+        total, weights = total + weight * p / p.sum(), weights + weight
+    return model.languages[int(total.argmax())], float((total / weights).max())
+
+
+def test_languages_against_loops_over_windows_and_filters(spark, monkeypatch):
+    rows = [(i, t, lang) for i, t, lang, _ in synthetic("lang", 60)] + [(900, None, "xx"), (901, "", "yy"), (902, "1 2", "xx"), (903, "karomi té " * 300, None), (904, "ö", "yy"), (904, "ö", "yy")]
+    held = []
+    learn = language_id.train
+    monkeypatch.setattr(language_id, "train", lambda sample: held.append(learn(sample)) or held[-1])
+    monkeypatch.setattr(language_id, "PART", 2 * language_id.WINDOW)
+    got = sorted((r.doc_id, r.lang_pred, r.score) for r in language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect())
+    want = sorted((i, *slow_language(t, held[0])) for i, t, _ in rows)
+    assert [x[:2] for x in got] == [x[:2] for x in want] and np.allclose([x[2] for x in got], [x[2] for x in want], atol=1e-4)
+
+
+def test_languages_of_short_or_unlabelled_texts(spark):
+    short = spark.createDataFrame([(i, "ab" if i % 3 else "öü", "xx" if i % 3 else "yy") for i in range(80)], "doc_id long, text string, lang string")
+    assert all(r.lang_pred == r.lang for r in language_id.identify(short).collect())
+    blank = spark.createDataFrame([(i, "12", "xx") for i in range(40)] + [(99, "ab", None)], "doc_id long, text string, lang string")
+    assert [r.lang_pred for r in language_id.identify(blank).filter("doc_id = 99").collect()] == ["xx"]
+    none = short.withColumn("lang", common.F.lit(None).cast("string"))
+    assert {(r.lang_pred, r.score) for r in language_id.identify(none).collect()} == {("und", 0.0)}
+
+
+def test_more_labels_than_the_bound_are_refused(spark):
+    labels = spark.range(3000).selectExpr("id doc_id", f"id % {sampling.MAX_LABELS} lang")
+    assert sampling.sample_ids(labels, "lang", 2).count() == 2 * sampling.MAX_LABELS
+    with pytest.raises(ValueError, match="labels"):
+        sampling.sample_ids(labels.selectExpr("doc_id", f"doc_id % {sampling.MAX_LABELS + 1} lang"), "lang", 2)
+
+
+def test_a_doc_id_of_many_rows_is_sampled_once(spark):
+    docs = spark.range(100_000).selectExpr("7L doc_id", "concat('t', id) text").union(spark.createDataFrame([(8, "u")], "doc_id long, text string"))
+    ids = sampling.sample_ids(spark.createDataFrame([(7, 1), (7, 1), (8, 0)], "doc_id long, toxic int"), "toxic", 5)
+    assert sorted(sampling.sampled(docs, ids, "toxic", common.F.col("text"))) == [("t0", 1, 1.0), ("u", 0, 1.0)]
+
+
+def test_windows_are_cut_where_the_texts_are(spark):
+    texts = ["", "a", "b" * 256, "c" * 257, "dé" * 400, "x" * 256 * 9]
+    got = spark.createDataFrame([(t,) for t in texts], "text string").select(language_id.sample_windows(common.F.col("text")).alias("w")).collect()
+    for t, r in zip(texts, got, strict=True):
+        n = max(1, -(-len(t.encode()) // 256))
+        assert [bytes(w) for w in r.w] == [t.encode()[256 * i : 256 * i + 256] for i in sorted({0, (n - 1) // 2, n - 1})]
+
+
 def test_samples_are_bounded(spark):
     labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
     ids = sampling.sample_ids(labels, "toxic", 15).toPandas()
