@@ -57,6 +57,12 @@ def straighten_inline(s: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(s, r"(?i)</?(small|font|span)\b[^>]*>", ""), r"<([bi])>\s*</\1>", "")
 
 
+def well_formed(s: Column) -> Column:
+    """Whether a text is one well-formed XML element, by Spark's own XML parser; null is not."""
+    read = F.from_xml(s, "_none string, _broken string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_broken"})
+    return s.isNotNull() & read["_broken"].isNull()
+
+
 def title(s: Column) -> Column:
     return F.trim(F.regexp_extract(s, r"(?is)<title[^>]*>(.*?)</title>", 1))
 

@@ -27,6 +27,25 @@ def tidy(s: Column) -> Column:
     return F.trim(F.regexp_replace(F.regexp_replace(s, rf"^{SPACE}*:", ""), f"{SPACE}+", " "))
 
 
+def plain_quotes(s: Column) -> Column:
+    """Curly quotes and primes as straight ones."""
+    return F.translate(F.translate(s, "\u2018\u2019\u201a\u2032", "'" * 4), "\u201c\u201d\u201e\u2033", '"' * 4)
+
+
+def without_possessive(s: Column) -> Column:
+    """A name without the possessive at its end: "Smith's" and "James'" lose it."""
+    return F.regexp_replace(plain_quotes(s), "(?:'s|(?<=s)')$", "")
+
+
+def column_range(s: Column) -> Column:
+    """struct<first, last> of columns as cited, '1234' or '1234-6' (a short end shares the start's leading digits); null if
+    it is no such range or runs backwards."""
+    first, end = F.regexp_extract(F.trim(s), r"^(\d+)(?:\s*[-\u2013]\s*(\d+))?$", 1), F.regexp_extract(F.trim(s), r"^(\d+)(?:\s*[-\u2013]\s*(\d+))?$", 2)
+    whole = F.when(end == "", first).when(F.length(end) < F.length(first), F.concat(F.left(first, F.length(first) - F.length(end)), end)).otherwise(end)
+    a, b = first.try_cast("long"), whole.try_cast("long")
+    return F.when(a <= b, F.struct(a.alias("first"), b.alias("last")))
+
+
 def word_count(s: Column) -> Column:
     """Pieces between white space; blanks at either end count as an empty piece."""
     return F.size(F.split(s, r"\s+"))

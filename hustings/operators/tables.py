@@ -31,6 +31,17 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
 
 
+def divided(df: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """Keys that have several values where one is due, with how many: a check's faulty rows."""
+    return df.groupBy(*keys).agg(F.count_distinct(value).alias("n_values")).filter("n_values > 1")
+
+
+def not_known_missing(wanted: DataFrame, missing: DataFrame, key: str, day: Column, again_after: int) -> DataFrame:
+    """wanted without what was found missing (key, found_on) in the days before; older finds are tried again."""
+    fresh = missing.filter(F.date_diff(day, F.col("found_on")) < again_after).select(key)
+    return wanted.join(fresh, key, "left_anti")
+
+
 def eav_pivot(df: DataFrame, key: str, attribute: str, value: str, names: list[str]) -> DataFrame:
     """One row for each key with the greatest value of each named attribute."""
     return df.groupBy(key).agg(*(F.max(F.when(F.col(attribute) == n, F.col(value))).alias(n) for n in names))

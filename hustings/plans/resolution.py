@@ -91,6 +91,14 @@ def by_history(speeches: DataFrame, found: DataFrame, order: str = "seq") -> Dat
     return joined.select("sitting", order, F.coalesce("person", "_found").alias("person"), source.alias("source"))
 
 
+def with_chair(speeches: DataFrame, order: str = "seq", chairs: tuple[str, ...] = ("The Chairman", "The Chair", "Mr Deputy Speaker")) -> DataFrame:
+    """speeches (sitting, seq, speaker, chair, person) with person filled in where the speaker is only called by the chair's
+    title: the one who took the chair last, by a row of the same sitting that has chair. Nobody yet leaves it null."""
+    by = Window.partitionBy("sitting").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    held = F.last("chair", ignorenulls=True).over(by)
+    return speeches.withColumn("_held", held).withColumn("person", F.coalesce("person", F.when(F.col("speaker").isin(*chairs), F.col("_held")))).drop("_held")
+
+
 def redirect_people(df: DataFrame, persons: DataFrame, column: str = "person") -> DataFrame:
     """df with merged people led to the person that is left; persons: (id, redirect)."""
     return tables.redirected(df, persons.filter("redirect is not null").select(F.col("id").alias("source"), F.col("redirect").alias("target")), column)

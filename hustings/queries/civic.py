@@ -301,3 +301,49 @@ def phrases_once_a_speech(t):
     """Different phrases of each document: links are made once for each speech."""
     found = linking.mentions(t("documents").select("doc_id", "text"), "doc_id", "text", r"([A-Z][a-z]+ [A-Z][a-z]+)")
     return found.select("doc_id", "phrase").distinct().groupBy("doc_id").agg(F.count("*").cast("int").alias("n"))
+
+
+@query("""SELECT c_custkey, c_name || ' "x"' AS plain, c_mktsegment || CASE WHEN c_custkey % 3 = 2 THEN 's' ELSE '' END AS owner FROM customer""")
+def quote_forms(t):
+    """Curly quotes made straight, possessives taken off."""
+    k = F.col("c_custkey")
+    owner = F.concat("c_mktsegment", F.when(k % 3 == 0, "\u2019s").when(k % 3 == 1, "").otherwise("s\u2019"))
+    return t("customer").select("c_custkey", text.plain_quotes(F.concat("c_name", F.lit(" \u201cx\u201d"))).alias("plain"), text.without_possessive(owner).alias("owner"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN 1000 + o_orderkey END AS first, CASE o_orderkey % 4 WHEN 0 THEN 1000 + o_orderkey WHEN 1 THEN (1000 + o_orderkey) // 10 * 10 + 9 WHEN 2 THEN 1005 + o_orderkey END AS last FROM orders""")
+def column_ranges(t):
+    """Columns as cited, with short ends; backward ranges are refused."""
+    k, n = F.col("o_orderkey"), (F.col("o_orderkey") + 1000)
+    cited = F.when(k % 4 == 0, n.cast("string")).when(k % 4 == 1, F.concat(n.cast("string"), F.lit("-9"))).when(k % 4 == 2, F.concat(n.cast("string"), F.lit("-"), (n + 5).cast("string"))).otherwise(F.concat((n + 5).cast("string"), F.lit("-"), n.cast("string")))
+    return t("orders").select("o_orderkey", text.column_range(cited).alias("r")).select("o_orderkey", "r.first", "r.last")
+
+
+@query("""SELECT c_custkey, CASE WHEN c_custkey % 3 = 1 THEN 'no' ELSE 'yes' END AS fine FROM customer""")
+def well_formed_documents(t):
+    """Whether documents may be published: XML that parses."""
+    k = F.col("c_custkey")
+    xml = F.concat(F.lit("<d><p>"), "c_name", F.when(k % 3 == 1, "</d>").otherwise("</p></d>"))
+    return t("customer").select("c_custkey", F.when(markup.well_formed(xml), "yes").otherwise("no").alias("fine"))
+
+
+@query("""SELECT l_orderkey, count(DISTINCT l_returnflag) AS n_values FROM lineitem GROUP BY 1 HAVING count(DISTINCT l_returnflag) > 1""")
+def divided_groups(t):
+    """Groups that have several values where one is due."""
+    return tables.divided(t("lineitem"), ["l_orderkey"], "l_returnflag")
+
+
+@query("""SELECT p_partkey FROM part WHERE NOT (p_partkey % 5 = 0 AND date_diff('day', DATE '2024-01-01' + CAST(p_partkey % 60 AS INTEGER), DATE '2024-03-01') < 30)""")
+def negative_cache(t):
+    """What is to be fetched: not what was found missing in the last thirty days."""
+    missing = t("part").filter("p_partkey % 5 = 0").select("p_partkey", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("p_partkey") % 60).cast("int")).alias("found_on"))
+    return tables.not_known_missing(t("part").select("p_partkey"), missing, "p_partkey", F.lit("2024-03-01").cast("date"), 30)
+
+
+@query("""WITH s AS (SELECT o_custkey AS sitting, o_orderkey AS seq, CASE WHEN o_orderkey % 5 = 0 THEN o_orderkey % 7 END AS chair, CASE WHEN o_orderkey % 3 = 0 THEN o_orderkey % 11 END AS person, o_orderkey % 3 = 1 AS called FROM orders)
+SELECT sitting, seq, coalesce(person, CASE WHEN called THEN last_value(chair IGNORE NULLS) OVER (PARTITION BY sitting ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END) AS person FROM s""")
+def chair_fallback(t):
+    """Speakers only called by the chair's title are the ones who took the chair last."""
+    k = F.col("o_orderkey")
+    s = t("orders").select(F.col("o_custkey").alias("sitting"), k.alias("seq"), F.when(k % 5 == 0, k % 7).alias("chair"), F.when(k % 3 == 0, k % 11).alias("person"), F.when(k % 3 == 1, "The Chairman").otherwise("x").alias("speaker"))
+    return resolution.with_chair(s).select("sitting", "seq", "person")

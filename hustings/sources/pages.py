@@ -107,3 +107,35 @@ def paged_source(spark: SparkSession, fetch: Callable[[int, int], list[tuple]],
     source = type("PagedRows", (PagedSource,), {"fetch": staticmethod(fetch), "rows": schema})
     spark.dataSource.register(source)
     return spark.read.format("paged").option("total", total).option("page_size", page_size).load()
+
+
+class _Walk(DataSourceReader):
+    def __init__(self, fetch, start):
+        self.fetch, self.start = fetch, start
+
+    def partitions(self):
+        return [InputPartition(None)]
+
+    def read(self, partition):
+        at = self.start
+        while at is not None:
+            rows, at = self.fetch(at)
+            yield from rows
+
+
+def walked_source(spark: SparkSession, fetch: Callable[[object], tuple[list[tuple], object]], schema: str, start: object = "") -> DataFrame:
+    """All rows of an interface whose next page is only known from the one before: fetch(cursor) gives a page's rows and the
+    next cursor, None at the end. Pages follow one another, so one task reads them all, row by row."""
+    source = type("WalkedRows", (PagedSource,), {"name": classmethod(lambda cls: "walked"), "rows": schema, "reader": lambda self, schema: _Walk(fetch, start)})
+    spark.dataSource.register(source)
+    return spark.read.format("walked").load()
+
+
+def until_empty(fetch: Callable[[int, int], list[tuple]], page_size: int = 100) -> Callable[[int], tuple[list[tuple], int | None]]:
+    """fetch(skip, take) as a function for walked_source(start=0): pages until an empty one."""
+
+    def step(skip: int) -> tuple[list[tuple], int | None]:
+        rows = fetch(skip, page_size)
+        return rows, skip + len(rows) if rows else None
+
+    return step

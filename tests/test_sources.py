@@ -98,3 +98,12 @@ def test_paged_source(spark):
 
 def test_shared_folder_is_the_clusters(spark):
     assert shared.shared_folder(spark).startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_pages_until_an_empty_one_and_by_cursor(spark):
+    from hustings.sources import pages
+
+    by_skip = pages.walked_source(spark, pages.until_empty(lambda skip, take: [(i,) for i in range(skip, min(skip + take, 23))], 5), "n long", 0)
+    assert sorted(r.n for r in by_skip.collect()) == list(range(23))
+    book = {"": ([(1,), (2,)], "x"), "x": ([(3,)], "y"), "y": ([], None)}
+    assert sorted(r.n for r in pages.walked_source(spark, lambda cursor: book[cursor], "n long").collect()) == [1, 2, 3]
