@@ -75,3 +75,25 @@ def test_markup(one):
     assert one(markup.straighten_inline(s), s="<strong>a</strong><em> </em><small>b</small>") == "<b>a</b>b"
     assert one(markup.title(s), s="<TITLE> A </TITLE>") == "A" and one(markup.links(s), s='<a href="x"><a href="">') == ["x", ""]
     assert [(p.kind, p.indent, p.text) for p in one(markup.paragraphs(s), s="<p>a</p><ul><li>b</ul><table><tr><p>c</table><h2>d</h2>")] == [("para", 0, "a"), ("item", 1, "b"), ("table", 0, "c"), ("heading", 0, "d")]
+
+
+def test_common_words_against_the_usual_table():
+    import random
+
+    rng = random.Random(2)
+    for _ in range(80):
+        a, b = (rng.choices("abcd", k=rng.randrange(0, 30)) for _ in range(2))
+        row = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                row[i + 1][j + 1] = row[i][j] + 1 if x == y else max(row[i][j + 1], row[i + 1][j])
+        assert text.common_words(a, b) == row[-1][-1]
+
+
+def test_similarity_is_one_measure_at_all_lengths(spark):
+    from pyspark.sql import functions as F
+
+    short, long = [f"w{i}" for i in range(40)], [f"w{i}" for i in range(9000)]
+    rows = [(" ".join(w), " ".join(reversed(w))) for w in (short, long)] + [("a b", "a b"), ("", ""), (None, "a"), ("a", "")]
+    got = [r.s for r in spark.createDataFrame(rows, "a string, b string").coalesce(1).select(text.similarity_to()(F.col("a"), F.col("b")).alias("s")).collect()]
+    assert got[2:] == [1.0, 1.0, None, 0.0] and abs(got[0] - 1 / 40) < 1e-9 and abs(got[1] - 1 / 9000) < 1e-9

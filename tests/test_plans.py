@@ -127,3 +127,41 @@ def test_links(spark):
     assert linking.page_properties(pages, props, "key", ["description"]).count() == 1 and linking.page_properties(pages, props, "key", ["description"], keep_bare=True).count() == 2
     assert [r.phrase for r in linking.mentions(spark.createDataFrame([(1, "the House of Lords met Ann Other")], "doc int, text string"), "doc", "text").collect()] == ["House of Lords", "Ann Other"]
     assert F.lit(1) is not None
+
+
+def test_marks_inside_speeches_count_from_the_next_one_on(spark):
+    from hustings.plans import proceedings
+
+    xml = (
+        "<ns:System><hs_6bDepartment>Health &amp; Care</hs_6bDepartment><hs_Timeline>2.30 pm</hs_Timeline>"
+        "<hs_Para><Member><B>Ann Other:</B></Member> One<?notus-xml column=12?> two &lt;3&gt;.</hs_Para><hs_brev>Indented</hs_brev>"
+        "<hs_8Question>Beds</hs_8Question><hs_Para>No member here.</hs_Para><hs_Para><Member><B>Bo Else:</B></Member> Yes.</hs_Para><hs_Odd>x</hs_Odd></ns:System>"
+    )
+    docs = spark.createDataFrame([("2024-01-02", "a", xml), ("2024-01-03", "a", "")], "day string, revision string, xml string")
+    rows = proceedings.day_rows(docs, ["day", "revision"], "p/").orderBy("seq").collect()
+    assert [(r.gid, r.kind, r.speaker, r.column, r.time, r.heading, r.text) for r in rows] == [
+        ("p/2024-01-02a.0.0", "major-heading", None, None, None, "Health & Care", "Health & Care"),
+        ("p/2024-01-02a.0.1", "speech", "Ann Other", None, "14:30:00", "Health & Care", "One two <3>.\n\tIndented"),
+        ("p/2024-01-02a.12.0", "minor-heading", None, "12", "14:30:00", "Health & Care", "Beds"),
+        ("p/2024-01-02a.12.1", "speech", None, "12", "14:30:00", "Health & Care", "No member here."),
+        ("p/2024-01-02a.12.2", "speech", "Bo Else", "12", "14:30:00", "Health & Care", "Yes."),
+    ]
+    assert [(r.tag, r.n) for r in proceedings.unknown(docs, ["day"]).collect()] == [("hs_Odd", 1)]
+
+
+def test_an_old_paragraph_is_claimed_once(spark):
+    from hustings.plans import alignment
+
+    old, new = "a b c d e f g h\nkept line", "a b c d e f g X\na b c d e f g h i\nkept line"
+    docs = spark.createDataFrame([("w", 1, old), ("w", 2, new)], "work string, version int, text string")
+    got = {r.seq: (r.kind, r.target) for r in alignment.redirects(docs, "work", "version", "text").collect()}
+    assert got == {0: ("multiplecover", 0), 1: ("changes", 0), 2: ("perfectmatch", 1)}
+
+
+def test_history_passes_over_rows_without_a_speaker(spark):
+    from hustings.plans import resolution
+
+    speeches = spark.createDataFrame([("s", 1, "ann"), ("s", 2, "bo"), ("s", 3, None), ("s", 4, None)], "sitting string, seq int, person string")
+    found = spark.createDataFrame([("s", q, p) for q in (3, 4) for p in ("ann", "bo")], "sitting string, seq int, person string")
+    got = {r.seq: (r.person, r.source) for r in resolution.by_history(speeches, found).collect()}
+    assert got[3] == ("ann", "history") and got[4] == ("ann", "history")
