@@ -7,6 +7,8 @@ from hustings.functions import dates, markup, names, text
 from hustings.operators import tables, temporal
 from hustings.plans import linking, people, registers, resolution, transcripts
 from hustings.queries import query
+from hustings.sources import files
+from hustings.sources.shared import shared_folder
 
 DAY = "CAST(o_orderdate AS DATE)"
 
@@ -347,3 +349,47 @@ def chair_fallback(t):
     k = F.col("o_orderkey")
     s = t("orders").select(F.col("o_custkey").alias("sitting"), k.alias("seq"), F.when(k % 5 == 0, k % 7).alias("chair"), F.when(k % 3 == 0, k % 11).alias("person"), F.when(k % 3 == 1, "The Chairman").otherwise("x").alias("speaker"))
     return resolution.with_chair(s).select("sitting", "seq", "person")
+
+
+@query("""SELECT c_custkey, c_name FROM customer""")
+def sorted_parquet(t):
+    """Parquet in order of its key with Bloom filters, read back."""
+    path = f"{shared_folder(t.spark)}/sorted"
+    files.write_sorted(t("customer").select("c_custkey", "c_name"), path, "c_custkey")
+    return t.spark.read.parquet(path)
+
+
+@query("""SELECT c_custkey AS id, c_name AS name, CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END AS segment FROM customer""")
+def json_lines(t):
+    """JSON documents with sorted keys, missing values kept, read back."""
+    path = f"{shared_folder(t.spark)}/lines"
+    rows = t("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.when(F.col("c_custkey") % 2 == 0, F.col("c_mktsegment")).alias("segment"))
+    files.write_json_lines(rows, path)
+    return t.spark.read.schema("id long, name string, segment string").json(path)
+
+
+@query("""SELECT n_nationkey AS id, n_name || ' & co' AS name FROM nation""")
+def xml_round_trip(t):
+    """Rows as XML elements, read back by their tag."""
+    path = f"{shared_folder(t.spark)}/xml"
+    files.write_xml(t("nation").select(F.col("n_nationkey").alias("id"), F.concat("n_name", F.lit(" & co")).alias("name")), path, "nation", "nations")
+    return t.spark.read.schema("id int, name string").option("rowTag", "nation").format("xml").load(path)
+
+
+@query("""SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderstatus IN ('F', 'O') THEN 1 ELSE 2 END AS written FROM orders""")
+def new_partitions_only(t):
+    """A second write adds the keys that aren't there yet and leaves the others as they are."""
+    path = f"{shared_folder(t.spark)}/parts"
+    rows = t("orders").select("o_orderkey", "o_orderstatus")
+    files.write_new_partitions(rows.filter("o_orderstatus in ('F', 'O')").withColumn("written", F.lit(1)), path, "o_orderstatus")
+    files.write_new_partitions(rows.withColumn("written", F.lit(2)), path, "o_orderstatus")
+    return t.spark.read.parquet(path).select("o_orderkey", "o_orderstatus", "written")
+
+
+@query("""SELECT doc_id, lang_, text_, fell_back FROM (SELECT doc_id, 'en' AS lang_, md5(coalesce(CASE WHEN doc_id % 3 <> 0 THEN text END, upper(source))) AS text_, doc_id % 3 = 0 OR trim(text) = '' AS fell_back FROM documents
+UNION ALL SELECT doc_id, 'cy', md5(upper(source)), FALSE FROM documents)""")
+def bilingual_pair(t):
+    """Every row in two languages, missing text taken from the other."""
+    rows = t("documents").select("doc_id", F.when(F.col("doc_id") % 3 != 0, F.col("text")).alias("text_en"), F.upper("source").alias("text_cy"))
+    both = files.both_languages(rows, {"body": {"en": "text_en", "cy": "text_cy"}})
+    return both.select("doc_id", F.col("lang").alias("lang_"), F.md5("body").alias("text_"), "fell_back")
