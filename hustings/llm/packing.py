@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from hustings.llm.common import bounded_batches, slices, utf8
 from hustings.llm.tokens import encoder, vocabulary
 
+#: Bytes of text that are encoded in one go.
+SLICE_BYTES = 1 << 19
 #: Sequence ids: the bucket, then the partition (up to 2 ** 24 of them), then a count below 2 ** 32.
 BUCKET_SHIFT, PARTITION_SHIFT = 56, 32
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"
@@ -45,7 +47,7 @@ def pack(docs: DataFrame, max_tokens: int = 4096, vocab: str | None = None, end_
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         base = TaskContext.get().partitionId() << PARTITION_SHIFT
         made = np.zeros(64, np.int64)  # sequences so far, for each bucket
-        for batch in slices(batches, "text", 2 << 20, keep="tokens"):
+        for batch in slices(batches, "text", SLICE_BYTES, keep="tokens"):
             enc = encoder(held.value, end_id)
             rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens")}
             for doc_id, packed in zip(batch.column("doc_id").to_pylist(), enc.encode(utf8(batch.column("text"))), strict=True):

@@ -218,7 +218,7 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
     document with a smaller doc_id goes. All windows are judged on the input. Missing texts have no words. Rows without
     doc_id are neither earlier nor later than any other, so they stay whole and mark nothing; rows that share a doc_id
     do not mark each other. Long texts are taken whole. Columns named as the new ones give way to them. An empty table
-    gives an empty result. Only rows that may have spans are shuffled, with their other columns; only texts go to Python.
+    gives an empty result. Only rows that may have spans are shuffled, with their other columns; only their texts go to Python.
     """
     spark = docs.sparkSession
     names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "spans", "twin")]
@@ -229,7 +229,9 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
     touched = sieve(spans, "doc_id")(F.col("doc_id").cast("long"))
     some = rows.filter(touched)
     joined = some.join(spans, (some.doc_id == spans.doc_id) & (some.twin == spans.twin), "left").select(*(some[n] for n in names), spans.spans)
-    joined = joined.union(rows.filter(~touched).select(*names, F.lit(None).cast(spans.schema["spans"].dataType)))
+    # Rows without spans are done by Spark's functions alone, so no task needs two Python workers at a time.
+    words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \x09-\x0D]+"), lambda w: w != "")
+    whole = rows.filter(~touched).select(*back, words.alias("_words")).select(*back, F.size("_words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join("_words", " ").alias("kept_text"))
 
     @F.arrow_udf("n_words bigint, n_removed bigint, kept_text string")
     def keep(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
@@ -238,7 +240,7 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
             yield pa.concat_arrays(parts)
 
     told = joined.withColumn("_told", keep.asNondeterministic()(F.col("text").cast("string"), F.col("spans")))
-    return told.select(*back, "_told.n_words", "_told.n_removed", "_told.kept_text")
+    return told.select(*back, "_told.n_words", "_told.n_removed", "_told.kept_text").union(whole)
 
 
 def _kept(texts: list[bytes], spans: pa.Array) -> pa.Array:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from hustings.llm.common import bounded_batches, shared_folder, slices, utf8
 from hustings.llm.tokens import encoder, vocabulary
 
+#: Bytes of text that are encoded in one go.
+SLICE_BYTES = 1 << 19
 READ = "shard long, doc_id long, start long, n_tokens long"
 
 
@@ -47,7 +49,7 @@ def write_token_files(docs: DataFrame, folder: str | None = None, vocab: str | N
         shard, enc, store, at = task.partitionId(), None, None, ""
         lengths, ids, n_null = [], [], 0
         out = None
-        for batch in slices(batches, "text", keep="tokens"):
+        for batch in slices(batches, "text", SLICE_BYTES, keep="tokens"):
             if out is None:
                 enc = encoder(held.value, end_id)
                 store, path = _folder(folder)
