@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import decontamination, fingerprint, language_id, license_scan, packing, simhash, substring_dedup, token_files, toxicity, url_filter
+from hustings.llm import conversation_repair, decontamination, fingerprint, language_id, license_scan, packing, ranked_search, simhash, substring_dedup, token_files, toxicity, url_filter
 from hustings.llm.common import table
 
 
@@ -81,6 +81,15 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest, token_files.ids_crc32, "ids_crc32 long").drop("shard")
 
 
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(conversations), conversations)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {n: f for n, f in globals().items() if n.startswith("op") and callable(f)}
 
@@ -145,5 +154,21 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n
 """
 
 
+OP12_SQL = """
+WITH words AS (
+  SELECT 0 AS side, doc_id AS id, unnest(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) AS term FROM documents
+  UNION ALL
+  SELECT 1, item_id, unnest(list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')) FROM benchmark),
+tfs AS (SELECT side, id, term, count(*) AS tf FROM words GROUP BY ALL),
+sizes AS (SELECT id AS doc_id, CAST(sum(tf) AS BIGINT) AS n FROM tfs WHERE side = 0 GROUP BY 1),
+whole AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sizes),
+weights AS (SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tfs, whole WHERE side = 0 GROUP BY term, docs),
+parts AS (SELECT t.id AS doc_id, t.term, w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + ((75 * n * docs) // terms)))) AS part FROM tfs t JOIN weights USING (term) JOIN sizes s ON s.doc_id = t.id, whole WHERE side = 0),
+scores AS (SELECT i.id AS item_id, p.doc_id, CAST(sum(i.tf * p.part) AS BIGINT) AS score FROM tfs i JOIN parts p USING (term) WHERE i.side = 1 GROUP BY 1, 2 HAVING sum(i.tf * p.part) > 0),
+ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scores)
+SELECT * FROM ranked WHERE rank <= 10
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4_SQL, "op5_decontamination": OP5_SQL, "op7_substring_dedup": OP7_SQL}
+    return {"op4_url_filter": OP4_SQL, "op5_decontamination": OP5_SQL, "op7_substring_dedup": OP7_SQL, "op12_ranked_search": OP12_SQL}
