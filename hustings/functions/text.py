@@ -38,12 +38,15 @@ def without_possessive(s: Column) -> Column:
 
 
 def column_range(s: Column) -> Column:
-    """struct<first, last> of columns as cited, '1234' or '1234-6' (a short end shares the start's leading digits); null if
-    it is no such range or runs backwards."""
+    """struct<first, last> of columns as cited, '1234' or '1234-6'; null if it is neither or its end does not follow.
+
+    A short end has the start's leading digits, and follows if it is greater than as many of the start's last digits:
+    '10000-9995' ends at 19995, '1234-4', '1234-1' and '1234-1234' are refused.
+    """
     first, end = F.regexp_extract(F.trim(s), r"^(\d+)(?:\s*[-\u2013]\s*(\d+))?$", 1), F.regexp_extract(F.trim(s), r"^(\d+)(?:\s*[-\u2013]\s*(\d+))?$", 2)
-    whole = F.when(end == "", first).when(F.length(end) < F.length(first), F.concat(F.left(first, F.length(first) - F.length(end)), end)).otherwise(end)
-    a, b = first.try_cast("long"), whole.try_cast("long")
-    return F.when(a <= b, F.struct(a.alias("first"), b.alias("last")))
+    whole = F.when(F.length(end) < F.length(first), F.concat(F.left(first, F.length(first) - F.length(end)), end)).otherwise(end)
+    a, b = first.try_cast("long"), F.when(end == "", first).otherwise(whole).try_cast("long")
+    return F.when(a.isNotNull() & ((end == "") | (a < b)), F.struct(a.alias("first"), b.alias("last")))
 
 
 def word_count(s: Column) -> Column:
@@ -51,9 +54,13 @@ def word_count(s: Column) -> Column:
     return F.size(F.split(s, r"\s+"))
 
 
+#: Fixed value: what counts as a token when versions are compared.
+MARKUP_TOKEN = r"(<[^>]*>|&\w+;|[^<>\s]+)"
+
+
 def markup_tokens(s: Column) -> Column:
     """Tags, entities and words, in order."""
-    return F.regexp_extract_all(s, F.lit(r"(<[^>]*>|&\w+;|[^<>\s]+)"), F.lit(1))
+    return F.regexp_extract_all(s, F.lit(MARKUP_TOKEN), F.lit(1))
 
 
 def sentences(s: Column, least: int = 3, banned: tuple[str, ...] = ()) -> Column:
@@ -65,14 +72,20 @@ def sentences(s: Column, least: int = 3, banned: tuple[str, ...] = ()) -> Column
     return F.filter(kept, clean) if banned else kept
 
 
+#: Fixed value: a capital with up to five letters after it, unless it is two to six capitals. Written as two patterns, since
+#: SQL engines that check it have no lookahead.
+SHORT_WORD, SHORT_CAPITALS = "^[A-Z][a-zA-Z]{0,5}$", "^[A-Z]{2,6}$"
+
+
 def phrase_fault(s: Column, banned: tuple[str, ...] = ()) -> Column:
-    """Why a phrase makes a poor link, or null. Of several reasons the later test's name holds."""
+    """Why a phrase makes a poor link, or null: a short word, a single word that isn't all capitals, a banned phrase. Of
+    several reasons the later test's name holds."""
+    capitals = s.rlike(r"\p{Lu}") & ~s.rlike(r"\p{Ll}")
     fault = F.lit(None).cast("string")
     for test, reason in (
-        (s.rlike("^[A-Z][a-zA-Z]{0,5}$") & ~s.rlike("^[A-Z]{2,6}$"), "short word"),
-        (F.size(F.split(F.trim(s), " ")) == 1, "single word"),
-        ((F.upper(s) == s) & (F.length(s) > 6), "all capitals"),
-        (F.lower(s).isin(*[b.lower() for b in banned]) if banned else F.lit(False), "banned"),
+        (s.rlike(SHORT_WORD) & ~s.rlike(SHORT_CAPITALS), "short word"),
+        (s.rlike(r"^\s*\S+\s*$") & ~capitals, "single word"),
+        (s.isin(*banned) if banned else F.lit(False), "banned"),
     ):
         fault = F.when(test, reason).otherwise(fault)
     return fault

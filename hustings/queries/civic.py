@@ -313,9 +313,13 @@ def quote_forms(t):
     return t("customer").select("c_custkey", text.plain_quotes(F.concat("c_name", F.lit(" \u201cx\u201d"))).alias("plain"), text.without_possessive(owner).alias("owner"))
 
 
-@query("""SELECT o_orderkey, CASE WHEN o_orderkey % 4 < 3 THEN 1000 + o_orderkey END AS first, CASE o_orderkey % 4 WHEN 0 THEN 1000 + o_orderkey WHEN 1 THEN (1000 + o_orderkey) // 10 * 10 + 9 WHEN 2 THEN 1005 + o_orderkey END AS last FROM orders""")
+@query("""WITH c AS (SELECT o_orderkey, o_orderkey % 4 AS k, CASE WHEN o_orderkey % 4 = 3 THEN o_orderkey + 1005 ELSE o_orderkey + 1000 END AS a,
+  CASE o_orderkey % 4 WHEN 1 THEN '9' WHEN 2 THEN CAST(o_orderkey + 1005 AS VARCHAR) WHEN 3 THEN CAST(o_orderkey + 1000 AS VARCHAR) END AS e FROM orders),
+d AS (SELECT o_orderkey, a, CASE WHEN e IS NULL THEN a WHEN len(e) > len(CAST(a AS VARCHAR)) THEN CAST(e AS BIGINT)
+  WHEN CAST(right(CAST(a AS VARCHAR), len(e)) AS BIGINT) < CAST(e AS BIGINT) THEN CAST(left(CAST(a AS VARCHAR), len(CAST(a AS VARCHAR)) - len(e)) || e AS BIGINT) END AS b FROM c)
+SELECT o_orderkey, CASE WHEN b IS NOT NULL THEN a END AS first, b AS last FROM d""")
 def column_ranges(t):
-    """Columns as cited, with short ends; backward ranges are refused."""
+    """Columns as cited, with short ends; ranges whose end does not follow are refused."""
     k, n = F.col("o_orderkey"), (F.col("o_orderkey") + 1000)
     cited = F.when(k % 4 == 0, n.cast("string")).when(k % 4 == 1, F.concat(n.cast("string"), F.lit("-9"))).when(k % 4 == 2, F.concat(n.cast("string"), F.lit("-"), (n + 5).cast("string"))).otherwise(F.concat((n + 5).cast("string"), F.lit("-"), n.cast("string")))
     return t("orders").select("o_orderkey", text.column_range(cited).alias("r")).select("o_orderkey", "r.first", "r.last")

@@ -55,12 +55,12 @@ def sentence_filter(t):
 
 
 @query("""WITH w AS (SELECT doc_id, unnest(string_split_regex(text, '[.,\\n]+ *')) AS p FROM documents), f AS (
-SELECT doc_id, CASE WHEN upper(p) = p AND length(p) > 6 THEN 'all capitals' WHEN NOT contains(trim(p, ' '), ' ') THEN 'single word' WHEN regexp_matches(p, '^[A-Z][a-zA-Z]{0,5}$') AND NOT regexp_matches(p, '^[A-Z]{2,6}$') THEN 'short word' END AS fault FROM w WHERE p <> '')
+SELECT doc_id, CASE WHEN p IN ('Government', 'The Minister') THEN 'banned' WHEN regexp_matches(p, '^\\s*\\S+\\s*$') AND NOT (regexp_matches(p, '\\p{Lu}') AND NOT regexp_matches(p, '\\p{Ll}')) THEN 'single word' WHEN regexp_matches(p, '^[A-Z][a-zA-Z]{0,5}$') AND NOT regexp_matches(p, '^[A-Z]{2,6}$') THEN 'short word' END AS fault FROM w WHERE p <> '')
 SELECT doc_id, fault, count(*) AS n FROM f GROUP BY 1, 2""")
 def phrase_quality(t):
     """What is wrong with the phrases between the marks of all texts, counted for each document."""
     phrases = t("documents").select("doc_id", F.explode(F.split("text", r"[.,\n]+ *")).alias("p")).filter("p <> ''")
-    return phrases.select("doc_id", text.phrase_fault(F.col("p")).alias("fault")).groupBy("doc_id", "fault").agg(F.count("*").alias("n"))
+    return phrases.select("doc_id", text.phrase_fault(F.col("p"), ("Government", "The Minister")).alias("fault")).groupBy("doc_id", "fault").agg(F.count("*").alias("n"))
 
 
 @query("""SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders""")

@@ -30,7 +30,7 @@ def test_text(one):
     assert [one(text.next_alpha(s), s=x) for x in ("", "a", "z", "az", "ba", "zz")] == ["a", "b", "aa", "ba", "bb", "aaa"]
     assert one(text.markup_tokens(s), s="<p>It is &amp; was</p>") == ["<p>", "It", "is", "&amp;", "was", "</p>"]
     assert one(text.sentences(s, 2, ("secret",)), s="One two. Three. A secret thing. Four five") == ["One two", "Four five"]
-    assert [one(text.phrase_fault(s, ("General Debate",)), s=x) for x in ("Abcd", "NHS", "Wales Office", "GREAT SEAL", "general debate")] == ["single word", "single word", None, "all capitals", "banned"]
+    assert [one(text.phrase_fault(s, ("General Debate",)), s=x) for x in ("Abcd", "NHS", "NATOBASE", "NATO-x", "42", "Wales Office", "GREAT SEAL", "general debate", "General Debate", " A ", "\u00c9T\u00c9", "\u00c9t\u00e9", "")] == ["single word", None, None, "single word", "single word", None, None, None, "banned", None, None, "single word", None]
     assert [one(text.bits_to_int(s), s=x) for x in ("0101", "", "1" * 70)] == [5, 0, (1 << 63) - 1]
     assert one(text.similarity_to()(s, F.lit("a b c d")), s="a b c e") == 0.75
     assert text.snake_case("primarySponsorID") == "primary_sponsor_id" and text.camel_case("member_id", pascal=True) == "MemberID"
@@ -97,3 +97,10 @@ def test_similarity_is_one_measure_at_all_lengths(spark):
     rows = [(" ".join(w), " ".join(reversed(w))) for w in (short, long)] + [("a b", "a b"), ("", ""), (None, "a"), ("a", "")]
     got = [r.s for r in spark.createDataFrame(rows, "a string, b string").coalesce(1).select(text.similarity_to()(F.col("a"), F.col("b")).alias("s")).collect()]
     assert got[2:] == [1.0, 1.0, None, 0.0] and abs(got[0] - 1 / 40) < 1e-9 and abs(got[1] - 1 / 9000) < 1e-9
+
+
+def test_column_ranges(one):
+    s = F.col("s")
+    got = [one(text.column_range(s), s=x) for x in ("1234", "1234-6", "1234-40", "9999-10002", "10000-9995", "1234-4", "1234-1", "1234-1234", "1234-1230", "9998-9999", "99-100", "100-99", "5-3", "x", None, "12-")]
+    want = [(1234, 1234), (1234, 1236), (1234, 1240), (9999, 10002), (10000, 19995), None, None, None, None, (9998, 9999), (99, 100), (100, 199), None, None, None, None]
+    assert [None if g is None else tuple(g) for g in got] == want
