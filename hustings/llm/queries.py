@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hustings.llm import conversation_repair, decontamination, fingerprint, language_id, license_scan, packing, ranked_search, simhash, substring_dedup, token_files, toxicity, url_filter
+from hustings.llm import conversation_repair, decontamination, fingerprint, language_id, license_scan, packing, ranked_search, simhash, substring_dedup, token_files, toxicity, url_filter, vector_graph
 from hustings.llm.common import table
 
 
@@ -81,6 +81,10 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(manifest, token_files.ids_crc32, "ids_crc32 long").drop("shard")
 
 
+def op11_vector_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).links
+
+
 def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.rank(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
