@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hustings.sources.shared import discard, shared_folder
 
-__all__ = ["alnum_words", "bounded_batches", "discard", "mixed", "of_text", "release", "shared_folder", "sieve", "slices", "table", "utf8", "word_hashes", "written"]
+__all__ = ["alnum_words", "bounded_batches", "discard", "mixed", "of_text", "release", "shared_folder", "sieve", "slices", "spare", "table", "utf8", "word_hashes", "written"]
 
 #: Bytes of text that an operator handles in one go inside a task.
 CHUNK_BYTES = 4 << 20
@@ -93,6 +93,14 @@ def of_text(spark: SparkSession, text: Column, schema: str, setup: Callable[[],
     return run.asNondeterministic()(text.cast("string"))
 
 
+def spare(docs: DataFrame, name: str) -> str:
+    """A column name that docs has not: name, with underscores after it where need be."""
+    held = {c.lower() for c in docs.columns}
+    while name.lower() in held:
+        name += "_"
+    return name
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """The texts as UTF-8; null is empty."""
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()

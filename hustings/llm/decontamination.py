@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import alnum_words, of_text, written
+from hustings.llm.common import alnum_words, of_text, spare, written
 
 #: Bytes of benchmark text whose tables a task holds at once (up to about 100 MB of them); a larger benchmark is searched part by
 #: part.
@@ -173,16 +173,16 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, window: int = 10, columns
     kind = "string" if dict(benchmark.dtypes)["item_id"] == "string" else "bigint"
     keep = names if columns is None else columns
     shards = benchmark_shards(benchmark, shard_bytes)
-    found = None
+    inner, more, found = spare(docs, "_hits"), spare(docs, "_more"), None
     for k, shard in enumerate(shards):
         tables = spark.sparkContext.broadcast([(r[0], r[1]) for r in shard.toLocalIterator()])
         hits = _hits(spark, tables, window, kind)
         if k == 0:
-            base = docs.select(*(dict.fromkeys(keep) if len(shards) == 1 else names), hits.alias("_hits"))
+            base = docs.select(*(dict.fromkeys(keep) if len(shards) == 1 else names), hits.alias(inner))
         else:
-            base = found.withColumn("_more", hits).withColumn("_hits", _joined(kind)).drop("_more")
+            base = found.withColumn(more, hits).withColumn(inner, _joined(F.col(inner), F.col(more))).drop(more)
         found = base if k == len(shards) - 1 else written(base)
-    return found.select(*keep, "_hits.n_words", "_hits.spans", "_hits.items")
+    return found.select(*keep, *(F.col(inner)[c].alias(c) for c in NEW))
 
 
 def _hits(spark, held, window: int, kind: str) -> Column:
@@ -205,15 +205,15 @@ def _hits(spark, held, window: int, kind: str) -> Column:
     return of_text(spark, F.col("text"), f"n_words bigint, spans array<struct<start: bigint, end: bigint>>, items array<{kind}>", setup)
 
 
-def _joined(kind: str) -> Column:
-    """_hits and _more as one: stretches that touch are merged, items listed once."""
-    both = F.array_sort(F.concat("_hits.spans", "_more.spans"))
+def _joined(hits: Column, more: Column) -> Column:
+    """Two searches of one text as one: stretches that touch are merged, items listed once."""
+    both = F.array_sort(F.concat(hits["spans"], more["spans"]))
     merge = lambda done, s: F.when(
         (F.size(done) > 0) & (s["start"] <= F.element_at(done, -1)["end"]),
         F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(F.element_at(done, -1)["start"].alias("start"), F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end")))),
     ).otherwise(F.concat(done, F.array(s)))
     spans = F.aggregate(both, F.array().cast("array<struct<start:bigint,end:bigint>>"), merge)
-    return F.struct(F.col("_hits.n_words").alias("n_words"), spans.alias("spans"), F.array_sort(F.array_union("_hits.items", "_more.items")).alias("items"))
+    return F.struct(hits["n_words"].alias("n_words"), spans.alias("spans"), F.array_sort(F.array_union(hits["items"], more["items"])).alias("items"))
 
 
 def report(found: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import of_text
+from hustings.llm.common import of_text, spare
 from hustings.llm.sampling import held_out, sample_ids, sampled
 
 #: Documents of each language in the training sample; of each the first, the middle and the last window.
@@ -189,5 +189,6 @@ def identify(docs: DataFrame, columns: list[str] | None = None, sample_docs: int
 
         return predict
 
-    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, F.col("text"), "lang_pred string, score double", setup).alias("_told"))
-    return told.select(*back, "held_out", "_told.lang_pred", "_told.score")
+    inner = spare(docs.select(*back), "_told")
+    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, F.col("text"), "lang_pred string, score double", setup).alias(inner))
+    return told.select(*back, "held_out", *(F.col(inner)[c].alias(c) for c in ("lang_pred", "score")))

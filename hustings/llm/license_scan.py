@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import alnum_words, of_text
+from hustings.llm.common import alnum_words, of_text, spare
 
 # Phrases that count as base places, and their labels.
 BASE_PHRASES = {
@@ -165,5 +165,6 @@ def scan_licenses(docs: DataFrame, columns: list[str] | None = None) -> DataFram
 
         return look
 
-    found = docs.select(*back, of_text(docs.sparkSession, F.col("text"), FOUND_SQL, setup).alias("_found"))
-    return found.select(*back, *(f"_found.{n}" for n in FOUND.names))
+    inner = spare(docs.select(*back), "_found")
+    found = docs.select(*back, of_text(docs.sparkSession, F.col("text"), FOUND_SQL, setup).alias(inner))
+    return found.select(*back, *(F.col(inner)[n].alias(n) for n in FOUND.names))

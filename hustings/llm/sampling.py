@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from hustings.llm.common import written
 
-#: Different labels that a sample may have; more are refused, as a sample has rows of each.
+#: Labels that a sample has rows of, the most frequent ones, so that a sample is bounded whatever the labels.
 MAX_LABELS = 300
 
 
@@ -21,14 +21,12 @@ def sample_ids(labelled: DataFrame, label: str, per_label: int) -> DataFrame:
 
     weight tells how many rows of its label each stands for. The sample takes the same rows at any partitioning; of a
     doc_id with several labels the smallest counts, repeated rows count once, rows without doc_id or label not at all.
-    Over MAX_LABELS labels are an error, so the totals, one row for each label, come to the driver and are sent around: a
-    frequent label's rows are thinned where they are instead of meeting in one task.
+    Labels are the MAX_LABELS most frequent ones, of equally frequent ones the smaller. Their totals, one row for each, come
+    to the driver and are sent around: a frequent label's rows are thinned where they are instead of meeting in one task.
     """
     keyed = labelled.filter(F.col("doc_id").isNotNull() & F.col(label).isNotNull()).groupBy("doc_id").agg(F.min(label).alias(label)).withColumn("_h", F.xxhash64("doc_id"))
     totals = keyed.groupBy(label).agg(F.count("*").alias("_n"))
-    held = totals.limit(MAX_LABELS + 1).collect()
-    if len(held) > MAX_LABELS:
-        raise ValueError(f"column {label} has over {MAX_LABELS} different labels, the most that a sample is made for")
+    held = totals.orderBy(F.desc("_n"), label).limit(MAX_LABELS).collect()
     few = labelled.sparkSession.createDataFrame(held, totals.schema)
     # Hashes are even, so this share of them holds the lowest per_label; no task then ranks more than about twice those.
     share = (F.lit(2.0 * per_label) + 100) / F.col("_n")

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import bounded_batches, mixed, sieve, slices, utf8, word_hashes, written
+from hustings.llm.common import bounded_batches, mixed, sieve, slices, spare, utf8, word_hashes, written
 
 #: Words of a phrase that stands for the windows around it.
 PHRASE = 8
@@ -221,26 +221,27 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
     gives an empty result. Only rows that may have spans are shuffled, with their other columns; only their texts go to Python.
     """
     spark = docs.sparkSession
-    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text", "spans", "twin")]
+    names = [c for c in docs.columns if c not in ("n_words", "n_removed", "kept_text")]
     back = names if columns is None else columns
     bounded_batches(spark)
-    rows = docs.select(*names, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("twin"))
+    twin, stretches, inner = (spare(docs, n) for n in ("_twin", "_spans", "_told"))
+    rows = docs.select(*names, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias(twin))
     spans = written(repeated_spans(docs, window))
     touched = sieve(spans, "doc_id")(F.col("doc_id").cast("long"))
     some = rows.filter(touched)
-    joined = some.join(spans, (some.doc_id == spans.doc_id) & (some.twin == spans.twin), "left").select(*(some[n] for n in names), spans.spans)
+    joined = some.join(spans, (some["doc_id"] == spans["doc_id"]) & (some[twin] == spans["twin"]), "left").select(*(some[n] for n in names), spans["spans"].alias(stretches))
     # Rows without spans are done by Spark's functions alone, so no task needs two Python workers at a time.
     words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \x09-\x0D]+"), lambda w: w != "")
-    whole = rows.filter(~touched).select(*back, words.alias("_words")).select(*back, F.size("_words").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join("_words", " ").alias("kept_text"))
+    whole = rows.filter(~touched).select(*back, words.alias(inner)).select(*back, F.size(inner).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(inner, " ").alias("kept_text"))
 
     @F.arrow_udf("n_words bigint, n_removed bigint, kept_text string")
     def keep(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for text, stretches in texts:
-            parts = [_kept(utf8(part.column(0)), part.column(1)) for part in slices([pa.RecordBatch.from_arrays([text, stretches], ["text", "spans"])], "text", 2 * SHARD_BYTES)]
+        for text, marked in texts:
+            parts = [_kept(utf8(part.column(0)), part.column(1)) for part in slices([pa.RecordBatch.from_arrays([text, marked], ["text", "spans"])], "text", 2 * SHARD_BYTES)]
             yield pa.concat_arrays(parts)
 
-    told = joined.withColumn("_told", keep.asNondeterministic()(F.col("text").cast("string"), F.col("spans")))
-    return told.select(*back, "_told.n_words", "_told.n_removed", "_told.kept_text").union(whole)
+    told = joined.withColumn(inner, keep.asNondeterministic()(F.col("text").cast("string"), F.col(stretches)))
+    return told.select(*back, *(F.col(inner)[c].alias(c) for c in ("n_words", "n_removed", "kept_text"))).union(whole)
 
 
 def _kept(texts: list[bytes], spans: pa.Array) -> pa.Array:

@@ -7,14 +7,14 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import ALNUM, of_text
+from hustings.llm.common import ALNUM, of_text, spare
 from hustings.llm.sampling import held_out, sample_ids, sampled
 
-#: Bounds of the training sample: documents of each label, and bytes of a text (longer ones aren't learned from).
-SAMPLE_DOCS, SAMPLE_BYTES = 3000, 16_384
+#: Bounds of the training sample: documents of each label, and bytes of a text; of longer ones so many parts are learned from.
+SAMPLE_DOCS, SAMPLE_BYTES, SAMPLE_PARTS = 3000, 16_384, 4
 #: A feature counts if toxic sample documents have it in excess by this log-likelihood ratio; words of a sentence at
 #: most (longer ones are parted); bytes of a word's beginning; words whose weights a worker keeps.
 LEAST_RATIO, SENTENCE_WORDS, BEGINNING, KEPT_WORDS = 16.0, 40, 6, 500_000
@@ -72,7 +72,7 @@ def telling(sample: list[tuple[str, int, float]]) -> list[bytes]:
         got, total = n * scale, max(weighted[f], n * scale)
         share = got / total
         ratio = 2 * (n * np.log(share / rate) + ((total - got) * np.log((1 - share) / (1 - rate)) if share < 1 else 0.0))
-        if share > 2 * rate and ratio >= LEAST_RATIO:
+        if share * (1 - rate) > 2 * rate * (1 - share) and ratio >= LEAST_RATIO:
             kept.append(f)
     return sorted(kept)
 
@@ -109,12 +109,20 @@ def train(sample: list[tuple[str, int, float]], rounds: int = 300, rate: float =
     return {w: float(theta[i]) for w, i in index.items()}, float(theta[-1])
 
 
+def sample_text(text: Column) -> Column:
+    """What is learned from a text: all of it, or if it has over SAMPLE_BYTES as many evenly spread parts as SAMPLE_PARTS."""
+    size = SAMPLE_BYTES // (4 * SAMPLE_PARTS)  # characters, of at most four bytes
+    step = (F.length(text) - size) / (SAMPLE_PARTS - 1)
+    parts = F.concat_ws("\n", *(F.substr(text, F.floor(step * k).cast("int") + 1, F.lit(size)) for k in range(SAMPLE_PARTS)))
+    return F.when(F.octet_length(text) <= SAMPLE_BYTES, text).otherwise(parts)
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame, columns: list[str] | None = None, sample_docs: int = SAMPLE_DOCS, threshold: float = 0.5) -> DataFrame:
     """Every row of docs with the named columns (all by default), held_out, score and offending.
 
     score is the chance that the document would be labelled toxic; offending lists (sentence, score, text) of its
     sentences that score at least threshold, counted from 0. Learns from at most sample_docs documents of each label of
-    labels (doc_id, toxic), none of them held out and none over SAMPLE_BYTES. Text is the only input of a score; missing
+    labels (doc_id, toxic), none of them held out, of long ones from SAMPLE_PARTS parts (SAMPLE_BYTES at most). Text is the only input of a score; missing
     and empty texts have no sentences and score 0; long ones are scored whole. Rows that share a doc_id are scored one by
     one and learned from once, labels that do count as the smallest. Without labels of both kinds every sentence scores as the one kind
     does. Columns of docs named as the new ones give way to them; an empty table gives an empty result.
@@ -123,7 +131,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: list[str] | None
     back = [c for c in docs.columns if c not in new] if columns is None else columns
     text = F.col("text").cast("string")
     ids = sample_ids(labels.filter(~held_out()), "toxic", sample_docs)
-    held = docs.sparkSession.sparkContext.broadcast(train(sampled(docs, ids, "toxic", F.when(F.octet_length(text) <= SAMPLE_BYTES, text))))
+    held = docs.sparkSession.sparkContext.broadcast(train(sampled(docs, ids, "toxic", sample_text(text))))
     offending = pa.list_(pa.struct([("sentence", pa.int32()), ("score", pa.float64()), ("text", pa.string())]))
 
     def setup():
@@ -147,6 +155,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, columns: list[str] | None
 
         return score
 
+    inner = spare(docs.select(*back), "_told")
     schema = "score double, offending array<struct<sentence: int, score: double, text: string>>"
-    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, text, schema, setup).alias("_told"))
-    return told.select(*back, "held_out", "_told.score", "_told.offending")
+    told = docs.select(*back, held_out().alias("held_out"), of_text(docs.sparkSession, text, schema, setup).alias(inner))
+    return told.select(*back, "held_out", *(F.col(inner)[c].alias(c) for c in ("score", "offending")))

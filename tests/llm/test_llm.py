@@ -514,11 +514,41 @@ def test_languages_of_short_or_unlabelled_texts(spark):
     assert {(r.lang_pred, r.score) for r in language_id.identify(none).collect()} == {("und", 0.0)}
 
 
-def test_more_labels_than_the_bound_are_refused(spark):
+def test_the_most_frequent_labels_are_sampled(spark):
     labels = spark.range(3000).selectExpr("id doc_id", f"id % {sampling.MAX_LABELS} lang")
     assert sampling.sample_ids(labels, "lang", 2).count() == 2 * sampling.MAX_LABELS
-    with pytest.raises(ValueError, match="labels"):
-        sampling.sample_ids(labels.selectExpr("doc_id", f"doc_id % {sampling.MAX_LABELS + 1} lang"), "lang", 2)
+    many = labels.selectExpr("doc_id", f"doc_id % {sampling.MAX_LABELS + 7} lang")
+    n = [len(range(k, 3000, sampling.MAX_LABELS + 7)) for k in range(sampling.MAX_LABELS + 7)]
+    kept = sorted(range(len(n)), key=lambda k: (-n[k], k))[: sampling.MAX_LABELS]
+    assert sorted(r["lang"] for r in sampling.sample_ids(many, "lang", 1).collect()) == sorted(kept)
+
+
+def test_long_texts_are_learned_from_in_parts(spark):
+    """Toxic texts that are all long: labels are learned, and samples stay within their bound."""
+    rng = random.Random(4)
+    rows = [(i, " ".join(f"w{rng.randrange(50)}" for _ in range(6000)) if i % 2 else ". ".join("vile slur" if k % 3 else "calm word" for k in range(3000))) for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "1 - doc_id % 2 toxic")
+    cut = [r[0] for r in docs.select(toxicity.sample_text(common.F.col("text"))).collect()]
+    assert all(0 < len(t.encode()) <= toxicity.SAMPLE_BYTES + toxicity.SAMPLE_PARTS for t in cut)
+    scored = {r["doc_id"]: r["score"] for r in toxicity.score_toxicity(docs, labels).collect()}
+    assert all((s > 0.5) == (i % 2 == 0) for i, s in scored.items())
+
+
+def test_inner_names_as_columns(spark):
+    """Operators given tables whose columns are named as their own inner ones."""
+    names = ["_told", "_told_", "_hits", "_more", "_found", "_words", "_twin", "_spans", "spans", "twin", "sig", "judged", "row", "order", "_sig", "node", "block"]
+    docs = spark.createDataFrame([(i, f"alpha beta {i} mit license " * 20, "en", *(f"{n}{i}" for n in names)) for i in range(6)], "doc_id long, text string, lang string, " + ", ".join(f"{n} string" for n in names))
+    labels = docs.selectExpr("doc_id", "doc_id % 2 toxic")
+    items = spark.createDataFrame([(1, "alpha beta 3 mit")], "item_id long, text string")
+    for found in (
+        toxicity.score_toxicity(docs, labels), language_id.identify(docs), decontamination.occurrences(docs, items), license_scan.scan_licenses(docs),
+        substring_dedup.cut(docs), decontamination.occurrences(docs, items.union(items.selectExpr("item_id + 1", "'mit license alpha'")), shard_bytes=10),
+    ):
+        rows = found.collect()
+        assert len(rows) == 6
+        kept = [n for n in names if n in docs.columns and n in found.columns]
+        assert set(names) - set(kept) <= {"spans"} and all(r[n] == f"{n}{r['doc_id']}" for r in rows for n in kept if n != "spans")
 
 
 def test_a_doc_id_of_many_rows_is_sampled_once(spark):
