@@ -592,3 +592,31 @@ def test_slices_are_bounded():
 
     batch = pa.RecordBatch.from_pydict({"text": ["ab", None, "c" * 10, "d"]})
     assert [s.num_rows for s in common.slices([batch], "text", 3)] == [2, 1, 1]
+
+
+def test_sketches_are_the_least_hashes(spark):
+    """Sketches and their likeness against XXH64 chained over words, in Python."""
+    rng = random.Random(21)
+
+    def hashes(text):
+        words = words_of(text)
+        out = set()
+        for i in range(max(1, len(words) - 4) if words else 0):
+            seed = 42
+            for w in words[i : i + 5]:
+                seed = xxhash.xxh64_intdigest(w.encode(), seed)
+            out.add(seed - (1 << 64) if seed >> 63 else seed)
+        return out
+
+    texts = [None, "", "one", "one two", "one two three four five", "ça\tva  bien ici là bas et plus"] + [" ".join(f"w{rng.randrange(400)}" for _ in range(n)) for n in (6, 100, 131, 132, 133, 600, 3000)]
+    texts += [f"{texts[-1]} more words at the end", texts[-2] + " " + texts[-3]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: list(r["sketch"]) for r in fingerprint.fingerprint(docs).collect()}
+    want = {i: sorted(hashes(t))[: fingerprint.K] for i, t in enumerate(texts)}
+    assert got == want
+    pairs = [(a, b) for a in range(len(texts)) for b in range(len(texts)) if (a + b) % 3 == 0]
+    rows = spark.createDataFrame([(a, b, want[a], want[b]) for a, b in pairs], "a long, b long, x array<long>, y array<long>")
+    for r in rows.select("a", "b", fingerprint.resemblance(common.F.col("x"), common.F.col("y")).alias("j")).collect():
+        least = sorted(hashes(texts[r["a"]]) | hashes(texts[r["b"]]))[: fingerprint.K]
+        both = hashes(texts[r["a"]]) & hashes(texts[r["b"]])
+        assert r["j"] == (sum(h in both for h in least) / len(least) if least else 1.0)
