@@ -60,9 +60,20 @@ def range_join(points: DataFrame, ranges: DataFrame, point: str, start: str, end
 
 
 def overlap_conflicts(df: DataFrame, keys: list[str], start: str, end: str, row_id: str) -> DataFrame:
-    """Pairs of rows of one key whose ranges overlap, each pair once: first_id < second_id."""
-    a, b = df.alias("a"), df.alias("b")
-    on = (F.col(f"a.{row_id}") < F.col(f"b.{row_id}")) & overlaps(F.col(f"a.{start}"), F.col(f"a.{end}"), F.col(f"b.{start}"), F.col(f"b.{end}"))
+    """Pairs of rows of one key whose ranges overlap, each pair once: first_id < second_id. Rows without a start or
+    an end meet nobody.
+
+    A sweep in order of the starts cuts each key where no range before reaches; only rows of one such stretch are
+    compared, so a key that is long but has few overlaps costs a sort.
+    """
+    order = Window.partitionBy(*keys).orderBy(start)
+    reach = F.max(end).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    swept = df.select(*keys, row_id, start, end).filter(F.col(start).isNotNull() & F.col(end).isNotNull()).withColumn("_cut", F.coalesce(F.col(start) > reach, F.lit(False)))
+    swept = swept.withColumn("_stretch", F.count_if("_cut").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    # Rows of a stretch by themselves meet nobody.
+    held = swept.withColumn("_many", F.count("*").over(Window.partitionBy(*keys, "_stretch"))).filter("_many > 1")
+    a, b = held.alias("a"), held.alias("b")
+    on = (F.col("a._stretch") == F.col("b._stretch")) & (F.col(f"a.{row_id}") < F.col(f"b.{row_id}")) & overlaps(F.col(f"a.{start}"), F.col(f"a.{end}"), F.col(f"b.{start}"), F.col(f"b.{end}"))
     for k in keys:
         on = (F.col(f"a.{k}") == F.col(f"b.{k}")) & on
     return a.join(b, on).select(*(F.col(f"a.{k}") for k in keys), F.col(f"a.{row_id}").alias("first_id"), F.col(f"b.{row_id}").alias("second_id"))
@@ -101,8 +112,10 @@ def carve(positions: DataFrame, inner: DataFrame, key: str) -> DataFrame:
     level = daily.withColumn("_open", F.sum("d").over(Window.partitionBy(key).orderBy("day"))).select(F.col(key).alias("_k"), "day", "_open")
     own = positions.select(key, "start_date", "end_date").distinct()
     inside = own.join(level, (F.col(key) == F.col("_k")) & F.col("day").between(F.col("start_date"), F.col("end_date"))).select(key, "start_date", "end_date", "day", "_open")
-    # What is open when a position starts: the last mark before it, or on its first day.
-    before = own.join(level, (F.col(key) == F.col("_k")) & (F.col("day") <= F.col("start_date")), "left").groupBy(key, "start_date", "end_date").agg(F.coalesce(F.max_by("_open", "day"), F.lit(0)).alias("_open"))
+    # What is open when a position starts: the last mark before it, or on its first day, in one sequence of both.
+    sides = level.select(F.col("_k").alias(key), "day", "_open", F.lit(0).alias("_side")).unionByName(own.withColumn("day", F.col("start_date")).withColumn("_side", F.lit(1)), allowMissingColumns=True)
+    latest = F.last("_open", True).over(Window.partitionBy(key).orderBy("day", "_side"))
+    before = sides.withColumn("_open", F.coalesce(latest, F.lit(0))).filter("_side = 1").select(key, "start_date", "end_date", "_open")
     points = before.withColumn("day", F.col("start_date")).unionByName(inside.filter("day > start_date"))
     following = F.lead("day").over(Window.partitionBy(key, "start_date", "end_date").orderBy("day"))
     pieces = points.withColumn("_to", F.coalesce(F.date_sub(following, 1), F.col("end_date")))

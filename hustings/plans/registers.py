@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hustings.functions import markup
 from hustings.operators import tables
 
 
@@ -85,3 +86,93 @@ def positions(members: DataFrame) -> DataFrame:
     tagged = F.flatten(F.array(*(F.transform(F.coalesce(F.col(k), F.array()), tagged_as(k)) for k in kinds)))
     rows = members.select("person_id", F.posexplode(tagged).alias("place", "p")).select("person_id", "place", "p.*")
     return rows.withColumn("occurrence", F.row_number().over(Window.partitionBy("person_id", "kind", "title").orderBy("start_date", "place")))
+
+
+#: Arrays of a register's documents that hold nodes: entries hold details and entries, a container's value holds groups, a
+#: group its details.
+SLOTS = ("details", "sub_entries", "value", "items")
+
+
+def levels(nodes: DataFrame, key: str) -> DataFrame:
+    """nodes (key, id, parent, ...) with level: 0 for those without a parent or whose parent is not there, one more than
+    the parent's otherwise. Rounds are as many as levels; nodes that hold each other in a ring are an error."""
+    if not nodes.groupBy(key, "id").count().filter("count > 1").isEmpty():
+        raise ValueError("nodes share an id")
+    known = nodes.select(key, F.col("id").alias("parent")).distinct().withColumn("_known", F.lit(True))
+    rest = nodes.join(known, [key, "parent"], "left").checkpoint()
+    done = found = rest.filter("_known is null").drop("_known").withColumn("level", F.lit(0)).checkpoint()
+    rest, level = rest.filter("_known"), 0
+    while not found.isEmpty():
+        level += 1
+        above = found.select(key, F.col("id").alias("parent")).distinct()
+        found = rest.join(above, [key, "parent"]).drop("_known").withColumn("level", F.lit(level)).checkpoint()
+        done = done.unionByName(found)
+    if done.count() != nodes.count():
+        raise ValueError("nodes hold each other in a ring")
+    return done.select(*nodes.columns, "level")
+
+
+def nested_documents(nodes: DataFrame, key: str) -> DataFrame:
+    """(key, id, document): each root of nodes (key, id, parent, slot, place, body) as JSON, at any depth.
+
+    body is a node's own fields, a map of strings; slot names the array of the parent that it stands in, at its place. The
+    deepest level is turned into text first and handed to its parents, level by level, so work is a join for each level.
+    """
+    placed = levels(nodes, key).checkpoint()
+    deepest = placed.agg(F.max("level")).first()[0]
+    ready = None
+    for level in range(deepest or 0, -1, -1):
+        own = placed.filter(F.col("level") == level)
+        start = F.to_json("body")
+        start = F.left(start, F.length(start) - 1)
+        if ready is None:
+            made = own.withColumn("_slots", F.lit(""))
+        else:
+            lists = ready.groupBy(key, F.col("parent").alias("id"), "slot").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "document"))), lambda x: x["document"]), ",").alias("all"))
+            slots = lists.groupBy(key, "id").agg(F.sort_array(F.collect_list(F.concat(F.lit('"'), "slot", F.lit('":['), "all", F.lit("]")))).alias("parts"))
+            made = own.join(slots, [key, "id"], "left").withColumn("_slots", F.coalesce(F.array_join("parts", ","), F.lit(""))).drop("parts")
+        gap = F.when((F.col("_slots") == "") | (start == "{"), "").otherwise(",")
+        ready = made.select(key, "id", "parent", "slot", "place", F.concat(start, gap, "_slots", F.lit("}")).alias("document")).checkpoint()
+    return ready.select(key, "id", "document") if ready is not None else nodes.select(key, "id", F.lit("").alias("document")).limit(0)
+
+
+def flat_documents(documents: DataFrame, key: str, document: str = "document", slots: tuple[str, ...] = SLOTS) -> DataFrame:
+    """nested_documents() undone: (key, path, above, slot, place, level, body): a node of each document (JSON) a row, body
+    being its own fields. path tells nodes of a document apart: places from the root down; above is the parent's."""
+    found, done, level = documents.select(key, F.lit("0").alias("path"), F.lit(None).cast("string").alias("above"), F.lit(None).cast("string").alias("slot"), F.lit(0).alias("place"), F.col(document).alias("json")), None, 0
+    while True:
+        parsed = found.withColumn("all", F.from_json("json", "map<string, string>")).withColumn("level", F.lit(level)).drop("json").checkpoint()
+        if parsed.isEmpty():
+            return done if done is not None else parsed.withColumnRenamed("all", "body").select(key, "path", "above", "slot", "place", "level", "body")
+        holds = lambda k, v: k.isin(*slots) & v.startswith("[")
+        own = parsed.select(key, "path", "above", "slot", "place", "level", F.map_filter("all", lambda k, v: ~F.coalesce(holds(k, v), F.lit(False))).alias("body"))
+        done = own if done is None else done.unionByName(own)
+        kids = parsed.select(key, F.col("path").alias("above"), F.explode(F.map_filter("all", holds)).alias("slot", "list"))
+        each = kids.select(key, "above", "slot", F.posexplode(F.from_json("list", "array<string>")).alias("place", "json"))
+        found, level = each.withColumn("path", F.concat_ws(".", "above", F.concat("slot", F.lit(":"), "place"))).select(key, "path", "above", "slot", "place", "json"), level + 1
+
+
+def legacy_xml(entries: DataFrame) -> DataFrame:
+    """(person_id, xml): a person's entries (person_id, name, published, category, category_name, place, content) in the older
+    XML form: categories in order of their ids, a record and an item for each entry, whose content is markup as it is."""
+    item = F.concat(F.lit('<record><item class="interest">'), F.coalesce("content", F.lit("")), F.lit("</item></record>"))
+    by_category = entries.groupBy("person_id", "category").agg(*(F.first(c).alias(c) for c in ("name", "published", "category_name")), F.sort_array(F.collect_list(F.struct("place", item.alias("item")))).alias("items"))
+    opened = F.concat(F.lit('<category type="'), markup.escape(F.col("category")), F.lit('" name="'), markup.escape(F.coalesce("category_name", F.lit(""))), F.lit('">'))
+    part = F.concat(opened, F.array_join(F.transform("items", lambda i: i["item"]), ""), F.lit("</category>"))
+    people = by_category.groupBy("person_id").agg(F.first("name").alias("name"), F.first("published").alias("published"), F.sort_array(F.collect_list(F.struct("category", part.alias("part")))).alias("parts"))
+    head = F.concat(*(x for c in ("person_id", "name", "published") for x in (F.lit(f' {LEGACY[c]}="'), markup.escape(F.coalesce(F.col(c).cast("string"), F.lit(""))), F.lit('"'))))
+    return people.select("person_id", F.concat(F.lit("<regmem"), head, F.lit(">"), F.array_join(F.transform("parts", lambda p: p["part"]), ""), F.lit("</regmem>")).alias("xml"))
+
+
+#: Names of attributes in the older form.
+LEGACY = {"person_id": "personid", "name": "membername", "published": "date"}
+
+
+def from_legacy_xml(documents: DataFrame) -> DataFrame:
+    """legacy_xml() undone, from documents (xml)."""
+    attribute = lambda s, name: markup.unescape_basic(F.regexp_extract(s, rf'\s{name}="([^"]*)"', 1))
+    head = F.regexp_extract("xml", r"(?s)^\s*<regmem\b([^>]*)>", 1)
+    whole = documents.select(*(attribute(head, a).alias(c) for c, a in LEGACY.items()), F.explode(F.regexp_extract_all("xml", F.lit(r"(?s)(<category\b.*?</category>)"), F.lit(1))).alias("part"))
+    top = F.regexp_extract("part", r"^<category\b([^>]*)>", 1)
+    items = whole.select("person_id", "name", "published", attribute(top, "type").alias("category"), attribute(top, "name").alias("category_name"), F.posexplode(F.regexp_extract_all("part", F.lit(r'(?s)<item class="interest">(.*?)</item></record>'), F.lit(1))).alias("place", "content"))
+    return items.select("person_id", "name", "published", "category", "category_name", "place", "content")

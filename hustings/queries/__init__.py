@@ -43,7 +43,7 @@ def query(sql: str | None = None):
     return register
 
 
-for _module in ("temporal", "sequences", "relational", "texts", "records", "proceedings", "civic", "scans", "versions"):
+for _module in ("temporal", "sequences", "relational", "texts", "records", "proceedings", "civic", "scans", "versions", "trees"):
     import_module(f"hustings.queries.{_module}")
 
 

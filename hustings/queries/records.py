@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from hustings.plans import linking, phrases, resolution
 from hustings.queries import query
-from hustings.streaming import ingest
+from hustings.sources.shared import shared_folder
+from hustings.streaming import ingest, revisions, states
 
 
 def _cut(pieces: str, kind: str, pattern: str) -> str:
@@ -84,3 +85,41 @@ def stream_sessions(t):
 def stream_state(t):
     """A state for each user, kept by the stream from batch to batch."""
     return ingest.user_states(ingest.file_stream(t.spark, t.path("events")))
+
+
+RULES = states.Rules(
+    "unknown",
+    {("unknown", "view"): "requested", ("requested", "click"): "tried", ("tried", "click"): "tried", ("requested", "purchase"): "answered", ("tried", "purchase"): "answered", ("tried", "error"): "requested", ("answered", "signup"): "requested"},
+    {"tried": (43_200, "requested")},
+)
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, event_type, epoch_ms(ts) AS at, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS n FROM events),
+rules AS (SELECT * FROM (VALUES ('unknown', 'view', 'requested'), ('requested', 'click', 'tried'), ('tried', 'click', 'tried'), ('requested', 'purchase', 'answered'), ('tried', 'purchase', 'answered'), ('tried', 'error', 'requested'), ('answered', 'signup', 'requested')) AS r(was, event, now)),
+fold AS (SELECT user_id, CAST(0 AS BIGINT) AS n, 'unknown' AS state, CAST(0 AS BIGINT) AS since, CAST(NULL AS BIGINT) AS at, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS was, FALSE AS moved, FALSE AS timed FROM (SELECT DISTINCT user_id FROM events)
+  UNION ALL SELECT e.user_id, e.n, coalesce(r.now, s.state), CASE WHEN r.now IS NOT NULL THEN e.at ELSE s.since END, e.at, e.event_id, s.state, r.now IS NOT NULL, s.timed
+  FROM (SELECT user_id, n, e2.n AS next, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN 'requested' ELSE f.state END AS state, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN f.since + 43200000 ELSE f.since END AS since, f.state = 'tried' AND f.since + 43200000 <= e2.at AS timed
+    FROM fold f JOIN e e2 USING (user_id) WHERE e2.n = f.n + 1) s(user_id, n, next, state, since, timed) JOIN e ON e.user_id = s.user_id AND e.n = s.next LEFT JOIN rules r ON r.was = s.state AND r.event = e.event_type),
+last AS (SELECT user_id, arg_max(state, n) AS state, arg_max(since, n) AS since, count(*) FILTER (moved) + count(*) FILTER (timed) AS moves FROM fold GROUP BY user_id),
+ends AS (SELECT *, state = 'tried' AND since + 43200000 <= (SELECT epoch_ms(max(ts)) FROM events) AS over FROM last WHERE moves > 0)
+SELECT user_id, CASE WHEN over THEN 'requested' ELSE state END AS state, CASE WHEN over THEN since + 43200000 ELSE since END AS since_ms, moves + CASE WHEN over THEN 1 ELSE 0 END AS moves FROM ends""")
+def stream_machine(t):
+    """Where each user stands by rules with a timeout, after three runs of a stream that each find ten days more of events."""
+    events, folder, work = t("events"), shared_folder(t.spark), shared_folder(t.spark)
+    for low, high in (("2024-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "9999-01-01")):
+        day = F.to_date("ts")
+        events.filter((day < high) if low == "2024-01-01" else (day >= low) & (day < high)).write.mode("append").parquet(folder)
+        moves = ingest.drain(states.transitions(states.stream_of(t.spark, folder, events.schema), "user_id", "event_type", RULES), "append", work)
+    return states.current(moves, "user_id")
+
+
+@query("""SELECT doc_id, 1 + CAST(doc_id % 3 AS INTEGER) AS revision, md5(coalesce(text, '') || CASE WHEN doc_id % 3 = 0 THEN '' WHEN doc_id % 3 = 1 THEN '2' ELSE '3' END) AS digest FROM documents""")
+def stream_revisions(t):
+    """Documents in up to three revisions whose files come in the wrong order, and one that never gets its predecessor."""
+    docs, folder, work = t("documents"), shared_folder(t.spark), shared_folder(t.spark)
+    body = F.coalesce("text", F.lit(""))
+    for revision in (3, 5, 1, 2):
+        some = docs.filter(F.col("doc_id") % 3 >= min(revision, 3) - 1).select("doc_id", F.lit(revision).alias("revision"), (body if revision == 1 else F.concat(body, F.lit(str(revision)))).alias("text"))
+        some.write.mode("append").parquet(folder)
+        done = revisions.apply(states.stream_of(t.spark, folder, some.schema), "doc_id", work)
+    return revisions.current(done, "doc_id").select("doc_id", "revision", F.md5("text").alias("digest"))

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from hustings.queries import query
-from hustings.sources import files, pages, records
+from hustings.sources import documents, files, pages, records
 from hustings.sources.shared import shared_folder
 
 
@@ -100,14 +100,13 @@ def paged_rows(t):
     return every.join(t("part").select(F.col("p_partkey").alias("n")), "n", "left_semi")
 
 
-@query("SELECT 'debates' AS kind, '2024-01-' || lpad(CAST(n_nationkey % 5 + 10 AS VARCHAR), 2, '0') AS day, max(CASE WHEN n_nationkey // 5 = 0 THEN '' ELSE chr(96 + CAST(n_nationkey // 5 AS INTEGER)) END) AS revision FROM nation GROUP BY 1, 2")
+@query("SELECT 'debates' AS kind, CAST(o_orderdate AS VARCHAR)[1:10] AS day, max(CASE WHEN o_orderkey % 4 = 0 THEN '' ELSE chr(96 + CAST(o_orderkey % 4 AS INTEGER)) END) AS revision, arg_max(n, r) AS n FROM (SELECT *, o_orderkey % 4 AS r, count(*) OVER (PARTITION BY CAST(o_orderdate AS VARCHAR)[1:10], o_orderkey % 4) AS n FROM orders) GROUP BY 2")
 def latest_files(t):
-    """Of files named by day and revision the last of each day."""
-    path, k = f"{shared_folder(t.spark)}/days", F.col("n_nationkey")
-    name = F.concat(F.lit("debates2024-01-"), (k % 5 + 10).cast("string"), F.when(k < 5, "").otherwise(F.char((k / 5).cast("int") + 96)), F.lit(".xml"))
-    store = t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(t.spark.sparkContext._jsc.hadoopConfiguration())
-    for row in t("nation").select(name.alias("name")).collect():  # twenty-five
-        file = store.create(t.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{row['name']}"))
-        file.writeBytes("<day/>")
-        file.close()
-    return files.latest_revisions(files.dated_files(t.spark, path)).select("kind", F.col("day").cast("string"), "revision")
+    """Of files named by day and revision, written from all orders, the last of each day, and how many orders it holds."""
+    path, r = f"{shared_folder(t.spark)}/days", (F.col("o_orderkey") % 4).cast("int")
+    name = F.concat(F.lit("debates"), F.date_format("o_orderdate", "yyyy-MM-dd"), F.when(r == 0, "").otherwise(F.char(r + 96)))
+    rows = t("orders").select(name.alias("key"), F.col("o_orderkey").alias("seq"), F.lit("order").alias("element"), F.create_map(F.lit("id"), F.col("o_orderkey").cast("string")).alias("attrs"), F.lit(None).cast("string").alias("content"))
+    documents.write_documents(rows, path, root="day")
+    last = files.latest_revisions(files.dated_files(t.spark, path))
+    held = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.size(F.regexp_extract_all(F.decode("content", F.lit("UTF-8")), F.lit("<order "), F.lit(0))).cast("long").alias("n"))
+    return last.join(held, "path").select("kind", F.col("day").cast("string"), "revision", "n")

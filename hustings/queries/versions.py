@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from hustings.plans import versions
+from hustings.plans import questions, versions
 from hustings.queries import query
 
 
@@ -42,3 +42,23 @@ def rewritten_versions(t):
     found = versions.redirects(old, new, ["doc_id"])
     kept = versions.rewritten(old, found, new, ["doc_id"], F.concat(F.lit("version-"), "doc_id"))
     return kept.select("doc_id", F.md5("document").alias("digest"))
+
+
+@query("""WITH e AS (SELECT conv_id, turn, 'q' || turn || ' ' || coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS i FROM conversations WHERE role = 'user'),
+n AS (SELECT *, len(list_filter(regexp_split_to_array(text, '\\s+'), lambda w: w <> '')) AS words, lpad(CAST(turn AS VARCHAR), 6, '0') AS gid, conv_id % 6 AS fate FROM e)
+SELECT conv_id AS work, gid, CASE WHEN fate = 5 OR (fate = 3 AND words < 3) THEN 'removed' WHEN fate IN (0, 2) THEN 'perfectmatch' WHEN fate = 4 AND count(*) OVER (PARTITION BY conv_id) = 1 THEN 'perfectmatch' ELSE 'changes' END AS kind,
+CASE WHEN fate = 5 THEN 'index' WHEN fate = 4 OR (fate = 3 AND words < 3) THEN first_value('n' || gid) OVER (PARTITION BY conv_id ORDER BY turn) ELSE 'n' || gid END AS target,
+CASE WHEN fate = 5 OR (fate = 3 AND words < 3) THEN 'none' WHEN fate IN (2, 3) THEN 'likeness' ELSE 'number' END AS by FROM n""")
+def question_redirects(t):
+    """Questions of all conversations led to a second version, in which those of a conversation are the same, longer, without
+    their numbers, longer without numbers, one block, or gone."""
+    asked = t("conversations").filter("role = 'user'").select(F.col("conv_id").alias("work"), F.col("turn").alias("seq"), F.lpad(F.col("turn").cast("string"), 6, "0").alias("gid"), F.concat(F.lit("t"), "turn").alias("number"), F.concat_ws(" ", F.concat(F.lit("q"), "turn"), F.coalesce("text", F.lit(""))).alias("text"))
+    old = asked.select("work", "seq", "gid", F.array("number").alias("numbers"), "text")
+    fate = F.col("work") % 6
+    numbers = F.when(fate.isin(2, 3), F.array(F.lit(questions.NO_NUMBER))).otherwise(F.array("number"))
+    text = F.when(fate.isin(1, 3), F.concat("text", F.lit(" more"))).otherwise(F.col("text"))
+    new = asked.filter(fate < 4).select("work", "seq", F.concat(F.lit("n"), "gid").alias("gid"), numbers.alias("numbers"), text.alias("text"))
+    merged = asked.filter(fate == 4).groupBy("work").agg(F.sort_array(F.collect_list(F.struct("seq", "gid", "number", "text"))).alias("all"))
+    merged = merged.select("work", F.col("all")[0]["seq"].alias("seq"), F.concat(F.lit("n"), F.col("all")[0]["gid"]).alias("gid"), F.col("all.number").alias("numbers"), F.array_join("all.text", " ").alias("text"))
+    gone = asked.filter(fate == 5).select("work").distinct().select("work", F.lit(0).cast("long").alias("seq"), F.lit("index").alias("gid"), F.array(F.lit("x")).alias("numbers"), F.lit("Index").alias("text"))
+    return questions.redirects(old, new.unionByName(merged).unionByName(gone))

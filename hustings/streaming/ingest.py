@@ -71,22 +71,28 @@ def without_repeats(events: DataFrame, keys: list[str], late: str = "28 days") -
 
 
 def first_seen(stream: DataFrame, keys: list[str], row_id: str, folder: str | None = None) -> DataFrame:
-    """The least row_id of each key, merged batch by batch into a table that the next batch reads.
+    """The least row_id of each key; each batch writes only the keys that it brings or lowers.
 
-    Versions are folders by batch number, so a batch that comes again reads what came before it and writes the same. With
-    a folder the table outlives the run, as drain() has it.
+    What it writes is a folder by its number, so a batch that comes again reads what came before it and writes the same.
+    With a folder the table outlives the run, as drain() has it.
     """
     spark, folder = stream.sparkSession, folder or shared_folder(stream.sparkSession)
 
     def sink(batch: DataFrame, number: int) -> None:
-        new = batch.select(*keys, row_id)
+        new = batch.groupBy(*keys).agg(F.min(row_id).alias(row_id))
         before = [n for n in finished(spark, folder, "held-") if n < number]
-        held = spark.read.parquet(f"{folder}/held-{before[-1]}").unionByName(new) if before else new
-        held.groupBy(*keys).agg(F.min(row_id).alias(row_id)).write.mode("overwrite").parquet(f"{folder}/held-{number}")
+        if before:
+            same = [F.col(f"new.{k}").eqNullSafe(F.col(f"old.{k}")) for k in keys]
+            held = spark.read.parquet(*(f"{folder}/held-{n}" for n in before))
+            later = F.col(f"old.{row_id}") <= F.col(f"new.{row_id}")
+            new = new.alias("new").join(held.alias("old"), [*same, later], "left_anti")
+        new.write.mode("overwrite").parquet(f"{folder}/held-{number}")
 
     run(stream, sink, f"{folder}/checkpoint")
     done = finished(spark, folder, "held-")
-    return spark.read.parquet(f"{folder}/held-{done[-1]}") if done else spark.createDataFrame([], stream.select(*keys, row_id).schema)
+    if not done:
+        return spark.createDataFrame([], stream.select(*keys, row_id).schema)
+    return spark.read.parquet(*(f"{folder}/held-{n}" for n in done)).groupBy(*keys).agg(F.min(row_id).alias(row_id))
 
 
 def user_states(events: DataFrame, folder: str | None = None) -> DataFrame:

@@ -97,3 +97,22 @@ def test_carved_pieces_cover_the_post(spark):
 def test_positional_pairs(spark):
     a, b = spark.createDataFrame([("k", 1), ("k", 2)], "k string, x int"), spark.createDataFrame([("k", 5)], "k string, x int")
     assert tables.positional(a, b.withColumnRenamed("x", "y").withColumn("x", F.col("y")), ["k"], "x").count() == 2
+
+
+def test_overlaps_and_carving_equal_all_pairs(spark):
+    import random
+
+    rng = random.Random(12)
+    rows = [(rng.choice("abc"), n, *rng.choice([(s, s + rng.randrange(-2, 9)), (s, None), (None, s)])) for n in range(120) for s in [rng.randrange(200)]]
+    df = spark.createDataFrame([(k, n, s, e) for k, n, s, e in rows], "k string, n int, s int, e int").repartition(3)
+    got = sorted(tuple(r) for r in temporal.overlap_conflicts(df, ["k"], "s", "e", "n").collect())
+    full = [r for r in rows if r[2] is not None and r[3] is not None]
+    assert got == sorted((a[0], a[1], b[1]) for a in full for b in full if a[0] == b[0] and a[1] < b[1] and a[2] <= b[3] and b[2] <= a[3])
+
+    day = lambda n: datetime.date(2020, 1, 1) + datetime.timedelta(n)
+    posts = {(k, s, s + rng.randrange(40)) for k in "abc" for s in (rng.randrange(150) for _ in range(4))}
+    inner = [(rng.choice("abd"), s, s + rng.randrange(8)) for s in (rng.randrange(200) for _ in range(25))]
+    frame = lambda rs: spark.createDataFrame([(k, day(s), day(e)) for k, s, e in rs], "k string, start_date date, end_date date")
+    held = {(k, d) for k, s, e in inner for d in range(s, e + 1)}
+    covered = sorted((r["k"], d, r["inside"]) for r in temporal.carve(frame(sorted(posts)), frame(inner), "k").collect() for d in range((r["start_date"] - day(0)).days, (r["end_date"] - day(0)).days + 1))
+    assert covered == sorted((k, d, (k, d) in held) for k, s, e in posts for d in range(s, e + 1))
