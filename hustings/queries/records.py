@@ -98,7 +98,7 @@ RULES = states.Rules(
 rules AS (SELECT * FROM (VALUES ('unknown', 'view', 'requested'), ('requested', 'click', 'tried'), ('tried', 'click', 'tried'), ('requested', 'purchase', 'answered'), ('tried', 'purchase', 'answered'), ('tried', 'error', 'requested'), ('answered', 'signup', 'requested')) AS r(was, event, now)),
 fold AS (SELECT user_id, CAST(0 AS BIGINT) AS n, 'unknown' AS state, CAST(0 AS BIGINT) AS since, CAST(NULL AS BIGINT) AS at, CAST(NULL AS BIGINT) AS event_id, CAST(NULL AS VARCHAR) AS was, FALSE AS moved, FALSE AS timed FROM (SELECT DISTINCT user_id FROM events)
   UNION ALL SELECT e.user_id, e.n, coalesce(r.now, s.state), CASE WHEN r.now IS NOT NULL THEN e.at ELSE s.since END, e.at, e.event_id, s.state, r.now IS NOT NULL, s.timed
-  FROM (SELECT user_id, n, e2.n AS next, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN 'requested' ELSE f.state END AS state, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN f.since + 43200000 ELSE f.since END AS since, f.state = 'tried' AND f.since + 43200000 <= e2.at AS timed
+  FROM (SELECT user_id, f.n, e2.n AS next, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN 'requested' ELSE f.state END AS state, CASE WHEN f.state = 'tried' AND f.since + 43200000 <= e2.at THEN f.since + 43200000 ELSE f.since END AS since, f.state = 'tried' AND f.since + 43200000 <= e2.at AS timed
     FROM fold f JOIN e e2 USING (user_id) WHERE e2.n = f.n + 1) s(user_id, n, next, state, since, timed) JOIN e ON e.user_id = s.user_id AND e.n = s.next LEFT JOIN rules r ON r.was = s.state AND r.event = e.event_type),
 last AS (SELECT user_id, arg_max(state, n) AS state, arg_max(since, n) AS since, count(*) FILTER (moved) + count(*) FILTER (timed) AS moves FROM fold GROUP BY user_id),
 ends AS (SELECT *, state = 'tried' AND since + 43200000 <= (SELECT epoch_ms(max(ts)) FROM events) AS over FROM last WHERE moves > 0)

@@ -108,5 +108,5 @@ def latest_files(t):
     rows = t("orders").select(name.alias("key"), F.col("o_orderkey").alias("seq"), F.lit("order").alias("element"), F.create_map(F.lit("id"), F.col("o_orderkey").cast("string")).alias("attrs"), F.lit(None).cast("string").alias("content"))
     documents.write_documents(rows, path, root="day")
     last = files.latest_revisions(files.dated_files(t.spark, path))
-    held = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.size(F.regexp_extract_all(F.decode("content", F.lit("UTF-8")), F.lit("<order "), F.lit(0))).cast("long").alias("n"))
+    held = t.spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", F.size(F.regexp_extract_all(F.decode("content", "UTF-8"), F.lit("<order "), F.lit(0))).cast("long").alias("n"))
     return last.join(held, "path").select("kind", F.col("day").cast("string"), "revision", "n")

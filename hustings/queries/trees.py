@@ -127,7 +127,7 @@ def written_documents(t):
     path = f"{shared_folder(t.spark)}/documents"
     rows = t("orders").select(F.date_format("o_orderdate", "yyyy-MM-dd").alias("key"), F.col("o_orderkey").alias("seq"), F.lit("speech").alias("element"), F.create_map(F.lit("person"), F.col("o_custkey").cast("string"), F.lit("id"), F.col("o_orderkey").cast("string")).alias("attrs"), F.concat("o_orderstatus", F.lit(" &amp; "), "o_orderkey").alias("content"))
     documents.write_documents(rows, path, root="day")
-    read = t.spark.read.option("wholetext", True).text(f"{path}/part-*").select("value", F.input_file_name().alias("file"))
+    read = t.spark.read.text(f"{path}/part-*", wholetext=True).select("value", F.input_file_name().alias("file"))
     return read.select(F.regexp_extract("file", r"([^/]+)\.xml$", 1).alias("key"), F.col("value").alias("document"))
 
 
