@@ -44,9 +44,9 @@ class Machine(StatefulProcessor):
 
     def _rows(self, key, steps: list[tuple]) -> Iterator[pd.DataFrame]:
         if steps:
-            out = pd.DataFrame(steps, columns=["at_ms", "event_id", "was", "now"])
+            out = pd.DataFrame(steps, columns=["at_ms", "at_us", "event_id", "was", "now"])
             out.insert(0, self.key, key[0])
-            out["event_id"] = out["event_id"].astype("Int64")
+            out[["at_us", "event_id"]] = out[["at_us", "event_id"]].astype("Int64")
             yield out
 
     def _hold(self, state: str, since: int) -> None:
@@ -60,12 +60,12 @@ class Machine(StatefulProcessor):
         state, since = self.held.get() if self.held.exists() else (self.rules.start, 0)
         steps, begun = [], (state, since)
         # The events of one key in one batch; a batch has as many files as the stream takes at a time.
-        for at, number, event in pd.concat(rows).sort_values(["at_ms", "event_id"])[["at_ms", "event_id", "event"]].itertuples(index=False):
+        for at, exact, number, event in pd.concat(rows).sort_values(["at_us", "event_id"])[["at_ms", "at_us", "event_id", "event"]].itertuples(index=False):
             for end, was, after in list(self.rules.expired(state, since, int(at))):
-                steps.append((end, None, was, after))
+                steps.append((end, None, None, was, after))
                 state, since = after, end
             if (after := self.rules.transitions.get((state, event))) is not None:
-                steps.append((int(at), number, state, after))
+                steps.append((int(at), int(exact), number, state, after))
                 state, since = after, int(at)
         if (state, since) != begun:
             self._hold(state, since)
@@ -75,7 +75,7 @@ class Machine(StatefulProcessor):
         state, since = self.held.get()
         steps = []
         for end, was, after in list(self.rules.expired(state, since, expiredTimerInfo.getExpiryTimeInMs())):
-            steps.append((end, None, was, after))
+            steps.append((end, None, None, was, after))
             state, since = after, end
         if steps:
             self._hold(state, since)
@@ -86,23 +86,24 @@ class Machine(StatefulProcessor):
 
 
 def transitions(events: DataFrame, key: str, event: str, rules: Rules, late: str = "0 seconds") -> DataFrame:
-    """(key, at_ms, event_id, was, now): the transitions of a stream of events (key, event, ts, event_id).
+    """(key, at_ms, at_us, event_id, was, now): the transitions of a stream of events (key, event, ts, event_id).
 
-    Timeouts come as rows without event_id, at the latest once the stream's watermark, `late` behind the newest event, has
+    at_ms is the event's time rounded to milliseconds, in which timeouts are counted; at_us, the time itself in microseconds,
+    puts events in order. Timeouts come as rows without at_us and event_id, at the latest once the stream's watermark, `late` behind the newest event, has
     passed them. Events without key, time or name are left out. Rows of one batch are put in order; between batches they
     count in the order that they come in.
     """
     spark = events.sparkSession
     spark.conf.set(PROVIDER, ROCKSDB)
     timed = events.filter(F.col(key).isNotNull() & F.col("ts").isNotNull() & F.col(event).isNotNull()).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
-    rows = timed.select(key, "ts", F.unix_millis("ts").alias("at_ms"), F.col(event).alias("event"), F.col("event_id").cast("long").alias("event_id"))
-    schema = T.StructType([T.StructField(key, events.schema[key].dataType), T.StructField("at_ms", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("was", T.StringType()), T.StructField("now", T.StringType())])
+    rows = timed.select(key, "ts", F.round(F.unix_micros("ts") / 1000).cast("long").alias("at_ms"), F.unix_micros("ts").alias("at_us"), F.col(event).alias("event"), F.col("event_id").cast("long").alias("event_id"))
+    schema = T.StructType([T.StructField(key, events.schema[key].dataType), T.StructField("at_ms", T.LongType()), T.StructField("at_us", T.LongType()), T.StructField("event_id", T.LongType()), T.StructField("was", T.StringType()), T.StructField("now", T.StringType())])
     return rows.groupBy(key).transformWithStateInPandas(Machine(rules, key), schema, "Append", "EventTime")
 
 
 def current(moves: DataFrame, key: str) -> DataFrame:
     """(key, state, since_ms, moves): where each key stands after its transitions."""
-    last = F.struct("at_ms", F.col("event_id").isNotNull(), "event_id")
+    last = F.struct("at_ms", F.col("event_id").isNotNull(), "at_us", "event_id")
     return moves.groupBy(key).agg(F.max_by("now", last).alias("state"), F.max("at_ms").alias("since_ms"), F.count("*").alias("moves"))
 
 

@@ -34,6 +34,19 @@ def test_transitions_equal_a_fold_over_restarts(spark, tmp_path):
     assert now == {i: max(g, key=lambda s: (s[0], s[1] is not None, s[1] or 0))[3] for i, g in got.items()}
 
 
+def test_times_are_rounded_and_events_of_one_millisecond_stay_in_order(spark, tmp_path):
+    # Microseconds; in the second run the later event has the smaller id.
+    runs = [[(1, 1_700_000_000_000_500, "found", 1)], [(1, 1_700_000_001_000_700, "failed", 9), (1, 1_700_000_001_000_900, "fetched", 8)]]
+    source, work = f"file://{tmp_path}/in", f"file://{tmp_path}/work"
+    for part in runs:
+        df = spark.createDataFrame(part, "item long, us long, event string, event_id long").select("item", F.timestamp_micros("us").alias("ts"), "event", "event_id")
+        df.write.mode("append").parquet(source)
+        moves = ingest.drain(states.transitions(states.stream_of(spark, source, df.schema), "item", "event", RULES), "append", work)
+    got = sorted((r["at_ms"], r["at_us"], r["event_id"], r["was"], r["now"]) for r in moves.collect())
+    assert got == [(1_700_000_000_001, runs[0][0][1], 1, "new", "wanted"), (1_700_000_001_001, runs[1][0][1], 9, "wanted", "waiting"), (1_700_000_001_001, runs[1][1][1], 8, "waiting", "done")]
+    assert [tuple(r) for r in states.current(moves, "item").collect()] == [(1, "done", 1_700_000_001_001, 3)]
+
+
 def test_revisions_in_any_order_give_the_same_table(spark, tmp_path):
     rng = random.Random(3)
     rows = [(f"d{d}", n, rng.choice(["a", "b", "a longer text", "", None])) for d in range(9) for n in range(1, rng.randrange(2, 7)) if not (d == 4 and n == 2)]
