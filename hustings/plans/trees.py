@@ -7,7 +7,7 @@ inside what is a comparison of numbers: a running maximum over the document, no
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from html import unescape
 
 import pandas as pd
@@ -25,6 +25,8 @@ SCOPES = {"li": {"ul", "ol"}, "dt": {"dl"}, "dd": {"dl"}, "option": {"select"}}
 LIMITS = frozenset("table td th caption button object".split())
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|</([a-zA-Z][^\s/>]*)[^>]*>|<([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"']+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+#: Character references that end with a semicolon; browsers read some without one too.
+CLOSED = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);")
 NODE = "pre int, last int, post int, parent int, level int, place int, tag string, attrs map<string, string>, start int, end int"
 
 
@@ -70,8 +72,13 @@ class Builder:
             self.close(len(self.open) - 1)
 
 
-def built(html: str) -> tuple[str, list[list]]:
-    """The text of a document and its nodes, as NODE has them."""
+def only_closed(raw: str) -> str:
+    """A text with the character references that end with a semicolon as characters; others stay as they stand."""
+    return CLOSED.sub(lambda m: unescape(m[0]), raw)
+
+
+def built(html: str, unescape: Callable[[str], str] = unescape) -> tuple[str, list[list]]:
+    """The text of a document and its nodes, as NODE has them; unescape turns character references into characters."""
     tree, at = Builder(), 0
     while at < len(html):
         token = TOKEN.search(html, at)
@@ -97,19 +104,21 @@ def built(html: str) -> tuple[str, list[list]]:
     return "".join(tree.parts), tree.nodes
 
 
-def parsed(pages: DataFrame, key: str, html: str) -> DataFrame:
+def parsed(pages: DataFrame, key: str, html: str, closed: bool = False) -> DataFrame:
     """(key, pre, last, post, parent, level, place, tag, attrs, start, end, text): the nodes of every page.
 
     pre numbers a page's nodes as they open, post as they close; nodes from pre + 1 to last are inside. place counts the
     elements before it with the same parent. Node 0 is the document; it alone has text, that of the whole page, of which a
     node has the characters from start to end. Unclosed and stray tags are mended as browsers do it for paragraphs, lists
-    and tables. A missing page is a document without text; names of tags and attributes are in lower case.
+    and tables. A missing page is a document without text; names of tags and attributes are in lower case. Character
+    references are read as browsers do it, or with closed only where they end with a semicolon.
     """
+    reader = only_closed if closed else unescape
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for name, page in zip(batch["key"], batch["html"], strict=True):
-                whole, nodes = built(page or "")
+                whole, nodes = built(page or "", reader)
                 out = pd.DataFrame(nodes, columns=NAMES)
                 out["parent"] = out["parent"].astype("Int32")
                 yield out.assign(key=name, text=[whole, *[None] * (len(nodes) - 1)])

@@ -126,6 +126,14 @@ def test_trees_and_selectors_equal_a_plain_parser(spark):
             assert counts.get(i, 0) == len(brute(plain(page), [(axis, f) for axis, (_, f) in steps])), (steps, page)
 
 
+def test_references_without_semicolon_stay_where_asked(spark):
+    page = "<title>a &amp; b&amp</title><p class='&lt;&gt'>&#65;&#65 &eacute;&eacute"
+    pages = spark.createDataFrame([(1, page)], "id long, html string")
+    whole = lambda closed: [(r["text"], r["attrs"].get("class")) for r in trees.parsed(pages, "id", "html", closed).orderBy("pre").collect() if r["text"] or r["attrs"]]
+    assert whole(True) == [("a & b&ampA&#65 \u00e9&eacute", None), (None, "<&gt")]
+    assert whole(False) == [("a & b&AA \u00e9\u00e9", None), (None, "<>")]
+
+
 def test_archived_debates(spark):
     page = """<h2>COAL</h2><p class="procedural" id="S1"><a class="permalink" href="/x#S1">\u00a7</a>House met<p>at two<p class="procedural">Prayers
     <div class="hentry member_contribution"><a name="c2"></a><cite class="member"><a href="/historic/people/mr-bee/">Mr Bee</a></cite><blockquote><p>I beg to move</p><p>this.</p></blockquote><a class="speech-permalink" href="/x#c2">link</a></div>
