@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Iterator
+from json.decoder import scanstring
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hustings.functions import markup
 from hustings.operators import tables
+from hustings.sources.shared import bounded_batches
 
 
 def details(entries: DataFrame, keys: list[str], fields: list[str]) -> DataFrame:
@@ -93,63 +100,220 @@ def positions(members: DataFrame) -> DataFrame:
 SLOTS = ("details", "sub_entries", "value", "items")
 
 
-def levels(nodes: DataFrame, key: str) -> DataFrame:
-    """nodes (key, id, parent, ...) with level: 0 for those without a parent or whose parent is not there, one more than
-    the parent's otherwise. Rounds are as many as levels; nodes that hold each other in a ring are an error."""
-    if not nodes.groupBy(key, "id").count().filter("count > 1").isEmpty():
+#: Characters and rows of documents that a task hands on at a time.
+HANDED_ON = (1 << 23, 50_000)
+
+
+def gathered(nodes: DataFrame, key: str) -> DataFrame:
+    """(key, nodes): the nodes (key, id, parent, slot, place, body) of each key in one array."""
+    return nodes.groupBy(key).agg(F.collect_list(F.struct("id", "parent", "slot", "place", "body")).alias("nodes"))
+
+
+def _family(ids: list, parents: list, known: bool) -> tuple[list[int | None], list[int]]:
+    """The place of each node's parent among them, None for roots, and the nodes so that parents stand before theirs."""
+    at = {x: n for n, x in enumerate(ids) if x is not None} if known else {}
+    above = [at.get(p) if p is not None else None for p in parents]
+    kids: dict[int, list[int]] = {}
+    for n, up in enumerate(above):
+        if up is not None:
+            kids.setdefault(up, []).append(n)
+    order = [n for n, up in enumerate(above) if up is None]
+    for n in order:
+        order += kids.get(n, ())
+    return above, order
+
+
+def _written(above: list[int | None], order: list[int], slots: list, places: list, own: list) -> list[tuple[int, str | None]]:
+    """(place, document) of each root; own is what each node has for itself, as JSON."""
+    held: list[dict[str, list]] = [{} for _ in own]
+    roots = []
+    for n in reversed(order):
+        made = own[n]
+        if made is not None and held[n]:
+            lists = sorted(f'"{slot}":[{",".join(d for _, _, there, d in sorted(docs) if there)}]' for slot, docs in held[n].items())
+            made = f"{made[:-1]}{'' if made == '{}' else ','}{','.join(lists)}}}"
+        held[n] = {}
+        if above[n] is None:
+            roots.append((n, made))
+        elif slots[n] is not None:
+            held[above[n]].setdefault(slots[n], []).append((places[n] is not None, places[n] if places[n] is not None else 0, made is not None, made or ""))
+    return roots[::-1]
+
+
+def _groups(batches: Iterator[pa.RecordBatch], fields: tuple[str, ...]) -> Iterator[tuple]:
+    """(batch, row, fields' values of its nodes) for each row of batches with an array of nodes."""
+    for batch in batches:
+        array = batch.column("nodes")
+        ends, flat = array.offsets.to_pylist(), array.values
+        columns = [flat.field(f).to_pylist() for f in fields]
+        for row, (start, end) in enumerate(zip(ends, ends[1:], strict=False)):
+            yield batch, row, [c[start:end] for c in columns]
+
+
+def documents_of(families: DataFrame, key: str) -> DataFrame:
+    """(key, id, document, ...): each root of the nodes of families (key, nodes, ...), as gathered() has them, as JSON, at any
+    depth, with what other columns families has.
+
+    body is a node's own fields, a map of strings; slot names the array of the parent that it stands in, at its place. A
+    node whose parent is not there is a root. A key's nodes lie in one row, as its documents do in one cell each, so depth
+    costs no round and no shuffle. Nodes that share an id or hold each other in a ring are an error.
+    """
+    others = [c for c in families.columns if c not in (key, "nodes")]
+
+    def faults(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = rings = 0
+        keys: tuple[pa.RecordBatch | None, list] = (None, [])
+        for batch, row, (ids, parents) in _groups(batches, ("id", "parent")):
+            if keys[0] is not batch:
+                keys = (batch, batch.column("key").to_pylist())
+            shared += len(set(ids)) < len(ids)
+            rings += len(_family(ids, parents, keys[1][row] is not None)[1]) < len(ids)
+        yield pa.RecordBatch.from_pydict({"shared": pa.array([shared], pa.int64()), "rings": pa.array([rings], pa.int64())})
+
+    ids = families.select(F.col(key).alias("key"), F.transform("nodes", lambda n: F.struct(n["id"].alias("id"), n["parent"].alias("parent"))).alias("nodes"))
+    found = ids.mapInArrow(faults, "shared long, rings long").agg(F.sum("shared"), F.sum("rings")).first()
+    if found[0]:
         raise ValueError("nodes share an id")
-    known = nodes.select(key, F.col("id").alias("parent")).distinct().withColumn("_known", F.lit(True))
-    rest = nodes.join(known, [key, "parent"], "left").checkpoint()
-    done = found = rest.filter("_known is null").drop("_known").withColumn("level", F.lit(0)).checkpoint()
-    rest, level = rest.filter("_known"), 0
-    while not found.isEmpty():
-        level += 1
-        above = found.select(key, F.col("id").alias("parent")).distinct()
-        found = rest.join(above, [key, "parent"]).drop("_known").withColumn("level", F.lit(level)).checkpoint()
-        done = done.unionByName(found)
-    if done.count() != nodes.count():
+    if found[1]:
         raise ValueError("nodes hold each other in a ring")
-    return done.select(*nodes.columns, "level")
 
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys = batch.column(key).to_pylist()
+            rows, documents, at, size = [], [], [], 0
+            starts = batch.column("nodes").offsets.to_pylist()
+
+            def out() -> pa.RecordBatch:
+                kept = [batch.column(c).take(pa.array(rows, pa.int64())) for c in (key, *others)]  # noqa: B023
+                id_ = batch.column("nodes").values.field("id").take(pa.array(at, pa.int64()))  # noqa: B023
+                return pa.RecordBatch.from_arrays([kept[0], id_, pa.array(documents, pa.string()), *kept[1:]], [key, "id", "document", *others])  # noqa: B023
+
+            for _, row, (own_ids, parents, slots, places, own) in _groups(iter([batch]), ("id", "parent", "slot", "place", "own")):
+                for n, document in _written(*_family(own_ids, parents, keys[row] is not None), slots, places, own):
+                    rows.append(row)
+                    at.append(starts[row] + n)
+                    documents.append(document)
+                    size += len(document or "")
+                if size > HANDED_ON[0]:
+                    yield out()
+                    rows, documents, at, size = [], [], [], 0
+            yield out()
+
+    bounded_batches(families.sparkSession)
+    node = families.schema["nodes"].dataType.elementType
+    schema = T.StructType([families.schema[key], T.StructField("id", node["id"].dataType), T.StructField("document", T.StringType()), *(families.schema[c] for c in others)])
+    own = F.transform("nodes", lambda n: F.struct(n["id"].alias("id"), n["parent"].alias("parent"), n["slot"].alias("slot"), n["place"].alias("place"), F.to_json(n["body"]).alias("own")))
+    return families.select(key, own.alias("nodes"), *others).mapInArrow(make, schema)
 
-def nested_documents(nodes: DataFrame, key: str) -> DataFrame:
-    """(key, id, document): each root of nodes (key, id, parent, slot, place, body) as JSON, at any depth.
 
-    body is a node's own fields, a map of strings; slot names the array of the parent that it stands in, at its place. The
-    deepest level is turned into text first and handed to its parents, level by level, so work is a join for each level.
-    """
-    placed = levels(nodes, key).checkpoint()
-    deepest = placed.agg(F.max("level")).first()[0]
-    ready = None
-    for level in range(deepest or 0, -1, -1):
-        own = placed.filter(F.col("level") == level)
-        start = F.to_json("body")
-        start = F.left(start, F.length(start) - 1)
-        if ready is None:
-            made = own.withColumn("_slots", F.lit(""))
-        else:
-            lists = ready.groupBy(key, F.col("parent").alias("id"), "slot").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("place", "document"))), lambda x: x["document"]), ",").alias("all"))
-            slots = lists.groupBy(key, "id").agg(F.sort_array(F.collect_list(F.concat(F.lit('"'), "slot", F.lit('":['), "all", F.lit("]")))).alias("parts"))
-            made = own.join(slots, [key, "id"], "left").withColumn("_slots", F.coalesce(F.array_join("parts", ","), F.lit(""))).drop("parts")
-        gap = F.when((F.col("_slots") == "") | (start == "{"), "").otherwise(",")
-        ready = made.select(key, "id", "parent", "slot", "place", F.concat(start, gap, "_slots", F.lit("}")).alias("document")).checkpoint()
-    return ready.select(key, "id", "document") if ready is not None else nodes.select(key, "id", F.lit("").alias("document")).limit(0)
+def nested_documents(nodes: DataFrame, key: str) -> DataFrame:
+    """(key, id, document): each root of nodes (key, id, parent, slot, place, body) as JSON, as documents_of() has it."""
+    return documents_of(gathered(nodes, key), key)
+
+
+def _taken_apart(text: str | None, slots: frozenset[str]) -> list[tuple]:
+    """(path, above, slot, place, level, own) of each node of a document, in order; own is the JSON of its own fields, None
+    for what is no object. A text that is no JSON is one such node."""
+    found: list[list] = [["0", None, None, 0, 0, None]]
+    # Open objects: their number, the texts of their own fields, and the array that is being read with its next place.
+    stack: list[list] = []
+
+    def skip(i: int) -> int:
+        while text[i] in " \t\n\r":
+            i += 1
+        return i
+
+    try:
+        i = skip(0)
+        if text[i] != "{":
+            return [tuple(found[0])]
+        stack.append([0, [], None, 0])
+        i = skip(i + 1)
+        while stack:
+            top = stack[-1]
+            number, own, slot, place = top
+            if slot is None and text[i] == "}":
+                found[number][5] = "{" + ",".join(own) + "}"
+                stack.pop()
+                if not stack:
+                    break
+                i = skip(i + 1)
+                if text[i] not in ",]":
+                    raise ValueError
+                i = skip(i + 1) if text[i] == "," else i
+            elif slot is None:
+                if text[i] != '"':
+                    raise ValueError
+                name, j = scanstring(text, i + 1, False)
+                j = skip(j)
+                if text[j] != ":":
+                    raise ValueError
+                j = skip(j + 1)
+                if name in slots and text[j] == "[":
+                    top[2], top[3], i = name, 0, skip(j + 1)
+                    continue
+                end = SCAN(text, j)[1]
+                own.append(text[i:end])
+                i = skip(end)
+                if text[i] not in ",}":
+                    raise ValueError
+                i = skip(i + 1) if text[i] == "," else i
+            elif text[i] == "]":
+                top[2] = None
+                i = skip(i + 1)
+                if text[i] not in ",}":
+                    raise ValueError
+                i = skip(i + 1) if text[i] == "," else i
+            else:
+                above = found[number]
+                found.append([f"{above[0]}.{slot}:{place}", above[0], slot, place, above[4] + 1, None])
+                top[3] += 1
+                if text[i] == "{":
+                    stack.append([len(found) - 1, [], None, 0])
+                    i = skip(i + 1)
+                else:
+                    i = skip(SCAN(text, i)[1])
+                    if text[i] not in ",]":
+                        raise ValueError
+                    i = skip(i + 1) if text[i] == "," else i
+    except (ValueError, IndexError, StopIteration, TypeError):
+        return [("0", None, None, 0, 0, None)]
+    return [tuple(f) for f in found]
+
+
+SCAN = json.JSONDecoder(strict=False).scan_once
 
 
 def flat_documents(documents: DataFrame, key: str, document: str = "document", slots: tuple[str, ...] = SLOTS) -> DataFrame:
     """nested_documents() undone: (key, path, above, slot, place, level, body): a node of each document (JSON) a row, body
-    being its own fields. path tells nodes of a document apart: places from the root down; above is the parent's."""
-    found, done, level = documents.select(key, F.lit("0").alias("path"), F.lit(None).cast("string").alias("above"), F.lit(None).cast("string").alias("slot"), F.lit(0).alias("place"), F.col(document).alias("json")), None, 0
-    while True:
-        parsed = found.withColumn("all", F.from_json("json", "map<string, string>")).withColumn("level", F.lit(level)).drop("json").checkpoint()
-        if parsed.isEmpty():
-            return done if done is not None else parsed.withColumnRenamed("all", "body").select(key, "path", "above", "slot", "place", "level", "body")
-        holds = lambda k, v: k.isin(*slots) & v.startswith("[")
-        own = parsed.select(key, "path", "above", "slot", "place", "level", F.map_filter("all", lambda k, v: ~F.coalesce(holds(k, v), F.lit(False))).alias("body"))
-        done = own if done is None else done.unionByName(own)
-        kids = parsed.select(key, F.col("path").alias("above"), F.explode(F.map_filter("all", holds)).alias("slot", "list"))
-        each = kids.select(key, "above", "slot", F.posexplode(F.from_json("list", "array<string>")).alias("place", "json"))
-        found, level = each.withColumn("path", F.concat_ws(".", "above", F.concat("slot", F.lit(":"), "place"))).select(key, "path", "above", "slot", "place", "json"), level + 1
+    being its own fields. path tells nodes of a document apart: places from the root down; above is the parent's.
+
+    A document is taken apart where it lies, in one pass whatever its depth; nothing is shuffled or written.
+    """
+    names, kinds = ("path", "above", "slot", "place", "level", "own"), (pa.string(), pa.string(), pa.string(), pa.int32(), pa.int32(), pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = frozenset(slots)
+        for batch in batches:
+            rows: list[int] = []
+            out: list[tuple] = []
+            size = 0
+            made = lambda: pa.RecordBatch.from_arrays([batch.column("key").take(pa.array(rows, pa.int64())), *(pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True))], ["key", *names])  # noqa: B023, E731
+            for row, text in enumerate(batch.column("json").to_pylist()):
+                nodes = _taken_apart(text, wanted)
+                out += nodes
+                rows += [row] * len(nodes)
+                size += len(text or "")
+                if size > HANDED_ON[0] or len(out) > HANDED_ON[1]:
+                    yield made()
+                    rows, out, size = [], [], 0
+            if out:
+                yield made()
+
+    bounded_batches(documents.sparkSession)
+    schema = T.StructType([T.StructField("key", documents.schema[key].dataType), *T._parse_datatype_string("path string, above string, slot string, place int, level int, own string")])
+    found = documents.select(F.col(key).alias("key"), F.col(document).alias("json")).mapInArrow(run, schema)
+    return found.select(F.col("key").alias(key), *names[:5], F.from_json("own", "map<string, string>").alias("body"))
 
 
 def legacy_xml(entries: DataFrame) -> DataFrame:

@@ -42,3 +42,15 @@ def with_checkpoints(spark: SparkSession) -> None:
     """Sees to it that DataFrame.checkpoint() has a folder; a cluster's own setting stays."""
     if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
         spark.sparkContext.setCheckpointDir(shared_folder(spark))
+
+
+#: Bytes of an Arrow batch that operators on whole texts send to Python at most.
+BATCH_BYTES = 8 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Lowers the size of the session's Arrow batches to BATCH_BYTES where it allows more."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    held = int(str(spark.conf.get(name)).rstrip("b"))
+    if held > BATCH_BYTES or held <= 0:
+        spark.conf.set(name, str(BATCH_BYTES))

@@ -110,6 +110,26 @@ def test_registers_of_any_depth(spark):
         registers.nested_documents(ring, "doc")
 
 
+def test_registers_are_taken_apart_where_they_lie(spark):
+    documents_ = [("a", '{"value": "[not a list]", "n": 1.50, "o": {"details": [1]}, "details": [ {"x": null} , 7, {"items":[{}]}]} '), ("b", "no JSON"), ("c", None)]
+    flat = registers.flat_documents(spark.createDataFrame(documents_, "doc string, document string"), "doc")
+    assert "Exchange" not in flat._jdf.queryExecution().executedPlan().toString()
+    got = {(r["doc"], r["path"]): (r["above"], r["slot"], r["place"], r["level"], r["body"]) for r in flat.collect()}
+    assert got == {
+        ("a", "0"): (None, None, 0, 0, {"value": "[not a list]", "n": "1.5", "o": '{"details":[1]}'}), ("a", "0.details:0"): ("0", "details", 0, 1, {"x": None}), ("a", "0.details:1"): ("0", "details", 1, 1, None),
+        ("a", "0.details:2"): ("0", "details", 2, 1, {}), ("a", "0.details:2.items:0"): ("0.details:2", "items", 0, 2, {}), ("b", "0"): (None, None, 0, 0, None), ("c", "0"): (None, None, 0, 0, None),
+    }
+
+
+def test_documents_of_families_keep_their_columns(spark):
+    nodes = spark.createDataFrame([("d", "a", None, None, 0, {"n": "1"}), ("d", "b", "gone", "items", 0, {}), ("d", "c", "a", "items", 1, None), ("d", "e", "a", "items", 0, {"m": "2"}), (None, "a", "a", "items", 0, {})], NODES)
+    made = registers.documents_of(registers.gathered(nodes, "doc").withColumn("many", F.size("nodes")), "doc")
+    assert "Exchange hashpartitioning(doc" in made._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, made.collect()), key=str) == [("d", "a", '{"n":"1","items":[{"m":"2"}]}', 4), ("d", "b", "{}", 4), (None, "a", "{}", 1)]
+    with pytest.raises(ValueError, match="share"):
+        registers.nested_documents(nodes.union(nodes), "doc")
+
+
 def rows_of(spark):
     rows = [("2024-01-01", 2, "speech", {"id": "b", "a": "x\"<&"}, "two <i>x</i>"), ("2024-01-01", 1, "speech", {"id": "a", "none": None}, None), ("a/b é", 1, "p", None, "x"), (None, 1, "p", None, "lost")]
     return spark.createDataFrame(rows, documents.COLUMNS)
