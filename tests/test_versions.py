@@ -110,3 +110,11 @@ def test_old_versions_are_rewritten(spark):
         '<document scrapeversion="a.xml" latest="no">\n<gidredirect oldgid="w.0" newgid="w.0" matchtype="perfectmatch"/>\n<gidredirect oldgid="w.1" newgid="w.1" matchtype="changes"/>\n'
         '<p id="w.1">four five &amp; six</p>\n<gidredirect oldgid="w.2" newgid="w.1" matchtype="missing"/>\n<p id="w.2">gone away</p>\n</document>\n'
     )
+
+
+def test_versions_meet_in_one_shuffle(spark):
+    old, new = frames(spark, {"w": ([("P", "one two three"), ("P", "four")], [("P", "four"), ("P", "one two and three")])})
+    found = versions.redirects(old, new, ["work"])
+    # The frames themselves are dealt out by one exchange each.
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning(work") == 1
+    assert sorted(tuple(r) for r in found.collect()) == [("w", 0, "missing", None), ("w", 1, "perfectmatch", 0)]
