@@ -66,9 +66,32 @@ def by_identifier(probes: DataFrame, identifiers: DataFrame, terms: DataFrame, p
 
 
 def office_holders(probes: DataFrame, offices: DataFrame, probe_id: str) -> DataFrame:
-    """People by an office on a day. Offices end before their end date, and one without an end is not known on a day."""
-    found = probes.join(offices, key(probes.office) == key(offices.title)).filter(F.col("day").isNull() | ((F.col("day") >= F.col("start_date")) & (F.col("day") < F.col("end_date"))))
-    return tables.match_status(probes, found.select(probe_id, "person"), probe_id, "person")
+    """People by an office on a day: (probe_id, n_candidates, status, match), a row for each of probes (probe_id, office, day).
+    Offices end before their end date, and one without an end is not known on a day; a missing day matches any term.
+
+    No probe meets a term: a sweep over each office's days tells how many people hold it from a day on, and a hash summed
+    over them names the one where there is one only. Probes then meet that table by office and day.
+    """
+    held = offices.select(key(F.col("title")).alias("_office"), F.col("person").alias("_person"), F.col("start_date").cast("date").alias("_from"), F.col("end_date").cast("date").alias("_to")).filter("_office is not null and _person is not null").withColumn("_sign", F.xxhash64("_person").cast("decimal(20,0)"))
+    # A person's terms in one office that overlap or touch are one.
+    spans = temporal.contiguous(held.filter("_from < _to").withColumn("_to", F.date_sub("_to", 1)), ["_office", "_person", "_sign"], "_from", "_to")
+    mark = lambda day, n: F.struct(day.alias("_day"), F.lit(n).alias("_n"), (F.col("_sign") * n).alias("_who"))
+    marks = spans.select("_office", F.inline(F.array(mark(F.col("_from"), 1), mark(F.date_add("_to", 1), -1))))
+    daily = marks.groupBy("_office", "_day").agg(F.sum("_n").alias("_n"), F.sum("_who").alias("_who"))
+    asked = probes.select(probe_id, key(F.col("office")).alias("_office"), F.col("day").cast("date").alias("_day"))
+    days = asked.filter("_office is not null and _day is not null").select("_office", "_day").distinct()
+    # Marks of a day count on it, so they come before the probes of the day.
+    sides = daily.withColumn("_asked", F.lit(0)).unionByName(days.withColumn("_asked", F.lit(1)), allowMissingColumns=True)
+    so_far = Window.partitionBy("_office").orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, 0)
+    then = sides.select("_office", "_day", "_asked", F.sum("_n").over(so_far).alias("_n"), F.sum("_who").over(so_far).alias("_who")).filter("_asked = 1 and _n > 0").drop("_asked")
+    people = held.groupBy("_office", "_sign").agg(F.min("_person").alias("_person"))
+    named = then.join(people.withColumnRenamed("_sign", "_who"), ["_office", "_who"], "left").select("_office", "_day", "_n", F.when(F.col("_n") == 1, F.col("_person")).alias("_person"))
+    ever = held.groupBy("_office").agg(F.count_distinct("_person").alias("_n"), F.min("_person").alias("_person")).select("_office", F.lit(None).cast("date").alias("_day"), "_n", F.when(F.col("_n") == 1, F.col("_person")).alias("_person"))
+    told = named.unionByName(ever)
+    on = (asked["_office"] == told["_office"]) & asked["_day"].eqNullSafe(told["_day"])
+    joined = asked.join(told, on, "left").select(probe_id, F.coalesce("_n", F.lit(0)).cast("long").alias("n_candidates"), "_person")
+    status = F.when(F.col("n_candidates") == 0, "none").when(F.col("n_candidates") == 1, "match").otherwise("multiple")
+    return joined.select(probe_id, "n_candidates", status.alias("status"), F.col("_person").alias("match"))
 
 
 def by_history(speeches: DataFrame, found: DataFrame, order: str = "seq") -> DataFrame:

@@ -1,6 +1,7 @@
 """Resolution, transcripts, registers, alignment and links on hand-made records."""
 
 import datetime
+import random
 
 from pyspark.sql import functions as F
 
@@ -31,6 +32,22 @@ def test_names_offices_and_identifiers(spark):
     assert {r.id: r.match for r in resolution.by_identifier(asked, ids, terms, "id").collect()} == {1: "p1", 2: None}
 
 
+def test_office_holders_are_counted_without_pairs(spark):
+    rng = random.Random(4)
+    day = lambda n: None if n is None else datetime.date(2000, 1, 1) + datetime.timedelta(days=n)
+    held = []
+    for _ in range(120):
+        start = rng.choice([None, *range(60)])
+        held.append((rng.choice(["The Clerk", "the clerk ", "Whip", None]), rng.choice(["p1", "p2", "p3", None]), start, None if rng.random() < 0.2 else (start or 0) + rng.randrange(-1, 9)))
+    asked = [(n, rng.choice(["The Clerk", "Whip", "Nobody", None]), rng.choice([None, *range(-2, 70)])) for n in range(300)]
+    offices = spark.createDataFrame([(t, p, day(a), day(b)) for t, p, a, b in held], "title string, person string, start_date date, end_date date")
+    found = resolution.office_holders(spark.createDataFrame([(n, o, day(x)) for n, o, x in asked], "id int, office string, day date"), offices, "id")
+    got = {r.id: (r.n_candidates, r.status, r.match) for r in found.collect()}
+    for n, office, x in asked:
+        people = {p for t, p, a, b in held if p and t and office and t.strip().lower() == office.lower() and (x is None or (None not in (a, b) and a <= x < b))}
+        assert got[n] == (len(people), ["none", "match", "multiple"][min(2, len(people))], min(people) if len(people) == 1 else None), (n, office, x)
+
+
 def test_history_settles_ambiguous_speakers(spark):
     speeches = spark.createDataFrame([("s", 1, "a"), ("s", 2, "b"), ("s", 3, None), ("s", 4, "c"), ("s", 5, None)], "sitting string, seq int, person string")
     found = spark.createDataFrame([("s", 3, "a"), ("s", 3, "b"), ("s", 5, "x"), ("s", 5, "y")], "sitting string, seq int, person string")
