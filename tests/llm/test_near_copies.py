@@ -129,3 +129,13 @@ def test_min_hash_keys_meet_for_similar_sets():
         a, b = (np.unique(np.concatenate([both, rng.integers(0, 2**63, 10, dtype=np.uint64)])) for _ in range(2))
         missed += not (near_copies.band_keys(a) == near_copies.band_keys(b)).any()
     assert missed == 0
+
+
+def test_no_link_goes_past_the_fingerprints(spark):
+    words = [f"w{i}" for i in range(300)]
+    near, same = " ".join([*words[:150], "other", *words[151:]]), " ".join(words)
+    docs = spark.createDataFrame([(1, same), (2, near), (3, same)], "doc_id long, text string")
+    prints = {r.sig: r.fp for r in near_copies.sketches(near_copies.keyed(docs), near_copies.SHINGLE).collect()}
+    assert len(set(prints.values())) == 2
+    found = lambda radius: sorted(r.component_id for r in near_copies.classes(near_copies.keyed(docs), radius=radius).collect())
+    assert found(near_copies.RADIUS) == [1, 1] and found(0) == [1, 2]
