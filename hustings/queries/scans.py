@@ -94,7 +94,7 @@ def html_cells(t):
 
 @query("SELECT p_partkey AS n FROM part WHERE p_partkey < (SELECT count(*) FROM part)")
 def paged_rows(t):
-    """Pages of an interface, as many as its total says, each of them a partition."""
+    """Pages of an interface, as many as its total says, fetched in stretches."""
     total = t("part").count()
     every = pages.paged_source(t.spark, lambda skip, take: [(i,) for i in range(skip, min(skip + take, total))], "n long", total, 64)
     return every.join(t("part").select(F.col("p_partkey").alias("n")), "n", "left_semi")

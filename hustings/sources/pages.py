@@ -68,9 +68,9 @@ def html_tables(pages: DataFrame, key: str, html: str) -> DataFrame:
 
 
 class PagedSource(DataSource):
-    """format("paged"): rows of an interface that gives them page by page, a partition for each page.
+    """format("paged"): rows of an interface that gives them page by page; a partition is a stretch of pages.
 
-    Options: total and page_size. The fetch function is set by paged_source(), as options are only strings.
+    Options: total, page_size and the most partitions. The fetch function is set by paged_source(), as options are only strings.
     """
 
     fetch: Callable[[int, int], list[tuple]] | None = None
@@ -84,29 +84,34 @@ class PagedSource(DataSource):
         return type(self).rows
 
     def reader(self, schema):
-        return _PagedReader(type(self).fetch, int(self.options["total"]), int(self.options.get("page_size", 100)))
+        return _PagedReader(type(self).fetch, int(self.options["total"]), int(self.options.get("page_size", 100)), int(self.options.get("partitions", 256)))
 
 
 class _PagedReader(DataSourceReader):
-    def __init__(self, fetch, total, size):
-        self.fetch, self.total, self.size = fetch, total, size
+    def __init__(self, fetch, total, size, most):
+        self.fetch, self.total, self.size, self.most = fetch, total, size, most
 
     def partitions(self):
-        return [InputPartition(at) for at in range(0, self.total, self.size)]
+        pages = -(-self.total // self.size)
+        step = max(1, -(-pages // self.most)) * self.size
+        return [InputPartition((at, min(at + step, self.total))) for at in range(0, self.total, step)]
 
     def read(self, partition):
-        rows = self.fetch(partition.value, self.size)
-        want = min(self.size, self.total - partition.value)
-        if len(rows) != want:
-            raise ValueError(f"page at {partition.value}: {len(rows)} rows, not {want}")
-        yield from rows
+        start, end = partition.value
+        for at in range(start, end, self.size):
+            rows = self.fetch(at, self.size)
+            want = min(self.size, self.total - at)
+            if len(rows) != want:
+                raise ValueError(f"page at {at}: {len(rows)} rows, not {want}")
+            yield from rows
 
 
-def paged_source(spark: SparkSession, fetch: Callable[[int, int], list[tuple]], schema: str, total: int, page_size: int = 100) -> DataFrame:
-    """All rows of a paged interface: fetch(skip, take) gives a page's. A page that falls short of the total fails."""
+def paged_source(spark: SparkSession, fetch: Callable[[int, int], list[tuple]], schema: str, total: int, page_size: int = 100, partitions: int = 256) -> DataFrame:
+    """All rows of a paged interface: fetch(skip, take) gives a page's. A page that falls short of the total fails. Pages are
+    fetched by as many tasks as there are pages, but for `partitions` at most, each of which takes a stretch of them."""
     source = type("PagedRows", (PagedSource,), {"fetch": staticmethod(fetch), "rows": schema})
     spark.dataSource.register(source)
-    return spark.read.format("paged").option("total", total).option("page_size", page_size).load()
+    return spark.read.format("paged").option("total", total).option("page_size", page_size).option("partitions", partitions).load()
 
 
 class _Walk(DataSourceReader):

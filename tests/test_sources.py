@@ -89,6 +89,13 @@ def test_html_tables(spark):
     assert [(r.table_no, r.row_no, r.column_no, r.value) for r in got] == [(0, 0, 0, "A"), (0, 0, 1, "B"), (0, 1, 0, "1"), (0, 1, 1, "2 in"), (1, 0, 0, "z")]
 
 
+def test_pages_are_fetched_in_stretches(spark):
+    fetch = lambda skip, take: [(i,) for i in range(skip, min(skip + take, 1000))]
+    for size, most, tasks in ((1, 256, 250), (3, 4, 4), (400, 256, 3)):
+        df = pages.paged_source(spark, fetch, "id int", total=1000, page_size=size, partitions=most)
+        assert df.rdd.getNumPartitions() == tasks and sorted(r.id for r in df.collect()) == list(range(1000))
+
+
 def test_paged_source(spark):
     def fetch(skip, take):
         return [(i, f"row {i}") for i in range(skip, min(skip + take, 25))]
