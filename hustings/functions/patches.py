@@ -6,9 +6,11 @@ import re
 from bisect import bisect_left
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hustings.sources.shared import bounded_batches
+
 HUNK = re.compile(r"^@@ -(\d+)(?:,(\d+))? \+(\d+)(?:,(\d+))? @@")
 RESULT = "text string, applied int, rejected array<int>"
 
@@ -66,13 +68,14 @@ def applied(text: str, patch: str, reverse: bool = False) -> tuple[str, int, lis
 
 def patched(text: Column, patch: Column, reverse: bool = False) -> Column:
     """struct<text, applied, rejected> of texts and their patches, as applied() has it; a missing patch changes nothing, a
-    missing text stays so and rejects every hunk."""
+    missing text stays so and rejects every hunk. Texts go to Python in batches of bounded size."""
 
     @F.pandas_udf(RESULT)
     def run(texts: pd.Series, diffs: pd.Series) -> pd.DataFrame:
         rows = [(t, 0, []) if not d else (None, 0, list(range(len(hunks(d))))) if t is None else applied(t, d, reverse) for t, d in zip(texts, diffs, strict=True)]
         return pd.DataFrame(rows, columns=["text", "applied", "rejected"])
 
+    bounded_batches(SparkSession.active())
     return run(text, patch)
 
 

@@ -9,10 +9,12 @@ from functools import reduce
 from operator import or_
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hustings.sources.shared import bounded_batches
+
 #: Unicode white space, for Java patterns.
 SPACE = r"[\s\x{00A0}\x{2000}-\x{200A}\x{202F}\x{3000}]"
 
@@ -102,8 +104,11 @@ def _composed(s: pd.Series) -> pd.Series:
 
 
 def fold_ascii(s: Column) -> Column:
-    """Letters without their marks; what has no ASCII form is dropped. ASCII texts never leave the JVM's hands."""
-    return F.when(s.rlike(r"^[\x00-\x7F]*$"), s).otherwise(_folded(s))
+    """Letters without their marks; what has no ASCII form is dropped. ASCII texts never leave the JVM's hands; Spark runs
+    Python for all rows, so it gets nulls in their place. Others go in batches of bounded size."""
+    bounded_batches(SparkSession.active())
+    plain = s.rlike(r"^[\x00-\x7F]*$")
+    return F.when(plain, s).otherwise(_folded(F.when(~plain, s)))
 
 
 def slugify(s: Column, fold: bool = True, gap: str = "-") -> Column:

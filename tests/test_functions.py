@@ -104,3 +104,16 @@ def test_column_ranges(one):
     got = [one(text.column_range(s), s=x) for x in ("1234", "1234-6", "1234-40", "9999-10002", "10000-9995", "1234-4", "1234-1", "1234-1234", "1234-1230", "9998-9999", "99-100", "100-99", "5-3", "x", None, "12-")]
     want = [(1234, 1234), (1234, 1236), (1234, 1240), (9999, 10002), (10000, 19995), None, None, None, None, (9998, 9999), (99, 100), (100, 199), None, None, None, None]
     assert [None if g is None else tuple(g) for g in got] == want
+
+
+def test_texts_go_to_python_in_bounded_batches(spark):
+    from hustings.functions import patches, text
+    from hustings.sources.shared import BATCH_BYTES
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    for column in (lambda: text.slugify(F.col("s")), lambda: patches.patched(F.col("s"), F.lit(None).cast("string"))["text"]):
+        spark.conf.set(name, str(1 << 28))
+        got = spark.createDataFrame([("Plain Text",), ("\u00c9lan",), (None,)], "s string").select(column().alias("x")).collect()
+        assert int(spark.conf.get(name)) == BATCH_BYTES and got[2].x is None and got[0].x in ("plain-text", "Plain Text")
+    plan = spark.createDataFrame([("a",)], "s string").select(text.fold_ascii(F.col("s")))._jdf.queryExecution().optimizedPlan().toString()
+    assert "_folded(CASE WHEN" in plan
