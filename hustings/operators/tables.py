@@ -142,10 +142,11 @@ def candidate_intersection(clues: list[DataFrame], probe_id: str, found: str) ->
     """Candidates that every clue which has any for the probe agrees on."""
     every = None
     for i, c in enumerate(clues):
-        part = c.select(probe_id, found).distinct().withColumn("_clue", F.lit(i))
+        part = c.select(probe_id, found, F.lit(1 << i).cast("long").alias("_clue"))
         every = part if every is None else every.union(part)
-    needed = every.groupBy(probe_id).agg(F.count_distinct("_clue").alias("_needed"))
-    return every.groupBy(probe_id, found).agg(F.count("*").alias("_got")).join(needed, probe_id).filter("_got = _needed").select(probe_id, found)
+    # A bit for each clue: those that name the candidate, and those that have any for the probe.
+    got = every.filter(F.col(probe_id).isNotNull()).groupBy(probe_id, found).agg(F.bit_or("_clue").alias("_got"))
+    return got.withColumn("_needed", F.bit_or("_got").over(Window.partitionBy(probe_id))).filter("_got = _needed").select(probe_id, found)
 
 
 def symmetric_difference(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

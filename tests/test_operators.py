@@ -116,3 +116,12 @@ def test_overlaps_and_carving_equal_all_pairs(spark):
     held = {(k, d) for k, s, e in inner for d in range(s, e + 1)}
     covered = sorted((r["k"], d, r["inside"]) for r in temporal.carve(frame(sorted(posts)), frame(inner), "k").collect() for d in range((r["start_date"] - day(0)).days, (r["end_date"] - day(0)).days + 1))
     assert covered == sorted((k, d, (k, d) in held) for k, s, e in posts for d in range(s, e + 1))
+
+
+def test_candidates_that_all_clues_agree_on_take_one_pass(spark):
+    clue = lambda rows: spark.createDataFrame(rows, "id int, found string")
+    one, two = clue([(1, "a"), (1, "b"), (1, "b"), (2, "a"), (4, None)]), clue([(1, "b"), (1, "c"), (3, "z"), (4, None), (4, "y")])
+    both = tables.candidate_intersection([one, two], "id", "found")
+    assert sorted(map(tuple, both.collect()), key=str) == [(1, "b"), (2, "a"), (3, "z"), (4, None)]
+    # Each clue is read once.
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 2
