@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -39,6 +41,24 @@ def clock(s: Column) -> Column:
     return F.when(low.rlike("noon|midday"), "12:00:00").when(low.rlike("midnight"), "00:00:00").when(h.isNotNull() & (h < 24) & (n(minute) < 60), F.format_string("%02d:%02d:%02d", h, n(minute), n(second)))
 
 
+CLOCK = re.compile(r"(\d{1,2})(?:[.:](\d{2}))?(?:[.:](\d{2}))?\s*(?:o'clock\s*)?([ap])?\.?m?\.?", re.A)
+
+
+def clock_of(text: str) -> str | None:
+    """clock() of one text, for tasks that hold it in Python."""
+    low = text.strip(" ").lower()
+    if "noon" in low or "midday" in low:
+        return "12:00:00"
+    if "midnight" in low:
+        return "00:00:00"
+    found = CLOCK.search(low)
+    if found is None:
+        return None
+    hour, minute, second = int(found[1]), int(found[2] or 0), int(found[3] or 0)
+    hour = hour + 12 if found[4] == "p" and hour < 12 else 0 if found[4] == "a" and hour == 12 else hour
+    return f"{hour:02d}:{minute:02d}:{second:02d}" if hour < 24 and minute < 60 else None
+
+
 def minutes_of_day(hms: Column) -> Column:
     return F.split_part(hms, F.lit(":"), F.lit(1)).cast("int") * 60 + F.split_part(hms, F.lit(":"), F.lit(2)).cast("int")
 

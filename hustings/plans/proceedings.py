@@ -1,19 +1,24 @@
 """Marked-up proceedings: day and committee documents in the parliamentary XML vocabulary, as ordered rows.
 
-A document is cut into tokens (tags and texts) by one expression; running sums over its tokens tell which element each
-text stands in, and carried values give column and time. So marks count wherever they stand, inside a speech too.
-Windows run over one document; documents are many and each is some megabytes at most.
+A document is cut into its blocks where it lies, in one pass over its tags and texts that follows which element each text
+stands in and carries column and time. So marks count wherever they stand, inside a speech too.
+Windows run over one document's blocks; documents are many and each is some megabytes at most.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
+import re
+from collections.abc import Iterator
+from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from hustings.functions import dates, markup
+from hustings.sources.shared import bounded_batches
 
 # Names of elements by what they are for.
 ORAL_HEADINGS = ("hs_3OralAnswers",)
@@ -35,6 +40,8 @@ KINDS = {
 }
 #: Elements inside those whose text has a part of its own.
 PARTS = ("Member", "B", "Number", "Uin", "QuestionText", "AyesNumber", "NoesNumber", "ContentsNumber", "NotContentsNumber", "hs_time", "hs_DebateHeading", "hs_DebateType", "hs_TabledBy", "Witness", "I")
+#: Elements whose depth is followed.
+DEEP = frozenset((*PARTS, "hs_Timeline", "hs_time"))
 PASSED = ("hs_TimeCode", "hs_6bPetitions", "hs_3MainHdg", "hs_3cWestHall", "hs_Venue", "hs_CLHeading", "hs_CLAttended", "StartProcedure", "EndProcedure", "System", "Fragment", "Body", "House", "Sitting", "Cover", "England", "EnglandWales", "hs_DivListHeader", "TwoColumn", "NamesAyes", "NamesNoes", "row", "entry", "column", "hs_Procedure", "hs_TableHeading", "hs_para")
 
 
@@ -52,10 +59,101 @@ def attribute(name: str) -> Column:
     return F.nullif(F.regexp_extract("attributes", rf"\b{name}=['\"]?([^'\"\s>?]*)", 1), F.lit(""))
 
 
-def _joined(which: Column) -> Column:
-    """The texts of a group's rows for which it holds, in order, white space collapsed; null if there are none."""
-    parts = F.sort_array(F.collect_list(F.when(which & F.col("text").isNotNull(), F.struct("seq", "text"))))
-    return F.nullif(F.trim(F.regexp_replace(F.array_join(F.transform(parts, lambda x: x["text"]), ""), r"\s+", " ")), F.lit(""))
+BLOCK = T.StructType(
+    [T.StructField("block", T.LongType()), T.StructField("seq", T.IntegerType())]
+    + [T.StructField(n, T.StringType()) for n in ("kind", "tag", "attributes", "column", "time", "member", *(p for p in PARTS if p not in ("Member", "B")), "rest", "after", "whole", "last_column")]
+)
+COMMENT, TOKEN = re.compile(r"<!--.*?-->", re.S), re.compile(r"<[^>]*>|[^<]+")
+NAME, BLANKS = re.compile(r"<[/?]?(?:[\w-]+:)?([\w-]+)", re.A), re.compile(r"\s+", re.A)
+MARKS = {n: re.compile(rf"\b{n}=['\"]?([^'\"\s>?]*)", re.A) for n in ("column", "n", "number")}
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&amp;", "&"))
+
+
+def _mark(element: str, *names: str) -> str | None:
+    return next((m[1] for n in names if (m := MARKS[n].search(element)) and m[1]), None)
+
+
+def _joined(texts: list[str]) -> str | None:
+    """Texts as one, white space collapsed; None if nothing is left."""
+    return BLANKS.sub(" ", "".join(texts)).strip(" ") or None
+
+
+@lru_cache(4096)
+def _element(element: str) -> tuple[str, int, bool] | None:
+    """Name, turn (as in tokens()) and whether it is a processing instruction; None for what has no name."""
+    name = NAME.match(element)
+    if name is None:
+        return None
+    processing = element.startswith("<?")
+    return name[1], 0 if processing or element.endswith("/>") else -1 if element.startswith("</") else 1, processing
+
+
+def _into(depth: dict[str, int], asked: bool) -> list[str]:
+    """The parts of a block that a text belongs to."""
+    inside = [p for p in PARTS if depth.get(p, 0) > 0]
+    member = ["member"] if "Member" in inside or "B" in inside else []
+    return ["whole", *(p for p in inside if p not in ("Member", "B")), *member, *(["rest"] if inside in ([], ["I"]) else []), *(["after"] if asked else [])]
+
+
+def _blocks_of(xml: str) -> list[dict]:
+    """The blocks of one document, in one pass over its tokens, in time that grows with its length."""
+    found, level, column, time, asked, timed = [], 0, None, None, False, False
+    depth: dict[str, int] = {}
+    into, own, texts = None, None, {}  # where a text goes (None: to be told anew), the last block and its texts
+    for seq, element in enumerate(TOKEN.findall(COMMENT.sub("", xml))):
+        known = _element(element) if element[0] == "<" else None
+        if known is not None:
+            tag, turn, processing = known
+            if tag in DEEP:
+                depth[tag] = depth.get(tag, 0) + turn
+                asked |= tag == "QuestionText" and turn != 1
+                timed = depth.get("hs_Timeline", 0) + depth.get("hs_time", 0) > 0
+                into = None
+            if processing or tag in ("column", "hs_column"):
+                names = ("column", "n", "number") if tag in ("column", "hs_column") else ("column",)
+                column = _mark(element, *names) or column
+            kind = KINDS.get(tag)
+            if kind is not None:
+                level += turn
+                if turn >= 0 and level == turn:
+                    texts, asked, into = {}, False, None
+                    own = {"block": len(found) + 1, "seq": seq, "kind": kind, "tag": tag, "attributes": element, "column": column, "time": time, "texts": texts}
+                    found.append(own)
+            if own is not None and (level > 0 or kind is not None):
+                own["last_column"] = column
+            continue
+        if level <= 0 and not timed:
+            continue
+        if "&" in element:
+            for entity, char in ENTITIES:
+                element = element.replace(entity, char)
+        if level > 0:
+            own["last_column"] = column
+            if into is None:
+                into = _into(depth, asked)
+            for part in into:
+                if part in texts:
+                    texts[part].append(element)
+                else:
+                    texts[part] = [element]
+        if timed:
+            time = dates.clock_of(element) or time
+    for block in found:
+        block.update((part, _joined(parts)) for part, parts in block.pop("texts").items())
+    return found
+
+
+def cut(documents: DataFrame, keys: list[str], xml: str = "xml") -> DataFrame:
+    """(keys, blocks): the blocks of each document, an array in their order; see blocks()."""
+    bounded_batches(documents.sparkSession)
+    arrow = to_arrow_type(T.ArrayType(BLOCK))
+
+    @F.arrow_udf(T.ArrayType(BLOCK))
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            yield pa.array((None if x is None else _blocks_of(x) for x in batch.to_pylist()), arrow)
+
+    return documents.select(*keys, run.asNondeterministic()(F.col(xml).cast("string")).alias("blocks"))
 
 
 def blocks(documents: DataFrame, keys: list[str], xml: str = "xml") -> DataFrame:
@@ -63,39 +161,10 @@ def blocks(documents: DataFrame, keys: list[str], xml: str = "xml") -> DataFrame
     text of its parts by name, of everything, and of what stands in no part (rest) or after the question's own element
     (after).
 
-    column and time are those in force where the element begins; marks of either inside it hold from the next one on.
+    column and time are those in force where the element begins; marks of either inside it hold from the next one on. A
+    document is cut where it lies, so nothing is shuffled or sorted.
     """
-    rows = tokens(documents, keys, xml)
-    by = Window.partitionBy(*keys).orderBy("seq")
-    so_far, before = by.rowsBetween(Window.unboundedPreceding, 0), by.rowsBetween(Window.unboundedPreceding, -1)
-    kind = reduce(lambda c, kv: c.when(F.col("tag").isin(*kv[1]), kv[0]), _by_kind().items(), F)
-    rows = rows.withColumn("kind", kind).withColumn("_level", F.coalesce(F.sum(F.when(F.col("kind").isNotNull(), F.col("turn"))).over(so_far), F.lit(0)))
-    opens = F.col("kind").isNotNull() & (F.col("turn") == 1) & (F.col("_level") == 1)
-    single = F.col("kind").isNotNull() & (F.col("turn") == 0) & (F.col("_level") == 0)
-    mark = F.when(F.col("tag").isin("column", "hs_column"), F.coalesce(attribute("column"), attribute("n"), attribute("number"))).when(F.col("attributes").startswith("<?"), attribute("column"))
-    clock = F.when(F.col("text").isNotNull() & (F.coalesce(F.sum(F.when(F.col("tag").isin("hs_Timeline", "hs_time"), F.col("turn"))).over(so_far), F.lit(0)) > 0), dates.clock(F.trim("text")))
-    rows = rows.withColumn("_block", F.sum(F.when(opens | single, 1).otherwise(0)).over(so_far)).withColumn("column", F.last(mark, True).over(so_far)).withColumn("_time", clock)
-    rows = rows.withColumn("time", F.last("_time", True).over(before))
-    inside = {p: F.coalesce(F.sum(F.when(F.col("tag") == p, F.col("turn"))).over(so_far), F.lit(0)) > 0 for p in PARTS}
-    rows = rows.withColumns({f"_in_{p}": c for p, c in inside.items()})
-    asked = F.sum(F.when((F.col("tag") == "QuestionText") & (F.col("turn") != 1), 1).otherwise(0)).over(Window.partitionBy(*keys, "_block").orderBy("seq").rowsBetween(Window.unboundedPreceding, 0))
-    rows = rows.withColumn("_after", asked > 0).filter("_block > 0 and (_level > 0 or kind is not null)")
-    named = F.col("_in_Member") | (F.col("_in_B") & ~F.col("_in_Member"))
-    none = ~reduce(or_, (F.col(f"_in_{p}") for p in PARTS if p != "I"))
-    first = lambda c: F.min_by(c, "seq").alias(c)
-    parts = {p: _joined(F.col(f"_in_{p}")) for p in PARTS if p not in ("Member", "B")}
-    return rows.groupBy(*keys, F.col("_block").alias("block")).agg(
-        F.min("seq").alias("seq"), first("kind"), first("tag"), first("attributes"), first("column"), first("time"),
-        _joined(named).alias("member"), *(c.alias(p) for p, c in parts.items()), _joined(none).alias("rest"), _joined(F.col("_after")).alias("after"), _joined(F.lit(True)).alias("whole"),
-        F.max_by("column", "seq").alias("last_column"),
-    )
-
-
-def _by_kind() -> dict[str, list[str]]:
-    out: dict[str, list[str]] = {}
-    for tag, kind in KINDS.items():
-        out.setdefault(kind, []).append(tag)
-    return out
+    return cut(documents, keys, xml).select(*keys, F.inline("blocks"))
 
 
 def unknown(documents: DataFrame, keys: list[str], xml: str = "xml") -> DataFrame:
@@ -111,18 +180,19 @@ def day_rows(documents: DataFrame, keys: list[str], prefix: str, day: str = "day
     entry or a division ends it. Texts are the paragraphs, indented ones with a tab before them, joined by line feeds. Ids
     are day, revision, column and a number that begins anew in each column.
     """
-    found = blocks(documents, keys).filter("kind not in ('time', 'date', 'chairman', 'member', 'clerks')")
+    body = F.when(F.col("kind") == "question", F.coalesce("QuestionText", "after")).when(F.col("kind").isin("para", "indent"), F.coalesce("rest", F.lit(""))).otherwise(F.col("whole"))
+    body = F.concat(F.when(F.col("kind") == "indent", "\t").otherwise(""), F.coalesce(body, F.lit("")))
+    heading = F.when(F.col("kind").isin("oral-heading", "major-heading", "debate"), F.coalesce("hs_DebateHeading", "whole"))
+    # Only what a speech is made of is sorted, each text once.
+    found = blocks(documents, keys).filter("kind not in ('time', 'date', 'chairman', 'member', 'clerks')").select(*keys, "seq", "kind", "member", "Witness", "column", "time", "Number", heading.alias("heading"), body.alias("body"))
     by = Window.partitionBy(*keys).orderBy("seq").rowsBetween(Window.unboundedPreceding, 0)
     going_on = F.col("kind").isin("para", "indent", "table") & F.lag("kind").over(Window.partitionBy(*keys).orderBy("seq")).isin("para", "indent", "table", "question")
     fresh = ~F.coalesce(going_on, F.lit(False)) | F.col("member").isNotNull() | F.col("Witness").isNotNull()
-    heading = F.when(F.col("kind").isin("oral-heading", "major-heading", "debate"), F.coalesce("hs_DebateHeading", "whole"))
-    rows = found.withColumn("_speech", F.sum(fresh.cast("int")).over(by)).withColumn("heading", F.last(heading, True).over(by))
-    body = F.when(F.col("kind") == "question", F.coalesce("QuestionText", "after")).when(F.col("kind").isin("para", "indent"), F.coalesce("rest", F.lit(""))).otherwise(F.col("whole"))
-    body = F.concat(F.when(F.col("kind") == "indent", "\t").otherwise(""), F.coalesce(body, F.lit("")))
+    rows = found.withColumn("_speech", F.sum(fresh.cast("int")).over(by)).withColumn("heading", F.last("heading", True).over(by))
     speech = rows.groupBy(*keys, "_speech").agg(
         F.min("seq").alias("seq"), F.min_by(F.when(F.col("kind").isin("para", "indent", "table", "question"), "speech").otherwise(F.col("kind")), "seq").alias("kind"),
         F.min_by(F.rtrim(F.regexp_replace(F.coalesce("member", "Witness"), r":\s*$", "")), "seq").alias("speaker"), *(F.min_by(c, "seq").alias(c) for c in ("column", "time", "heading", "Number")),
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", body.alias("t")))), lambda x: x["t"]), "\n").alias("text"),
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("seq", F.col("body").alias("t")))), lambda x: x["t"]), "\n").alias("text"),
     )
     number = F.row_number().over(Window.partitionBy(*keys, "column").orderBy("seq")) - 1
     gid = F.concat(F.lit(prefix), F.col(day).cast("string"), F.col(revision), F.lit("."), F.coalesce("column", F.lit("0")), F.lit("."), number.cast("string"))

@@ -182,3 +182,24 @@ def test_history_passes_over_rows_without_a_speaker(spark):
     found = spark.createDataFrame([("s", q, p) for q in (3, 4) for p in ("ann", "bo")], "sitting string, seq int, person string")
     got = {r.seq: (r.person, r.source) for r in resolution.by_history(speeches, found).collect()}
     assert got[3] == ("ann", "history") and got[4] == ("ann", "history")
+
+
+def test_documents_are_cut_where_they_lie(spark):
+    from hustings.functions import dates
+    from hustings.plans import proceedings
+
+    xml = (
+        "<S><hs_Timeline>9.05 am</hs_Timeline><Question><hs_Para><Number>7</Number>. <Uin>[12]</Uin><!-- <B> --><Member><B>Ann\n Other</B>:</Member><column number='3'/>"
+        "<QuestionText></QuestionText>Is it&nbsp;so?</hs_Para></Question></hs_Para>lost<hs_time>noon</hs_time><hs_Para>not at level one</hs_Para><Division/><hs_Para>seen</hs_Para></S>"
+    )
+    found = proceedings.blocks(spark.createDataFrame([(1, xml), (2, None), (3, "<S/>")], "day int, xml string"), ["day"])
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any(step in plan for step in ("Exchange", "Sort", "Window"))
+    got = [(r.day, r.block, r.kind, r.column, r.last_column, r.time, r.member, r.Number, r.QuestionText, r.rest, r.after, r.whole) for r in found.orderBy("block").collect()]
+    assert got == [
+        (1, 1, "time", None, None, None, None, None, None, "9.05 am", None, "9.05 am"),
+        (1, 2, "question", None, "3", "09:05:00", "Ann Other:", "7", None, ". Is it so?", "Is it so?", "7. [12]Ann Other:Is it so?"),
+    ]
+    times = ["2.30 pm", "12.05 am", "12 p.m.", "14:05", "14:05:09", "25:00", "9.75", " Noon ", "midday", "midnight", "10 o'clock", "10 o'clock p.m", "words", "", "at 7", "123", "3 pm\n"]
+    rows = spark.createDataFrame([(t,) for t in times], "t string").select("t", dates.clock(F.trim("t")).alias("c")).collect()
+    assert {r.t: r.c for r in rows} == {t: dates.clock_of(t) for t in times}
