@@ -203,3 +203,18 @@ def test_documents_are_cut_where_they_lie(spark):
     times = ["2.30 pm", "12.05 am", "12 p.m.", "14:05", "14:05:09", "25:00", "9.75", " Noon ", "midday", "midnight", "10 o'clock", "10 o'clock p.m", "words", "", "at 7", "123", "3 pm\n"]
     rows = spark.createDataFrame([(t,) for t in times], "t string").select("t", dates.clock(F.trim("t")).alias("c")).collect()
     assert {r.t: r.c for r in rows} == {t: dates.clock_of(t) for t in times}
+
+
+def test_versions_are_led_to_the_first_in_one_shuffle(spark):
+    from hustings.plans import alignment
+
+    first = "a b c d e\nsame\nsame\n\nold words of a line\nend"
+    docs = [("w", "w-1", first), ("w", "w-2", "same\nnew\na b c d f\nold words of the line\nsame\nsame\nend"), ("w", "w-3", None), ("w", None, "x"), (None, "n-1", "x"), ("v", "v-1", None), ("v", "v-2", "alone\n  ")]
+    found = alignment.redirects(spark.createDataFrame(docs, "work string, version string, text string"), "work", "version", "text")
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    got = sorted((r.version, r.seq, r.kind, r.target) for r in found.collect())
+    assert got == [
+        ("v-2", 0, "missing", None), ("v-2", 1, "missing", None),
+        ("w-2", 0, "perfectmatch", 1), ("w-2", 1, "missing", None), ("w-2", 2, "changes", 0), ("w-2", 3, "changes", 4),
+        ("w-2", 4, "perfectmatch", 2), ("w-2", 5, "missing", None), ("w-2", 6, "perfectmatch", 5),
+    ]
