@@ -79,3 +79,19 @@ def test_first_seen_writes_what_changes(spark, tmp_path):
     assert sorted((tuple(r) for r in found.collect()), key=str) == sorted([("a", 3), ("b", 2), ("c", 7), (None, 1)], key=str)
     last = spark.read.parquet(f"{work}/held-2").collect()
     assert [tuple(r) for r in last] == [(None, 1)]
+
+
+def test_texts_of_revisions_are_shuffled_once(spark, tmp_path):
+    source, work = f"file://{tmp_path}/in", f"file://{tmp_path}/work"
+    for part in ([("d", 2, "b"), ("d", 2, "c"), ("e", 1, None)], [("d", 1, "a"), ("d", 2, "later"), ("e", 2, None), ("e", 4, "z")], [("d", 3, "x"), ("e", 2, "late")]):
+        df = spark.createDataFrame(part, "doc string, revision int, text string")
+        df.coalesce(1).write.mode("append").parquet(source)
+        done = revisions.apply(states.stream_of(spark, source, df.schema), "doc", work)
+    least = min(("b", "c"), key=lambda x: spark.range(1).select(F.xxhash64(F.lit(x))).first()[0])
+    want = [("d", 1, "a", "new"), ("d", 2, least, "change"), ("d", 3, "x", "change"), ("e", 1, None, "new"), ("e", 2, None, "same")]
+    assert sorted(tuple(r) for r in done.collect()) == want
+    assert sorted(tuple(r) for r in revisions.current(done, "doc").collect()) == [("d", 3, "x"), ("e", 1, None)]
+    plan = revisions.current(done, "doc")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+    # What tells of applied revisions holds no texts.
+    assert "text" not in spark.read.parquet(f"{work}/applied-0").columns
