@@ -9,12 +9,15 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterator
 from html import unescape
+from itertools import accumulate
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hustings.sources.shared import bounded_batches
+
 #: Fixed values of HTML: elements without content, elements whose content is text, and what a start tag closes if it is open.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title".split())
@@ -30,6 +33,10 @@ CLOSED = re.compile(r"&(?:#[0-9]+|#[xX][0-9a-fA-F]+|[a-zA-Z][a-zA-Z0-9]*);")
 NODE = "pre int, last int, post int, parent int, level int, place int, tag string, attrs map<string, string>, start int, end int"
 
 
+#: Rows that a task hands on at a time, but for a page's own.
+HANDED_ON = 10_000
+
+
 class Builder:
     """One document's nodes, from its tokens in order. Node 0 is the document."""
 
@@ -115,17 +122,33 @@ def parsed(pages: DataFrame, key: str, html: str, closed: bool = False) -> DataF
     """
     reader = only_closed if closed else unescape
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, page in zip(batch["key"], batch["html"], strict=True):
-                whole, nodes = built(page or "", reader)
-                out = pd.DataFrame(nodes, columns=NAMES)
-                out["parent"] = out["parent"].astype("Int32")
-                yield out.assign(key=name, text=[whole, *[None] * (len(nodes) - 1)])
+            rows, nodes, texts = [], [], []
+
+            def made() -> pa.RecordBatch:
+                columns = dict(zip(NAMES, zip(*nodes, strict=True), strict=True))  # noqa: B023
+                pairs = [a for attrs in columns["attrs"] for a in attrs.items()]
+                ends = pa.array(accumulate(map(len, columns["attrs"]), initial=0), pa.int32())
+                columns["attrs"] = pa.MapArray.from_arrays(ends, pa.array([k for k, _ in pairs], pa.string()), pa.array([v for _, v in pairs], pa.string()))
+                arrays = [c if n == "attrs" else pa.array(c, pa.string() if n == "tag" else pa.int32()) for n, c in columns.items()]
+                return pa.RecordBatch.from_arrays([*arrays, batch.column("key").take(pa.array(rows, pa.int64())), pa.array(texts, pa.string())], [*NAMES, "key", "text"])  # noqa: B023
+
+            for row, page in enumerate(batch.column("html").to_pylist()):
+                whole, own = built(page or "", reader)
+                rows += [row] * len(own)
+                nodes += own
+                texts += [whole, *[None] * (len(own) - 1)]
+                if len(nodes) >= HANDED_ON:
+                    yield made()
+                    rows, nodes, texts = [], [], []
+            if nodes:
+                yield made()
 
     kind = pages.schema[key].dataType
+    bounded_batches(pages.sparkSession)
     schema = T.StructType([*T._parse_datatype_string(NODE), T.StructField("key", kind), T.StructField("text", T.StringType())])
-    found = pages.select(F.col(key).alias("key"), F.col(html).cast("string").alias("html")).mapInPandas(run, schema)
+    found = pages.select(F.col(key).alias("key"), F.col(html).cast("string").alias("html")).mapInArrow(run, schema)
     return found.select(F.col("key").alias(key), *NAMES, "text")
 
 

@@ -145,3 +145,15 @@ def test_archived_debates(spark):
         ("procedural", "/x#S1", None, None, "\u00a7House met|at two"), ("procedural", None, None, None, "Prayers"),
         ("speech", "/x#c2", "Mr Bee", "p1", "I beg to movethis."), ("speech", None, "Hon. Members", None, "Aye"), ("procedural", None, None, None, "Adjourned"),
     ]
+
+
+def test_nodes_of_pages_come_in_large_batches(spark):
+    # A DataFrame for each page cost more time than its parsing.
+    pages = [(1, "<p class='x y' id=a>One<br>two</p>"), (2, None), (None, ""), (4, "<ul><li>a<li>b</ul>")]
+    found = trees.parsed(spark.createDataFrame(pages, "id int, html string"), "id", "html")
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+    got = sorted(((r.id or 0, r.pre, r.last, r.parent, r.tag, r.attrs, r.start, r.end, r.text) for r in found.collect()), key=lambda r: r[:2])
+    assert got == [
+        (0, 0, 0, None, "#document", {}, 0, 0, ""), (1, 0, 2, None, "#document", {}, 0, 6, "Onetwo"), (1, 1, 2, 0, "p", {"class": "x y", "id": "a"}, 0, 6, None), (1, 2, 2, 1, "br", {}, 3, 3, None),
+        (2, 0, 0, None, "#document", {}, 0, 0, ""), (4, 0, 3, None, "#document", {}, 0, 2, "ab"), (4, 1, 3, 0, "ul", {}, 0, 2, None), (4, 2, 2, 1, "li", {}, 0, 1, None), (4, 3, 3, 1, "li", {}, 1, 2, None),
+    ]
