@@ -118,6 +118,7 @@ _hashes = WordHashes()
 
 
 def word_hashes(words: Iterable[bytes]) -> np.ndarray:
+    kept["hashes"] = _hashes.clear
     return np.fromiter(map(_hashes.__getitem__, words), np.uint64)
 
 

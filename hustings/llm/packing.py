@@ -10,8 +10,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import bounded_batches, slices, utf8
-from hustings.llm.tokens import encoder, vocabulary
+from hustings.llm.common import bounded_batches, release, slices, utf8
+from hustings.llm.tokens import WordEncoder, encoder, vocabulary
 
 #: Bytes of text that are encoded in one go.
 SLICE_BYTES = 1 << 19
@@ -45,32 +45,44 @@ def pack(docs: DataFrame, max_tokens: int = 4096, vocab: str | None = None, end_
     held = docs.sparkSession.sparkContext.broadcast(vocabulary(vocab))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = TaskContext.get().partitionId() << PARTITION_SHIFT
-        made = np.zeros(64, np.int64)  # sequences so far, for each bucket
-        for batch in slices(batches, "text", SLICE_BYTES, keep="tokens"):
-            enc = encoder(held.value, end_id)
-            rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens")}
-            for doc_id, packed in zip(batch.column("doc_id").to_pylist(), enc.encode(utf8(batch.column("text"))), strict=True):
-                ids = np.frombuffer(packed, enc.width).astype("<u4").tobytes()
-                start, n = 0, len(ids) // 4
-                for length in binary_lengths(n, max_tokens):
-                    for name, value in zip(rows, (doc_id, start, length, ids[start * 4 : (start + length) * 4], n), strict=True):
-                        rows[name].append(value)
-                    start += length
-            length = np.array(rows["length"], np.int64)
-            arrays = {n: pa.array(v, pa.binary() if n == "ids" else pa.int64()) for n, v in rows.items()}
-            bucket = np.log2(length).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            counts = np.bincount(bucket, minlength=64)
-            rank = np.empty(len(length), np.int64)
-            rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
-            sequence = (bucket << BUCKET_SHIFT) + base + made[bucket] + rank
-            made += counts
-            yield pa.RecordBatch.from_pydict(arrays | {"sequence_id": sequence, "offset": np.zeros(len(length), np.int64), "bucket": bucket.astype(np.int32)})
+        return _cut(batches, held.value, end_id, max_tokens, TaskContext.get().partitionId() << PARTITION_SHIFT)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(cut, PIECES)
 
 
+def _cut(batches: Iterator[pa.RecordBatch], vocab: str, end_id: int, max_tokens: int, base: int) -> Iterator[pa.RecordBatch]:
+    """The pieces of a task's documents. The encoder goes when the task ends: more workers than tasks take turns, as other
+    stages need several for a task, and each would keep one of its own while it waits."""
+    made = np.zeros(64, np.int64)  # sequences so far, for each bucket
+    for batch in slices(batches, "text", SLICE_BYTES, keep="tokens"):
+        pieces = _pieces(batch, encoder(vocab, end_id), max_tokens, base, made)
+        del batch
+        yield pieces
+        del pieces
+    release()
+
+
+def _pieces(batch: pa.RecordBatch, enc: WordEncoder, max_tokens: int, base: int, made: np.ndarray) -> pa.RecordBatch:
+    rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens")}
+    for doc_id, packed in zip(batch.column("doc_id").to_pylist(), enc.encode(utf8(batch.column("text"))), strict=True):
+        ids = np.frombuffer(packed, enc.width).astype("<u4").tobytes()
+        start, n = 0, len(ids) // 4
+        for length in binary_lengths(n, max_tokens):
+            for name, value in zip(rows, (doc_id, start, length, ids[start * 4 : (start + length) * 4], n), strict=True):
+                rows[name].append(value)
+            start += length
+    length = np.array(rows["length"], np.int64)
+    arrays = {n: pa.array(v, pa.binary() if n == "ids" else pa.int64()) for n, v in rows.items()}
+    bucket = np.log2(length).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    counts = np.bincount(bucket, minlength=64)
+    rank = np.empty(len(length), np.int64)
+    rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
+    sequence = (bucket << BUCKET_SHIFT) + base + made[bucket] + rank
+    made += counts
+    return pa.RecordBatch.from_pydict(arrays | {"sequence_id": sequence, "offset": np.zeros(len(length), np.int64), "bucket": bucket.astype(np.int32)})
+
+
 def by_bucket(pieces: DataFrame) -> DataFrame:
     """Pieces with equal lengths side by side in every partition, without a shuffle."""
     return pieces.sortWithinPartitions("bucket", "sequence_id")

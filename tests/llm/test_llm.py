@@ -3,11 +3,13 @@
 import hashlib
 import random
 import re
+import weakref
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import types as T
@@ -367,6 +369,17 @@ def test_packing_round_trip(spark, rows, docs, empty, tmp_path):
     assert packing.binary_lengths(4096 * 2 + 5, 4096) == [4096, 4096, 4, 1]
 
 
+def test_packing_leaves_nothing_in_its_worker():
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([1, 2, 3]), "text": ["a b", None, "c d e"]})
+    common.word_hashes([b"a", b"b"])
+    vocab = tokens.vocabulary()
+    made = packing._cut(iter([batch]), vocab, 2, 64, 0)
+    first = next(made)
+    encoder = weakref.ref(tokens.encoder(vocab, 2))
+    assert encoder() is not None and not common._hashes and first.column("length").to_pylist() == [2, 1, 1, 4]
+    assert list(made) == [] and encoder() is None and not common.kept
+
+
 def test_token_files_round_trip(spark, rows, docs, empty):
     encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or ""))
