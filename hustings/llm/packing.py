@@ -3,18 +3,20 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hustings.llm.common import bounded_batches, release, slices, utf8
+from hustings.llm.common import bounded_batches, release, slices
 from hustings.llm.tokens import WordEncoder, encoder, vocabulary
 
 #: Bytes of text that are encoded in one go.
-SLICE_BYTES = 1 << 19
+SLICE_BYTES = 1 << 20
 #: Sequence ids: the bucket, then the partition (up to 2 ** 24 of them), then a count below 2 ** 32.
 BUCKET_SHIFT, PARTITION_SHIFT = 56, 32
 PIECES = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long, bucket int"
@@ -63,16 +65,14 @@ def _cut(batches: Iterator[pa.RecordBatch], vocab: str, end_id: int, max_tokens:
 
 
 def _pieces(batch: pa.RecordBatch, enc: WordEncoder, max_tokens: int, base: int, made: np.ndarray) -> pa.RecordBatch:
-    rows: dict[str, list] = {n: [] for n in ("doc_id", "start", "length", "ids", "doc_tokens")}
-    for doc_id, packed in zip(batch.column("doc_id").to_pylist(), enc.encode(utf8(batch.column("text"))), strict=True):
-        ids = np.frombuffer(packed, enc.width).astype("<u4").tobytes()
-        start, n = 0, len(ids) // 4
-        for length in binary_lengths(n, max_tokens):
-            for name, value in zip(rows, (doc_id, start, length, ids[start * 4 : (start + length) * 4], n), strict=True):
-                rows[name].append(value)
-            start += length
-    length = np.array(rows["length"], np.int64)
-    arrays = {n: pa.array(v, pa.binary() if n == "ids" else pa.int64()) for n, v in rows.items()}
+    ids, at = enc.flat(pc.fill_null(batch.column("text"), ""))
+    sizes = np.diff(at)
+    lengths = [binary_lengths(n, max_tokens) for n in sizes.tolist()]
+    each = np.fromiter(map(len, lengths), np.int64)
+    length = np.fromiter(chain.from_iterable(lengths), np.int64)
+    ends = np.cumsum(length)
+    start = ends - length - np.repeat(at[:-1], each)
+    ids = pa.Array.from_buffers(pa.large_binary(), len(length), [None, pa.py_buffer(4 * np.concatenate([[0], ends])), pa.py_buffer(ids.astype("<u4"))]).cast(pa.binary())
     bucket = np.log2(length).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
     counts = np.bincount(bucket, minlength=64)
@@ -80,7 +80,8 @@ def _pieces(batch: pa.RecordBatch, enc: WordEncoder, max_tokens: int, base: int,
     rank[order] = np.arange(len(length)) - np.repeat(np.cumsum(counts) - counts, counts)
     sequence = (bucket << BUCKET_SHIFT) + base + made[bucket] + rank
     made += counts
-    return pa.RecordBatch.from_pydict(arrays | {"sequence_id": sequence, "offset": np.zeros(len(length), np.int64), "bucket": bucket.astype(np.int32)})
+    doc_id = batch.column("doc_id").take(pa.array(np.repeat(np.arange(batch.num_rows), each)))
+    return pa.RecordBatch.from_pydict({"doc_id": doc_id, "start": start, "length": length, "ids": ids, "doc_tokens": np.repeat(sizes, each), "sequence_id": sequence, "offset": np.zeros(len(length), np.int64), "bucket": bucket.astype(np.int32)})
 
 
 def by_bucket(pieces: DataFrame) -> DataFrame:

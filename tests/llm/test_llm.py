@@ -343,6 +343,24 @@ def test_tokens_are_the_whole_texts(rows):
             assert np.frombuffer(packed, encoder.width).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
 
 
+def test_tokens_of_lowered_words_and_runs_of_marks_are_the_whole_texts():
+    """A-Z is lowered first, words of a-z go to the model alone, runs of marks are parted: where that changes nothing."""
+    import json
+
+    encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
+    assert encoder.lowers and encoder.bare is not None
+    texts = ["The THE the the*** The*** the.*** x%", "H\u0331 h\u0331 E\u0301 T\u0344 \u0130 \u212a", "<|ENDOFTEXT|> a<|endoftext|> A<|endoftext|>.", "", " \n", "it'S a's. \u00c9t\u00e9*** \x1c9.\x0b\u00a0B"]
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text.encode()])[0], encoder.width).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+    assert b"the" in encoder.known and b"The" not in encoder.known and encoder.runs[b"***"]
+    cased = json.loads(tokens.vocabulary())
+    cased["normalizer"]["normalizers"].pop()
+    encoder = tokens.WordEncoder(json.dumps(cased), 2)
+    assert not encoder.lowers
+    for text in texts:
+        assert np.frombuffer(encoder.encode([text.encode()])[0], encoder.width).tolist() == [*encoder.tokenizer.encode(text, add_special_tokens=False).ids, 2]
+
+
 def test_packing_round_trip(spark, rows, docs, empty, tmp_path):
     encoder = tokens.WordEncoder(tokens.vocabulary(), 2)
     want = sorted(((i, np.frombuffer(encoder.encode([(t or "").encode()])[0], "<u2").tolist()) for i, t in rows), key=str)
