@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from hustings.sources.shared import discard, shared_folder
 
-__all__ = ["alnum_words", "bounded_batches", "discard", "mixed", "of_text", "release", "shared_folder", "sieve", "slices", "spare", "table", "utf8", "word_hashes", "written"]
+__all__ = ["Sieve", "alnum_words", "bounded_batches", "discard", "mixed", "of_text", "release", "shared_folder", "sieve", "slices", "spare", "table", "utf8", "word_hashes", "written"]
 
 #: Bytes of text that an operator handles in one go inside a task.
 CHUNK_BYTES = 4 << 20
@@ -137,7 +137,7 @@ def alnum_words(data: bytes) -> list[bytes]:
 SIEVE_BITS = 1 << 26
 
 
-def sieve(keys: DataFrame, column: str):
+def sieve(keys: DataFrame, column: str) -> Sieve:
     """A test of a long column that is true for every value of keys.column, and false for most others.
 
     It is a bitmap of SIEVE_BITS hashed values, so what is sent around has one size however many keys there are; the
@@ -151,10 +151,31 @@ def sieve(keys: DataFrame, column: str):
         bits[at : at + len(row["bits"])] |= np.frombuffer(row["bits"], np.uint8)
     held = keys.sparkSession.sparkContext.broadcast(bits)
 
-    @F.arrow_udf("boolean")
     def test(bucket: pa.Array, position: pa.Array) -> pa.Array:
         bucket, position = bucket.to_numpy(zero_copy_only=False), position.to_numpy(zero_copy_only=False)
         at = np.where(bucket > 0, (bucket - 1) * 4096, len(held.value) - 4096) + position // 8
         return pa.array((held.value[at] >> (position % 8).astype(np.uint8) & 1).astype(bool))
 
-    return lambda c: c.isNotNull() & test(F.bitmap_bucket_number(F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))), F.bitmap_bit_position(F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))))
+    return Sieve(test)
+
+
+class Sieve:
+    """The test that sieve() makes: called with a long column it is a condition; where a Python step follows in the same
+    tasks, that step takes the columns of places() and calls test itself, so that no task needs two Python workers."""
+
+    def __init__(self, test: Callable[[pa.Array, pa.Array], pa.Array]):
+        self.test = test
+
+    @staticmethod
+    def places(c: Column) -> tuple[Column, Column]:
+        place = F.pmod(F.xxhash64(c), F.lit(SIEVE_BITS))
+        return F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+
+    def __call__(self, c: Column) -> Column:
+        test = self.test
+
+        @F.arrow_udf("boolean")
+        def held(bucket: pa.Array, position: pa.Array) -> pa.Array:
+            return test(bucket, position)
+
+        return c.isNotNull() & held(*self.places(c))

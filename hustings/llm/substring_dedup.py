@@ -164,7 +164,8 @@ def recurring_blocks(docs: DataFrame, phrases: DataFrame, window: int) -> DataFr
                 "first": (first - s.starts[doc]).astype(np.int32), "count": count.astype(np.int32), "windows": pa.array([hashes[a:b] for a, b in zip([0, *ends[:-1]], ends, strict=True)], pa.binary()),
             })
 
-    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("twin")).join(phrases, "doc_id")
+    # Merged, not broadcast, when few: docs come from a sieve, and its task would need a second Python worker for run().
+    keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("twin")).join(phrases.hint("merge"), "doc_id")
     return keyed.mapInArrow(run, "phrase long, block long, doc_id long, twin long, first int, count int, windows binary")
 
 
@@ -229,7 +230,8 @@ def cut(docs: DataFrame, window: int = 50, columns: list[str] | None = None) ->
     spans = written(repeated_spans(docs, window))
     touched = sieve(spans, "doc_id")(F.col("doc_id").cast("long"))
     some = rows.filter(touched)
-    joined = some.join(spans, (some["doc_id"] == spans["doc_id"]) & (some[twin] == spans["twin"]), "left").select(*(some[n] for n in names), spans["spans"].alias(stretches))
+    # Merged, so that the sieve and keep() are not in one task either.
+    joined = some.join(spans.hint("merge"), (some["doc_id"] == spans["doc_id"]) & (some[twin] == spans["twin"]), "left").select(*(some[n] for n in names), spans["spans"].alias(stretches))
     # Rows without spans are done by Spark's functions alone, so no task needs two Python workers at a time.
     words = F.filter(F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), r"[ \x09-\x0D]+"), lambda w: w != "")
     whole = rows.filter(~touched).select(*back, words.alias(inner)).select(*back, F.size(inner).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"), F.array_join(inner, " ").alias("kept_text"))

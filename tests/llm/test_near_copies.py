@@ -3,9 +3,10 @@
 import random
 
 import numpy as np
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from hustings.llm import near_copies, simhash
+from hustings.llm import common, near_copies, simhash, substring_dedup
 from hustings.llm.near_copies import shingles
 
 
@@ -139,3 +140,16 @@ def test_no_link_goes_past_the_fingerprints(spark):
     assert len(set(prints.values())) == 2
     found = lambda radius: sorted(r.component_id for r in near_copies.classes(near_copies.keyed(docs), radius=radius).collect())
     assert found(near_copies.RADIUS) == [1, 1] and found(0) == [1, 2]
+
+
+def test_no_task_needs_two_python_workers(spark):
+    """A sieve and the Python step that its rows go to are not in one task, however few rows there are."""
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    docs = spark.range(4).select(F.col("id").alias("doc_id"), F.concat(F.lit("w x y " * 30), F.col("id")).alias("text"))
+    texts = docs.withColumnRenamed("doc_id", "sig")
+    sets = near_copies.shingle_sets(texts, 5, common.sieve(texts.filter("sig % 2 = 0"), "sig"))
+    assert sorted(r.sig for r in sets.collect()) == [0, 2] and "ArrowEvalPython" not in plan(sets)
+    phrases = spark.range(4).select(F.col("id").alias("doc_id"), F.array(F.lit(1).cast("long")).alias("hashes"))
+    assert "BroadcastHashJoin" not in plan(substring_dedup.recurring_blocks(docs, phrases, 50))
+    cut = substring_dedup.cut(docs)
+    assert [r.n_removed > 0 for r in cut.orderBy("doc_id").collect()] == [False, True, True, True] and "BroadcastHashJoin" not in plan(cut)
