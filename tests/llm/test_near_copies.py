@@ -153,3 +153,51 @@ def test_no_task_needs_two_python_workers(spark):
     assert "BroadcastHashJoin" not in plan(substring_dedup.recurring_blocks(docs, phrases, 50))
     cut = substring_dedup.cut(docs)
     assert [r.n_removed > 0 for r in cut.orderBy("doc_id").collect()] == [False, True, True, True] and "BroadcastHashJoin" not in plan(cut)
+
+
+def far_copy(rng, n=100):
+    """Texts of similarity 0.8 whose fingerprints are far apart: each word put after the first is the one, of some tried,
+    whose shingle draws most bits to the other side."""
+    words = [f"w{rng.randrange(10**6)}" for _ in range(n + 4)]
+    own = np.unique(near_copies.shingle_hashes(" ".join(words).encode()))
+    before = np.array([simhash.folded(own) >> b & 1 for b in range(64)])
+    longer = list(words)
+    for _ in range(n // 4):
+        tried = [f"x{rng.randrange(10**9)}" for _ in range(300)]
+        last = [near_copies.shingle_hashes(" ".join([*longer[-4:], t]).encode())[0] for t in tried]
+        bits = (np.array(last, np.uint64)[:, None] >> np.arange(64, dtype=np.uint64) & np.uint64(1)).astype(int)
+        longer.append(tried[int((bits != before).sum(axis=1).argmax())])
+    return " ".join(words), " ".join(longer)
+
+
+def test_links_beyond_the_fingerprints_are_found(spark):
+    rng = random.Random(3)
+    pairs = [far_copy(rng) for _ in range(2)]
+    for a, b in pairs:
+        x, y = (shingles(t.encode()) for t in (a, b))
+        assert 5 * len(x & y) == 4 * len(x | y)
+        assert (simhash.folded(np.unique(near_copies.shingle_hashes(a.encode()))) ^ simhash.folded(np.unique(near_copies.shingle_hashes(b.encode())))).bit_count() > near_copies.RADIUS
+    texts = [t for pair in pairs for t in pair] + [pairs[0][1] + " y" * 3, "other words stand here"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert sorted(r.doc_id for r in near_copies.one_of_each(docs).collect()) == kept_by_brute_force(texts) == [0, 2, 5]
+    assert sorted((r.doc_id, r.component_id) for r in near_copies.near_copies(docs).collect()) == [(0, 0), (1, 0), (2, 2), (3, 2), (4, 0), (5, 5)]
+
+
+def test_links_that_no_bucket_shows_are_left_over(spark, monkeypatch):
+    """All links of texts that nothing has joined yet are among the pairs left over, with common shingles and without."""
+    texts = awkward(random.Random(11)) + [f"{' '.join(f'common{i}' for i in range(30))} t{k}" for k in range(40)]
+    docs = near_copies.keyed(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    monkeypatch.setattr(near_copies, "ASKED", 1)
+    common = near_copies.common_shingles(docs, near_copies.SHINGLE)
+    assert len(common[0]) > 0 and (np.diff(common[0].astype(object)) > 0).all()
+    ids = {r.sig: r.doc_id for r in docs.select("sig", "doc_id").collect()}
+    sets = [shingles(t.encode()) for t in texts]
+    want = {(i, j) for j in range(len(texts)) for i in range(j) if 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j])}
+    halves = spark.createDataFrame([(s, 1) for s, i in ids.items() if i % 2], "node long, root long")
+    for order in (common, (np.empty(0, np.uint64), np.empty(0, np.int64))):
+        rows = near_copies.sketches(docs, near_copies.SHINGLE, lambda own: near_copies.first_shingles(own, near_copies.LEAST, order))  # noqa: B023
+        pairs = lambda roots: [tuple(sorted((ids[r.a], ids[r.b]))) for r in near_copies.left_over(rows, roots, near_copies.LEAST).collect()]  # noqa: B023, E731
+        alone = pairs(halves.limit(0))
+        assert want <= set(alone) and len(alone) == len(set(alone)) < len(texts) ** 2 / 8
+        some = pairs(halves)
+        assert {(i, j) for i, j in want if i % 2 == 0 or j % 2 == 0} <= set(some) and not any(i % 2 and j % 2 for i, j in some)
